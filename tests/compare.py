@@ -1,0 +1,44 @@
+"""Order-insensitive comparison of a Spark result with the registered SQL run in DuckDB."""
+
+from __future__ import annotations
+
+import datetime as dt
+import math
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    con.execute("SET TimeZone='UTC'")
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
+    return con
+
+
+def _plain(v):
+    if isinstance(v, float):
+        return None if math.isnan(v) else repr(v)
+    if isinstance(v, dt.datetime):
+        return v.replace(tzinfo=None).isoformat()
+    return repr(v)
+
+
+def normalise(columns: list[str], rows) -> tuple[list[str], list[tuple]]:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    out = [tuple(str(_plain(row[i])) for i in order) for row in rows]
+    return [columns[i] for i in order], sorted(out)
+
+
+def spark_rows(df):
+    return normalise(df.columns, [tuple(r) for r in df.collect()])
+
+
+def duck_rows(con, sql: str):
+    cur = con.execute(sql)
+    return normalise([d[0] for d in cur.description], cur.fetchall())
