@@ -188,10 +188,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "moving_average_range": on(trends.moving_average, by="range"),
         "device_correlation": on(correlation.device_correlation, align="hour"),
         "device_correlation_shared_times": partial(_on, _at_hours)(correlation.device_correlation),
-        "user_correlation": users(
-            correlation.device_correlation, align="day", min_samples=10, block_devices=16,
-            block_rows=500,
-        ),
+        "user_correlation": users(correlation.device_correlation, align="day", min_samples=10),
         # sources and sinks
         "jsonl_roundtrip": jsonl_roundtrip,
         "jsonl_date_range": jsonl_date_range,

@@ -7,16 +7,18 @@ from pyspark.sql import DataFrame, functions as F
 
 def readings_from_events(events: DataFrame, device: str = "event_type") -> DataFrame:
     """An event log as device readings; one device per value of ``device``."""
-    k = F.get_json_object("props", "$.k")
     user = F.col("user_id").cast("double")
-    return events.select(
+    # The payload is taken apart in its own projection, so several uses parse it once.
+    parsed = events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    k = F.col("k").cast("double")
+    return parsed.select(
         F.col(device).cast("string").alias("device_id"),
         F.col("ts").alias("event_time"),
         F.col("value").alias("temperature"),
-        k.cast("double").alias("humidity"),
+        k.alias("humidity"),
         user.alias("pressure"),
-        F.struct(k.cast("double").alias("lat"), user.alias("lon")).alias("location"),
-        k.cast("int").alias("battery"),
+        F.struct(k.alias("lat"), user.alias("lon")).alias("location"),
+        F.col("k").alias("battery"),
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tidegauge.functions.time import epoch_micros, hour_of, minutes_between
 from tidegauge.plans.neighbours import with_neighbours
+from tidegauge.plans.presented import presented
 from tidegauge.plans.sized_join import BROADCAST_ROWS, join_key_summary
 
 
@@ -41,7 +42,9 @@ def sigma_anomalies(
         F.when(high, "HIGH_ANOMALY").when(low, "LOW_ANOMALY").otherwise("NORMAL")
         .alias("anomaly_type"),
     )
-    return out.orderBy(F.asc_nulls_last("timestamp"), device) if ordered else out
+    if not ordered:
+        return out
+    return presented(out, F.asc_nulls_last("timestamp"), device, settle=only_anomalies)
 
 
 def low_battery(
@@ -61,8 +64,9 @@ def low_battery(
     if not ordered:
         return out
     # The device is only a last key, so that equal readings can still be range-split.
-    return out.orderBy(
-        F.asc_nulls_last(battery), F.desc_nulls_last("timestamp"), F.asc_nulls_last(device)
+    return presented(
+        out, F.asc_nulls_last(battery), F.desc_nulls_last("timestamp"), F.asc_nulls_last(device),
+        settle=True,
     )
 
 
@@ -97,7 +101,9 @@ def spikes(
             F.col(f"prev_{value}").alias("prev_temp"), F.col(f"next_{value}").alias("next_temp"),
         )
     )
-    return out.orderBy(F.asc_nulls_last(device), "timestamp", value) if ordered else out
+    if not ordered:
+        return out
+    return presented(out, F.asc_nulls_last(device), "timestamp", value, settle=True)
 
 
 def time_gaps(
@@ -131,4 +137,6 @@ def time_gaps(
     )
     if not ordered:
         return out
-    return out.orderBy(F.col("gap_minutes").desc(), F.asc_nulls_last(device), "timestamp")
+    return presented(
+        out, F.col("gap_minutes").desc(), F.asc_nulls_last(device), "timestamp", settle=True
+    )

@@ -18,10 +18,10 @@ def _bounds(df: DataFrame, time: str, interval: int, start, end) -> tuple[Column
     """First and last expected slot, taken from the data unless given."""
 
     def side(given, found):
-        at = F.lit(given).cast("timestamp_ntz") if given is not None else (
-            df.agg(found(time).alias("at")).scalar()
-        )
-        return slot_floor(at, interval)
+        if given is not None:
+            return slot_floor(F.lit(given).cast("timestamp_ntz"), interval)
+        extreme = df.agg(found(time).alias("at"))
+        return extreme.select(slot_floor("at", interval).alias("at")).scalar()
 
     return side(start, F.min), side(end, F.max)
 
@@ -88,14 +88,10 @@ def loss_summary(
     built.
     """
     first, last = _bounds(df, time, interval, start, end)
-    per_day = slots_per_day(interval)
-
-    def position(at: Column) -> Column:
-        return F.datediff(at.cast("date"), F.lit("1970-01-01").cast("date")).cast(
-            "long"
-        ) * per_day + slot_of_day(at, interval)
-
-    expected = position(last) - position(first) + 1
+    days = F.datediff(last.cast("date"), first.cast("date")).cast("long")
+    expected = (
+        days * slots_per_day(interval) + slot_of_day(last, interval) - slot_of_day(first, interval) + 1
+    )
     in_range = F.when(_inside(time, interval, first, last), F.col(time))
     per_device = (
         df.filter(F.col(device).isNotNull())
@@ -103,11 +99,12 @@ def loss_summary(
         .agg(*mask_aggregates(in_range, interval))
         .groupBy(device)
         .agg(F.sum(occupied(interval)).alias("actual"))
-        .select(device, expected.alias("expected"), "actual")
     )
     out = (
         per_device.rollup(device)
-        .agg(F.sum("expected").alias("expected"), F.sum("actual").alias("actual"))
+        .agg(
+            (F.count("*") * F.max(expected)).alias("expected"), F.sum("actual").alias("actual")
+        )
         .withColumn("lost", F.col("expected") - F.col("actual"))
         .withColumn("loss_rate", percent(F.col("lost"), F.col("expected")))
     )

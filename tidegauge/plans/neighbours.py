@@ -17,7 +17,7 @@ def with_neighbours(
     number is set by how many chunks a key spans and not by how many rows it has. Both branches
     read the one shuffle.
     """
-    local = W.partitionBy(*keys, "_chunk").orderBy(*order)
+    local = W.partitionBy("_chunk", *keys).orderBy(*order)
     whole = W.partitionBy(*keys).orderBy(*order)
     marked = df.withColumn("_chunk", chunk).select(
         "*",

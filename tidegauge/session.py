@@ -20,7 +20,9 @@ def build_session(app: str = "tidegauge", master: str | None = None, **conf) ->
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, **conf}.items():
+    # Recording the Python line of every column expression slows down building plans.
+    start_up = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+    for key, value in {**start_up, **RUNTIME_CONF, **conf}.items():
         builder = builder.config(key, value)
     return prepare(builder.getOrCreate())
 
