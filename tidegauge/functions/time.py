@@ -10,7 +10,6 @@ from pyspark.sql import Column, functions as F
 
 MICROS_PER_MINUTE = 60_000_000
 MINUTES_PER_DAY = 1440
-ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 
 
 def col(c: Column | str) -> Column:
@@ -29,7 +28,22 @@ def parse_iso(text: Column | str) -> Column:
 
 def format_iso(time: Column | str) -> Column:
     """UTC wall-clock time to the stored text form (milliseconds, ``Z``)."""
-    return F.date_format(col(time), ISO_MILLIS)
+    # Not date_format, which goes through the session zone and shifts hours that zone skips.
+    text = col(time).cast("string")
+    millis = F.rpad(F.substring(text, 21, 3), 3, "0")
+    return F.concat(
+        F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8), F.lit("."), millis, F.lit("Z")
+    )
+
+
+def partition_keys(time: Column | str, zone: str = "UTC") -> list[Column]:
+    """The zone's calendar day as zero-padded ``year``, ``month`` and ``day`` text."""
+    date = in_zone(time, zone).cast("date").cast("string")
+    return [
+        F.substring(date, 1, 4).alias("year"),
+        F.substring(date, 6, 2).alias("month"),
+        F.substring(date, 9, 2).alias("day"),
+    ]
 
 
 def day_of(time: Column | str) -> Column:

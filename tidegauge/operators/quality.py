@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidegauge.functions.numeric import percent
-from tidegauge.functions.time import day_of, in_zone, slot_of_day, slot_start
+from tidegauge.functions.time import day_of, partition_keys, slot_of_day, slot_start
 from tidegauge.plans.slots import mask_aggregates, missing, occupied, slots_per_day
+from tidegauge.schema import PARTITION_KEYS
 
 
 def slot_floor(time: Column | str, interval: int) -> Column:
@@ -34,11 +35,14 @@ def _inside(time: str, interval: int, first: Column, last: Column) -> Column:
 def _device_days(
     df: DataFrame, interval: int, first: Column, last: Column, device: str, time: str
 ) -> DataFrame:
-    """Occupied slots per device and day, between the bounds."""
+    """Occupied slots per device and day. Readings outside the bounds only vouch for their
+    device, under a NULL day.
+    """
+    inside = F.when(_inside(time, interval, first, last), F.col(time))
     return (
-        df.filter(F.col(device).isNotNull() & _inside(time, interval, first, last))
-        .groupBy(device, day_of(time).alias("day"))
-        .agg(*mask_aggregates(time, interval))
+        df.filter(F.col(device).isNotNull())
+        .groupBy(device, day_of(inside).alias("day"))
+        .agg(*mask_aggregates(inside, interval))
     )
 
 
@@ -54,20 +58,42 @@ def missing_slots(
     """Expected slots of each device that hold no reading.
 
     Every device of ``df`` is expected in every slot of ``interval`` minutes from ``start`` to
-    ``end``, by default the first and last slot of the whole data. The grid is only built per
-    device and day; a day's slots are a bit mask, and just the unset ones become rows.
+    ``end``, by default the first and last slot of the whole data. No grid is built or joined:
+    readings shrink to a bit mask per device and day, each day looks back to the device's day
+    before it, and only the unset slots and the days in between become rows.
     """
     first, last = _bounds(df, time, interval, start, end)
-    seen = _device_days(df, interval, first, last, device, time)
-    days = F.sequence(first.cast("date"), last.cast("date"))
-    devices = df.select(device).filter(F.col(device).isNotNull()).distinct()
-    grid = devices.select(device, F.explode(days).alias("day")).withColumn(
-        "day", F.col("day").cast("timestamp_ntz")
-    )
+    by_day = W.partitionBy(device).orderBy(F.asc_nulls_first("day"))
+    day, eve = F.col("day").cast("date"), F.date_sub(first.cast("date"), 1)
+    none = F.array().cast("array<date>")
+
+    def between(low: Column, high: Column) -> Column:
+        return F.when(low <= high, F.sequence(low, high)).otherwise(none)
+
+    silent_before = between(F.date_add(F.coalesce("before", eve), 1), F.date_sub(day, 1))
+    silent_after = F.when(
+        F.col("newest"), between(F.date_add(F.coalesce(day, eve), 1), last.cast("date"))
+    ).otherwise(none)
+    own = F.when(day.isNotNull(), F.array(day)).otherwise(none)
+    every_slot = F.sequence(F.lit(0), F.lit(slots_per_day(interval) - 1))
     out = (
-        grid.join(seen, [device, "day"], "left")
-        .select(device, "day", F.explode(missing(interval)).alias("slot"))
-        .select(device, slot_start("day", "slot", interval).alias("slot"))
+        _device_days(df, interval, first, last, device, time)
+        .withColumns(
+            {
+                "before": F.lag(day).over(by_day),
+                "newest": F.lead(F.lit(1)).over(by_day).isNull(),
+                "unset": missing(interval),
+            }
+        )
+        .withColumn("expected_day", F.explode(F.concat(silent_before, own, silent_after)))
+        .withColumn(
+            "slot",
+            F.explode(F.when(F.col("expected_day").eqNullSafe(day), F.col("unset")).otherwise(every_slot)),
+        )
+        .select(
+            device,
+            slot_start(F.col("expected_day").cast("timestamp_ntz"), "slot", interval).alias("slot"),
+        )
         .filter(F.col("slot").between(first, last))
     )
     return out.orderBy(device, "slot") if ordered else out
@@ -84,27 +110,21 @@ def loss_summary(
 ) -> DataFrame:
     """Expected, actual and lost slots with the loss rate in percent, per device and overall.
 
-    The overall row has a NULL device. The expected number follows from the bounds, so no grid is
-    built.
+    The overall row has a NULL device. The expected number follows from the bounds alone.
     """
     first, last = _bounds(df, time, interval, start, end)
     days = F.datediff(last.cast("date"), first.cast("date")).cast("long")
     expected = (
         days * slots_per_day(interval) + slot_of_day(last, interval) - slot_of_day(first, interval) + 1
     )
-    in_range = F.when(_inside(time, interval, first, last), F.col(time))
     per_device = (
-        df.filter(F.col(device).isNotNull())
-        .groupBy(device, day_of(in_range).alias("day"))
-        .agg(*mask_aggregates(in_range, interval))
+        _device_days(df, interval, first, last, device, time)
         .groupBy(device)
         .agg(F.sum(occupied(interval)).alias("actual"))
     )
     out = (
         per_device.rollup(device)
-        .agg(
-            (F.count("*") * F.max(expected)).alias("expected"), F.sum("actual").alias("actual")
-        )
+        .agg((F.count("*") * F.max(expected)).alias("expected"), F.sum("actual").alias("actual"))
         .withColumn("lost", F.col("expected") - F.col("actual"))
         .withColumn("loss_rate", percent(F.col("lost"), F.col("expected")))
     )
@@ -122,10 +142,5 @@ def daily_record_counts(
     df: DataFrame, time: str = "event_time", zone: str = "UTC", ordered: bool = True
 ) -> DataFrame:
     """Records per calendar day of the writer's zone, under the partition keys."""
-    local = in_zone(time, zone)
-    out = df.groupBy(
-        F.date_format(local, "yyyy").alias("year"),
-        F.date_format(local, "MM").alias("month"),
-        F.date_format(local, "dd").alias("day"),
-    ).agg(F.count("*").alias("record_count"))
-    return out.orderBy(*[F.asc_nulls_last(c) for c in ("year", "month", "day")]) if ordered else out
+    out = df.groupBy(*partition_keys(time, zone)).agg(F.count("*").alias("record_count"))
+    return out.orderBy(*[F.asc_nulls_last(c) for c in PARTITION_KEYS]) if ordered else out

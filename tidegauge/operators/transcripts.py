@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from tidegauge.plans.neighbours import with_neighbours
-
 # The line form "[HH:MM] speaker: text", and a number with its unit.
 LINE_PATTERN = r"^\[([0-9]{2}:[0-9]{2})\] ([^:]+): (.*)$"
 METRIC_PATTERN = r"([0-9]+(?:\.[0-9]+)?) ?(%|ms|秒)"
@@ -34,49 +32,54 @@ def transcript_lines(lines: DataFrame, text: str = "line") -> DataFrame:
 def transcript_timeline(lines: DataFrame) -> DataFrame:
     """Timed lines of each session: order, minutes since the first and the previous entry, total.
 
-    The clock has no date, so a time that goes backwards means the next day. Sums run inside
-    chunks of lines; one row per chunk carries them across.
+    The clock has no date, so a time that goes backwards means the next day. Lines are summed
+    up inside chunks; one row per chunk, with its first and last clock, links the chunks.
     """
-    chunk = F.floor(F.col("line_no") / LINES_PER_CHUNK)
+    zero = F.lit(0).cast("long")
+
+    def minutes(start, end):
+        return F.pmod(F.col(end) - start, F.lit(1440)).cast("long")
+
     clock = (
         F.substring("hhmm", 1, 2).cast("int") * 60 + F.substring("hhmm", 4, 2).cast("int")
     )
-    timed = lines.filter(F.col("hhmm").isNotNull()).select(
-        "session_id", "line_no", "hhmm", "speaker", clock.alias("clock")
-    )
-    steps = with_neighbours(timed, ["session_id"], chunk, ["line_no"], ["clock"]).select(
-        "session_id", "line_no", "hhmm", "speaker", chunk.alias("chunk"),
-        F.pmod(F.col("clock") - F.col("prev_clock"), F.lit(1440)).cast("long").alias("step"),
-    )
-    step = F.coalesce("step", F.lit(0).cast("long"))
-    session = W.partitionBy("session_id")
-    earlier = session.orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)
-    zero = F.lit(0).cast("long")
-    chunks = (
-        steps.groupBy("session_id", "chunk")
-        .agg(F.sum(step).alias("minutes"), F.count("*").alias("entries"))
+    inside = W.partitionBy("session_id", "chunk").orderBy("line_no")
+    so_far = inside.rowsBetween(W.unboundedPreceding, 0)
+    timed = (
+        lines.filter(F.col("hhmm").isNotNull())
         .select(
-            "session_id", "chunk",
-            F.coalesce(F.sum("minutes").over(earlier), zero).alias("minutes_before"),
-            F.coalesce(F.sum("entries").over(earlier), zero).alias("entries_before"),
-            F.sum("minutes").over(session).alias("total_minutes"),
+            "session_id", "line_no", "hhmm", "speaker", clock.alias("clock"),
+            F.floor(F.col("line_no") / LINES_PER_CHUNK).alias("chunk"),
+        )
+        .withColumns(
+            {"step": minutes(F.lag("clock").over(inside), "clock"), "n": F.row_number().over(inside)}
         )
+        .withColumn("elapsed", F.sum(F.coalesce("step", zero)).over(so_far))
     )
-    inside = W.partitionBy("session_id", "chunk").orderBy("line_no")
-    so_far = inside.rowsBetween(W.unboundedPreceding, 0)
-    return (
-        steps.withColumns(
-            {"in_chunk": F.row_number().over(inside), "minutes_in": F.sum(step).over(so_far)}
+    by_chunk = W.partitionBy("session_id").orderBy("chunk")
+    earlier = by_chunk.rowsBetween(W.unboundedPreceding, -1)
+    spent = F.col("inner") + F.coalesce("jump", zero)
+    chunks = (
+        timed.groupBy("session_id", "chunk")
+        .agg(
+            F.min_by("clock", "line_no").alias("opens"), F.max_by("clock", "line_no").alias("closes"),
+            F.max("elapsed").alias("inner"), F.count("*").alias("entries"),
         )
-        .join(chunks, ["session_id", "chunk"])
+        .withColumn("jump", minutes(F.lag("closes").over(by_chunk), "opens"))
         .select(
-            "session_id", "line_no",
-            (F.col("entries_before") + F.col("in_chunk")).alias("entry_no"),
-            "hhmm", "speaker",
-            (F.col("minutes_before") + F.col("minutes_in")).alias("minutes_since_first"),
-            F.col("step").alias("minutes_since_prev"), "total_minutes",
+            "session_id", "chunk", "jump",
+            (F.coalesce(F.sum(spent).over(earlier), zero) + F.coalesce("jump", zero)).alias("offset"),
+            F.coalesce(F.sum("entries").over(earlier), zero).alias("entries_before"),
+            F.sum(spent).over(W.partitionBy("session_id")).alias("total_minutes"),
         )
     )
+    return timed.join(chunks, ["session_id", "chunk"]).select(
+        "session_id", "line_no", (F.col("entries_before") + F.col("n")).alias("entry_no"),
+        "hhmm", "speaker",
+        (F.col("offset") + F.col("elapsed")).alias("minutes_since_first"),
+        F.when(F.col("n") == 1, F.col("jump")).otherwise(F.col("step")).alias("minutes_since_prev"),
+        "total_minutes",
+    )
 
 
 def transcript_metrics(lines: DataFrame) -> DataFrame:

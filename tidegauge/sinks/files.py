@@ -4,24 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidegauge.functions.time import format_iso, in_zone
+from tidegauge.functions.time import format_iso, partition_keys
 from tidegauge.schema import PARTITION_KEYS, STORED_SCHEMA
 
 
 def to_stored(df: DataFrame, zone: str = "UTC") -> DataFrame:
-    """Readings in stored form: time as text, plus the writer's calendar day as partition keys."""
+    """Readings in stored form: time as text, plus the writer's calendar day as partition keys.
+
+    A reading whose time did not parse keeps its original text, if ``df`` still has it.
+    """
+    time = format_iso("event_time")
+    if "timestamp" in df.columns:
+        time = F.coalesce(time, F.col("timestamp").cast("string"))
     fields = [
-        format_iso("event_time").alias("timestamp") if f.name == "timestamp"
-        else F.col(f.name).cast(f.dataType).alias(f.name)
+        time.alias(f.name) if f.name == "timestamp" else F.col(f.name).cast(f.dataType).alias(f.name)
         for f in STORED_SCHEMA.fields
     ]
-    local = in_zone("event_time", zone)
-    return df.select(
-        *fields,
-        F.date_format(local, "yyyy").alias("year"),
-        F.date_format(local, "MM").alias("month"),
-        F.date_format(local, "dd").alias("day"),
-    )
+    return df.select(*fields, *partition_keys("event_time", zone))
 
 
 def write_partitioned_jsonl(
