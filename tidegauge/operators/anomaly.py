@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from tidegauge.functions.time import epoch_micros, hour_of, minutes_between
+from tidegauge.functions.time import epoch_micros, minutes_between, slot_floor
 from tidegauge.plans.neighbours import with_neighbours
 from tidegauge.plans.presented import presented
 from tidegauge.plans.sized_join import BROADCAST_ROWS, join_key_summary
@@ -77,12 +77,14 @@ def spikes(
     device: str = "device_id",
     time: str = "event_time",
     ordered: bool = True,
+    chunk_minutes: int = 60,
 ) -> DataFrame:
     """Readings that jump by more than ``delta`` from both the previous and the next reading.
 
     Readings of one device at one time are ordered by value. Copies are counted before they are
     sorted: two equal readings are neighbours and neither can be a spike. Readings without a time
-    have no place in the order and are left out.
+    have no place in the order and are left out. ``chunk_minutes`` is how much of one device's
+    history a task sorts at a time; it does not change the result.
     """
     if delta < 0:
         raise ValueError("delta must not be negative")
@@ -92,7 +94,9 @@ def spikes(
         .agg(F.count("*").alias("copies"))
     )
     out = (
-        with_neighbours(points, [device], hour_of("timestamp"), ["timestamp", value], [value])
+        with_neighbours(
+            points, [device], slot_floor("timestamp", chunk_minutes), ["timestamp", value], [value]
+        )
         .filter(F.col("copies") == 1)
         .filter(F.abs(F.col(value) - F.col(f"prev_{value}")) > delta)
         .filter(F.abs(F.col(value) - F.col(f"next_{value}")) > delta)

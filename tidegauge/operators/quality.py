@@ -5,16 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidegauge.functions.numeric import percent
-from tidegauge.functions.time import day_of, partition_keys, slot_of_day, slot_start
+from tidegauge.functions.time import day_of, partition_keys, slot_floor, slot_of_day, slot_start
 from tidegauge.plans.slots import mask_aggregates, missing, occupied, slots_per_day
 from tidegauge.schema import PARTITION_KEYS
 
 
-def slot_floor(time: Column | str, interval: int) -> Column:
-    """Start of the reporting slot a time falls into."""
-    return slot_start(day_of(time), slot_of_day(time, interval), interval)
-
-
 def _bounds(df: DataFrame, time: str, interval: int, start, end) -> tuple[Column, Column]:
     """First and last expected slot, taken from the data unless given."""
 
@@ -41,8 +36,9 @@ def _device_days(
     inside = F.when(_inside(time, interval, first, last), F.col(time))
     return (
         df.filter(F.col(device).isNotNull())
-        .groupBy(device, day_of(inside).alias("day"))
-        .agg(*mask_aggregates(inside, interval))
+        .select(device, inside.alias("inside"))
+        .groupBy(device, day_of("inside").alias("day"))
+        .agg(*mask_aggregates("inside", interval))
     )
 
 
