@@ -70,7 +70,6 @@ def test_date_range_reads_neighbouring_folders_only(spark, table):
     plan = plan._jdf.queryExecution().executedPlan().toString()
     spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "PartitionFilters: [" in plan and "20240109" in plan and "20240111" in plan
-    assert plan.count("from_json") == 1
     # a range without any folder is empty, not an error
     assert source.scan_date_range(spark, table, "2025-01-01", "2025-02-01").count() == 0
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window as W, functions as F
 
 from tidegauge.functions.time import format_iso, parse_iso, slot_of_day
-from tidegauge.operators import anomaly, stats, trends
+from tidegauge.operators import anomaly, quality, stats, trends
 from tidegauge.plans.neighbours import with_neighbours
 from tidegauge.plans.slots import mask_aggregates, missing, occupied, slots_per_day
 
@@ -72,6 +72,18 @@ def test_results_do_not_depend_on_the_session_zone(spark, zone):
     assert back == set(texts[:4]) | {"2024-03-31T00:00:00.000Z"}
 
 
+def test_a_sort_splits_copies(spark, readings):
+    one = readings([("a", "2024-01-01T00:00:00.000Z", 1.0, 5)])
+    copies = one.crossJoin(spark.range(0, 20_000, 1, 8)).drop("id")
+    for df in (quality.time_ordered(copies), anomaly.low_battery(copies)):
+        assert df.count() == 20_000
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        sizes = [r[0] for r in df.groupBy(F.spark_partition_id().alias("p")).count().select("count").collect()]
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        assert len(sizes) == 8 and max(sizes) < 10_000
+    assert quality.time_ordered(copies).columns == copies.columns
+
+
 def test_results_do_not_depend_on_shuffle_partitions(spark):
     def run(n):
         spark.conf.set("spark.sql.shuffle.partitions", n)

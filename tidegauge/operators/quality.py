@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidegauge.functions.numeric import percent
 from tidegauge.functions.time import day_of, partition_keys, slot_floor, slot_of_day, slot_start
+from tidegauge.plans.presented import presented
 from tidegauge.plans.slots import mask_aggregates, missing, occupied, slots_per_day
 from tidegauge.schema import PARTITION_KEYS
 
@@ -130,8 +131,8 @@ def loss_summary(
 def time_ordered(
     df: DataFrame, device: str = "device_id", time: str = "event_time"
 ) -> DataFrame:
-    """All readings in time order; the device is a last key, so one busy instant can be split."""
-    return df.orderBy(F.asc_nulls_last(time), F.asc_nulls_last(device))
+    """All readings in time order; readings of one instant by device."""
+    return presented(df, F.asc_nulls_last(time), F.asc_nulls_last(device), spread=True)
 
 
 def daily_record_counts(

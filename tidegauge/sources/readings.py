@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidegauge.functions.time import parse_iso
-from tidegauge.schema import PARTITION_KEYS, STORED_FIELDS
+from tidegauge.schema import STORED_FIELDS, TABLE_SCHEMA
 
 CORRUPT = "_corrupt_record"
 
@@ -16,36 +15,42 @@ CORRUPT = "_corrupt_record"
 FIRST_YEAR, LAST_YEAR = 2020, 2030
 
 
-def _parsed_lines(spark: SparkSession, root: str, mode: str) -> tuple[DataFrame, Column]:
-    """Stored lines with their partition keys, and the expression that parses a line."""
-    keys = ", ".join(f"{k} string" for k in PARTITION_KEYS)
-    lines = spark.read.schema(f"value string, {keys}").text(root).filter(F.trim("value") != "")
-    schema = T.StructType(STORED_FIELDS + [T.StructField(CORRUPT, T.StringType())])
-    parsed = F.from_json("value", schema, {"mode": mode, "columnNameOfCorruptRecord": CORRUPT})
-    return lines, parsed
+def _scan(spark: SparkSession, root: str, mode: str) -> DataFrame:
+    schema = T.StructType(list(TABLE_SCHEMA.fields)).add(CORRUPT, T.StringType())
+    return (
+        spark.read.schema(schema)
+        .option("mode", mode)
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .json(root)
+    )
 
 
-def _split(spark: SparkSession, root: str, mode: str, keep: Callable[[Column], Column]) -> DataFrame:
-    # A plain filter would be pushed below the projection and parse every line twice. Parsing
-    # whole lines also makes the split the same whichever columns a query goes on to use.
-    lines, parsed = _parsed_lines(spark, root, mode)
-    kept = F.filter(F.array(parsed), lambda row: keep(row[CORRUPT]))
-    return lines.select(F.inline(kept), *PARTITION_KEYS)
+def _mentions_every_field() -> Column:
+    """True for every bad line, while needing all of its fields.
+
+    A scan parses the columns a query asks for and only notices errors among those. This makes
+    whole lines be parsed, so that the split is the same for every query.
+    """
+    texts = [F.col(f.name).cast("string") for f in STORED_FIELDS]
+    return F.concat_ws("", *texts, CORRUPT) != ""
 
 
 def scan_readings(spark: SparkSession, root: str, mode: str = "PERMISSIVE") -> DataFrame:
     """Readings with their partition keys and ``event_time``.
 
     Lines that are not valid JSON or hold a wrongly typed field are left to
-    :func:`scan_rejects`; with ``mode='FAILFAST'`` they stop the query instead.
+    :func:`scan_rejects`; with ``mode='FAILFAST'`` one among the columns read stops the query.
     """
-    rows = _split(spark, root, mode, lambda corrupt: corrupt.isNull())
-    return rows.drop(CORRUPT).withColumn("event_time", parse_iso("timestamp"))
+    df = _scan(spark, root, mode)
+    if mode == "PERMISSIVE":
+        df = df.filter(F.col(CORRUPT).isNull() | ~_mentions_every_field())
+    return df.drop(CORRUPT).withColumn("event_time", parse_iso("timestamp"))
 
 
 def scan_rejects(spark: SparkSession, root: str) -> DataFrame:
     """The lines :func:`scan_readings` leaves out, as text, with whatever fields did parse."""
-    return _split(spark, root, "PERMISSIVE", lambda corrupt: corrupt.isNotNull())
+    bad = F.col(CORRUPT).isNotNull() & _mentions_every_field()
+    return _scan(spark, root, "PERMISSIVE").filter(bad)
 
 
 def _as_date(value: date | str) -> date:
