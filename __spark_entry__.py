@@ -14,6 +14,7 @@ from tidegauge.operators import anomaly, correlation, quality, report, stats, tr
 from tidegauge.session import prepare, scratch_path
 from tidegauge.sinks import files
 from tidegauge.sources import readings as source
+from tidegauge.sources.transcripts import scan_transcript_lines
 
 HOUR = 60  # reporting interval, in minutes, that fits the density of the test events
 DAY = "2024-01-15"
@@ -141,6 +142,16 @@ def registered_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def transcript_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the transcript lines as text files, scan and parse them."""
+    prepare(spark)
+    path = scratch_path(spark, "transcripts")
+    raw = lines_from_conversations(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    raw.select("line").write.text(path)
+    parsed = transcripts.transcript_lines(scan_transcript_lines(spark, path))
+    return parsed.filter(F.col("line_no") > 0).select("hhmm", "speaker", "text")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query: readings more than two standard deviations from their device's mean."""
     return _rounded_sigma(_readings(spark, "/root/testdata/sf0.001"))
@@ -218,6 +229,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "report_health": on(report.report_health, interval=HOUR),
         "report_summary": on(report.report_summary, interval=HOUR),
         # transcripts
+        "transcript_files": transcript_files,
         "transcript_lines": lines(lambda df: df),
         "transcript_timeline": lines(transcripts.transcript_timeline),
         "transcript_metrics": lines(transcripts.transcript_metrics),
@@ -503,6 +515,7 @@ def oracle_sql() -> dict[str, str]:
           SELECT day, device_id, 'LOWEST', {_round('low', 1)} FROM m WHERE rn = 1""",
         "report_health": f"{_report(_R)} SELECT day, availability_pct, completeness_pct, health FROM u",
         "report_summary": f"{_report(_R)} SELECT * EXCLUDE (rows, occupied_slots, expected_slots) FROM u",
+        "transcript_files": f"WITH {_LINES} SELECT hhmm, role AS speaker, text FROM k",
         "transcript_lines": f"""WITH {_LINES}
           SELECT session_id, line_no, hhmm, role AS speaker, text FROM k""",
         "transcript_timeline": f"""WITH {_LINES}, c AS (SELECT *, {clock} AS clock FROM k)
