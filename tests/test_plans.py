@@ -8,7 +8,7 @@ from pyspark.sql import Window as W, functions as F
 
 from tidegauge.functions.time import format_iso, parse_iso, slot_of_day
 from tidegauge.operators import anomaly, quality, stats, trends
-from tidegauge.plans.neighbours import with_neighbours
+from tidegauge.plans.neighbours import where_neighbours
 from tidegauge.plans.slots import mask_aggregates, missing, occupied, slots_per_day
 
 SF = "/root/testdata/sf0.001"
@@ -28,15 +28,19 @@ def test_neighbours_equal_a_plain_window(spark, width):
     df = spark.createDataFrame(list(set(data)), "k string, t long, v double")
     w = W.partitionBy("k").orderBy("t", "v")
     plain = df.select("*", F.lag("v").over(w).alias("prev_v"), F.lead("v").over(w).alias("next_v"))
-    chunked = with_neighbours(df, ["k"], F.floor(F.col("t") / width), ["t", "v"], ["v"])
-    assert sorted(map(str, chunked.collect())) == sorted(map(str, plain.collect()))
+    chunk = F.floor(F.col("t") / width)
+    for wanted in (F.lit(True), (F.col("v") > F.col("prev_v")) & (F.col("v") >= F.col("next_v"))):
+        chunked = where_neighbours(df, ["k"], chunk, ["t", "v"], ["v"], wanted)
+        assert sorted(map(str, chunked.collect())) == sorted(map(str, plain.filter(wanted).collect()))
 
 
-def test_neighbours_shuffle_rows_once(spark):
+def test_neighbours_sort_all_rows_once(spark):
     df = spark.range(2000).select(F.lit("k").alias("k"), F.col("id").alias("t"))
-    out = with_neighbours(df, ["k"], F.floor(F.col("t") / 10), ["t"], ["t"])
-    out.collect()
-    assert "ReusedExchange" in plan_of(out)
+    chunk = F.floor(F.col("t") / 10)
+    out = where_neighbours(df, ["k"], chunk, ["t"], ["t"], F.col("next_t") - F.col("prev_t") > 2)
+    assert out.count() == 0
+    plan = plan_of(out)
+    assert "Union" not in plan and plan.count("+- Range") == 1
 
 
 @pytest.mark.parametrize("interval", [1, 5, 30, 1440])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tidegauge.functions.time import epoch_micros, minutes_between, slot_floor
-from tidegauge.plans.neighbours import with_neighbours
+from tidegauge.plans.neighbours import where_neighbours
 from tidegauge.plans.presented import presented
 from tidegauge.plans.sized_join import BROADCAST_ROWS, join_key_summary
 
@@ -65,10 +65,10 @@ def low_battery(
     )
     if not ordered:
         return out
-    # Batteries drain, so the result may be most of the table: not worth a shuffle before the sort.
+    # Five narrow columns are cheaper to shuffle than lines are to parse a second time.
     return presented(
         out, F.asc_nulls_last(battery), F.desc_nulls_last("timestamp"), F.asc_nulls_last(device),
-        spread=True,
+        settle=True, spread=True,
     )
 
 
@@ -95,13 +95,13 @@ def spikes(
         .groupBy(device, F.col(time).alias("timestamp"), value)
         .agg(F.count("*").alias("copies"))
     )
+    jump = F.abs(F.col(value) - F.col(f"prev_{value}")) > delta
+    back = F.abs(F.col(value) - F.col(f"next_{value}")) > delta
     out = (
-        with_neighbours(
-            points, [device], slot_floor("timestamp", chunk_minutes), ["timestamp", value], [value]
+        where_neighbours(
+            points, [device], slot_floor("timestamp", chunk_minutes), ["timestamp", value], [value],
+            wanted=(F.col("copies") == 1) & jump & back,
         )
-        .filter(F.col("copies") == 1)
-        .filter(F.abs(F.col(value) - F.col(f"prev_{value}")) > delta)
-        .filter(F.abs(F.col(value) - F.col(f"next_{value}")) > delta)
         .select(
             device, "timestamp", value,
             F.col(f"prev_{value}").alias("prev_temp"), F.col(f"next_{value}").alias("next_temp"),
