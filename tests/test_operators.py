@@ -332,3 +332,18 @@ def test_every_metric_of_a_line_is_listed(lines):
     assert rows(transcripts.transcript_metrics(parsed), "mention_no", "value", "unit") == [
         (1, 200.0, "milliseconds"), (2, 5.0, "seconds"), (3, 98.0, "percent"), (4, 0.1, "percent")
     ]
+
+
+# -- adapters -----------------------------------------------------------------------------------
+
+
+def test_payloads_of_any_form_are_read(spark):
+    from tidegauge.adapters import readings_from_events
+
+    payloads = ['{"k": 7}', '{"k":8}', '{"a": 1, "k": 9}', '{"k": -3}', '{"a": 1}', "broken", None]
+    events = spark.createDataFrame(
+        [(i, 1, "a", 1.0, p) for i, p in enumerate(payloads)],
+        "event_id long, user_id long, event_type string, value double, props string",
+    ).withColumn("ts", F.lit("2024-01-01").cast("timestamp_ntz"))
+    df = readings_from_events(events)
+    assert [r[0] for r in df.select("battery").collect()] == [7, 8, 9, -3, None, None, None]
