@@ -301,11 +301,11 @@ def lines(spark):
 
 def test_lines_of_another_form_are_kept(lines):
     parsed = transcripts.transcript_lines(
-        lines(["[14:35] 田中: CPU: 98%です", "", "no bracket", "[14:36] 鈴木: はい\r"])
+        lines(["[09:15] 青木: ディスク: 71%", "", "no bracket", "[09:16] Eva: 了解\r"])
     )
     assert rows(parsed.orderBy("line_no"), "hhmm", "speaker", "text") == [
-        ("14:35", "田中", "CPU: 98%です"), (None, None, ""), (None, None, "no bracket"),
-        ("14:36", "鈴木", "はい"),
+        ("09:15", "青木", "ディスク: 71%"), (None, None, ""), (None, None, "no bracket"),
+        ("09:16", "Eva", "了解"),
     ]
 
 
@@ -327,10 +327,10 @@ def test_timeline_carries_over_midnight(lines, monkeypatch):
 
 def test_every_metric_of_a_line_is_listed(lines):
     parsed = transcripts.transcript_lines(
-        lines(["[14:36] a: 通常200msのところ、5秒以上、CPUが98%で0.1 %以下、20分", "[14:37] b: none"])
+        lines(["[09:15] a: p95 350ms, 平均7秒, disk 71% and 0.4 % errors for 12 min", "[09:16] b: none"])
     )
     assert rows(transcripts.transcript_metrics(parsed), "mention_no", "value", "unit") == [
-        (1, 200.0, "milliseconds"), (2, 5.0, "seconds"), (3, 98.0, "percent"), (4, 0.1, "percent")
+        (1, 350.0, "milliseconds"), (2, 7.0, "seconds"), (3, 71.0, "percent"), (4, 0.4, "percent")
     ]
 
 
