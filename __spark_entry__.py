@@ -16,6 +16,14 @@ from tidegauge.sinks import files
 from tidegauge.sources import readings as source
 from tidegauge.sources.transcripts import scan_transcript_lines
 
+try:  # the operators for training data are an optional part
+    import corpus_pipeline
+    from tidegauge.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "tidegauge.llm", "tidegauge.llm.queries"):
+        raise
+    llm = None
+
 HOUR = 60  # reporting interval, in minutes, that fits the density of the test events
 DAY = "2024-01-15"
 RANGE = ("2024-01-10", "2024-01-12")
@@ -233,7 +241,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "transcript_lines": lines(lambda df: df),
         "transcript_timeline": lines(transcripts.transcript_timeline),
         "transcript_metrics": lines(transcripts.transcript_metrics),
-    }
+    } | ({"pipeline": corpus_pipeline.run, **llm.QUERIES} if llm else {})
 
 
 # -- the same results in SQL --------------------------------------------------------------------
@@ -534,4 +542,4 @@ def oracle_sql() -> dict[str, str]:
                  CAST(regexp_extract(hit, '[0-9.]+') AS DOUBLE) AS value,
                  CASE regexp_extract(hit, '(%|ms|秒)') WHEN '%' THEN 'percent'
                    WHEN 'ms' THEN 'milliseconds' ELSE 'seconds' END AS unit FROM h""",
-    }
+    } | (llm.SQL if llm else {})

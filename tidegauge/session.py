@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -35,23 +39,76 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder every executor can reach: the one the cluster names in spark.checkpoint.dir."""
+    """Folder every executor can reach: the one the cluster names in spark.checkpoint.dir.
+
+    A plain local master, where driver and executors are one process, gets a folder of its own when
+    none is named; it is removed when the process ends. Every other master must name one.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="tidegauge-")
+    given = spark.sparkContext.getCheckpointDir()
+    if given:
+        return given.rstrip("/")
+    if re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        if not _own_root:
+            _own_root.append(tempfile.mkdtemp(prefix="tidegauge-"))
+            atexit.register(shutil.rmtree, _own_root[0], ignore_errors=True)
+        return f"file://{_own_root[0]}"
     raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
 
 
+_own_root: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """Fresh path for data this run writes; never used twice."""
-    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """Fresh path for data this run writes; never used twice, removed when the process ends."""
+    path = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    if not _written:
+        atexit.register(_remove_written)
+    _written[path] = spark
+    return path
+
+
+_written: dict[str, SparkSession] = {}
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Spark's own file systems."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+    _written.pop(path, None)
+
+
+def _remove_written() -> None:
+    for path, spark in list(_written.items()):
+        with contextlib.suppress(Exception):  # the session may be gone already
+            remove_path(spark, path)
+
+
+class Scratch:
+    """Tables that a job writes to the shared folder and reads back.
+
+    Each is computed once, cuts the lineage and survives the loss of any executor. ``drop`` removes
+    those that no later step reads; the rest goes when the process ends.
+    """
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.root = spark, scratch_path(spark, label)
+
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{self.root}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            remove_path(self.spark, f"{self.root}/{name}")
 
 
 def durable(df: DataFrame) -> DataFrame:
     """Compute once and cut the lineage; survives the loss of any executor."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_root(spark))
-    return df.checkpoint()
+    return Scratch(df.sparkSession, "durable").table(df, "rows")
