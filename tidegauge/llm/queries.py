@@ -2,21 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidegauge.llm import byte_bpe
 from tidegauge.llm.jaccard_join import jaccard_join
+from tidegauge.llm.language_id import identify
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by naive Bayes over hashed character n-grams."""
+    return identify(_read(spark, sf_dir, "documents"))
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's token ids and of the bytes decoded from them."""
+    path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    encoded = byte_bpe.encode(_read(spark, sf_dir, "documents"), f"file://{path}", pattern, keep=["doc_id"])
+    return byte_bpe.decode(encoded, f"file://{path}", pattern).select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with nine tenths or more of their three-word shingles in common."""
     return jaccard_join(_read(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op3_language_id": op3_language_id,
+    "op4_byte_bpe": op4_byte_bpe,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
