@@ -10,6 +10,12 @@ from tidegauge.llm.tokens import mix, signed
 from tidegauge.session import Scratch
 
 FLUSH_ROWS = 500_000  # rows a map task holds while it combines equal keys
+BROADCAST_ROWS = 1_000_000  # most rows of a few numbers, about 50 bytes each, sent to every executor
+
+
+def small_side(side: DataFrame, rows: int) -> DataFrame:
+    """``side``, of ``rows`` narrow rows, for a broadcast if they are few; else the join shuffles."""
+    return F.broadcast(side) if rows <= BROADCAST_ROWS else side
 
 
 def _lead_batches(batches, order: list[str], names: list[str]):

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidegauge.llm.graph import bucket_links, components
+from tidegauge.llm.graph import bucket_links, components, small_side
 from tidegauge.llm.tokens import (
     distinct, flat_hashes, mix, offsets, runs, segment_sums, shingles, signed, text_chunks,
 )
@@ -219,14 +219,29 @@ def _open_cells(batches, size: int, percent: int):
 
 
 def _groups(members: DataFrame, scratch: Scratch) -> DataFrame:
-    """(class, group): the most popular signature's group, cut to GROUP classes."""
+    """(class, group): classes under the same popular signature, cut to GROUP classes.
+
+    A class's home is the most popular of its signatures. Each home then joins the largest home it has
+    a signature in common with, so that the many small homes around a popular one do not each become a
+    group.
+    """
     popular = scratch.table(members.groupBy("key").agg(F.count("*").alias("n")), "popular")
     home = members.join(popular, "key").groupBy("class").agg(F.max_by("key", F.struct("n", "key")).alias("home"))
     home = scratch.table(home, "home")
     sizes = scratch.table(home.groupBy("home").agg(F.count("*").alias("n")), "sizes")
+    sized = home.join(sizes, "home")
+    at_key = scratch.table(members.join(sized, "class").select("key", "home", "n").distinct(), "home-keys")
+    largest = at_key.groupBy("key").agg(F.max(F.struct("n", "home")).alias("top"))
+    largest = scratch.table(largest.select("key", "top.n", "top.home").toDF("key", "top_n", "top"), "largest")
+    leader = (
+        at_key.join(largest, "key").groupBy("home").agg(F.max_by("top", F.struct("top_n", "top")).alias("leader"))
+    )
+    leader = scratch.table(leader, "leader")
+    led = scratch.table(home.join(leader, "home").select("class", "leader"), "led")
+    sizes = scratch.table(led.groupBy("leader").agg(F.count("*").alias("n")), "led-sizes")
     slot = F.pmod(F.xxhash64("class"), F.ceil(F.col("n") / GROUP))
     return scratch.table(
-        home.join(sizes, "home").select("class", F.xxhash64("home", slot).alias("group")), "groups"
+        led.join(sizes, "leader").select("class", F.xxhash64("leader", slot).alias("group")), "groups"
     )
 
 
@@ -291,7 +306,8 @@ def jaccard_join(
     cells = scratch.table(_cells(members, groups, scratch), "cells")
 
     needed = scratch.table(classes.join(cells.select("class").distinct(), "class"), "needed")
-    texts = scratch.table(rows.join(needed, "doc_id").select("class", "copies", "text"), "texts")
+    texts = rows.join(small_side(needed, needed.count()), "doc_id").select("class", "copies", "text")
+    texts = scratch.table(texts, "texts")
     opened = (
         cells.join(texts, "class")
         .repartition("cell")
