@@ -6,14 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidegauge.llm import byte_bpe
+from tidegauge.llm.decontaminate import contaminated
 from tidegauge.llm.jaccard_join import jaccard_join
 from tidegauge.llm.language_id import identify
+from tidegauge.llm.substring_dedup import repeated_passages
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of documents that repeat a benchmark item."""
+    return contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by naive Bayes over hashed character n-grams."""
     return identify(_read(spark, sf_dir, "documents"))
@@ -31,14 +38,21 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of fifty words or more that repeat one of an earlier document."""
+    return repeated_passages(_read(spark, sf_dir, "documents"))
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with nine tenths or more of their three-word shingles in common."""
     return jaccard_join(_read(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op2_decontamination": op2_decontamination,
     "op3_language_id": op3_language_id,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_substring_dedup": op5_substring_dedup,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
