@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import base64
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
@@ -20,10 +22,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegauge.llm.tokens import text_chunks
+from tidegauge.llm.tokens import text_slices
 
-CACHE_WORDS = 300_000  # most words between spaces whose ids a worker remembers
-CACHE_PIECES = 500_000  # and most pre-tokens
+CACHE_WORDS = 150_000  # most words between spaces whose ids a worker remembers
+CACHE_PIECES = 400_000  # and most pre-tokens
 CACHE_LENGTH = 64  # longest word remembered, in characters
 
 
@@ -36,7 +38,6 @@ class BytePairs:
         self.ranks = ranks
         self.split = regex.compile(pattern).findall
         self.single = [ranks[bytes([b])] for b in range(256)]
-        self.token = {rank: piece for piece, rank in ranks.items()}
         self.pairs = {
             left << 16 | right: rank
             for piece, rank in ranks.items()
@@ -45,13 +46,23 @@ class BytePairs:
         }
         self.below = [0] * 256  # second level of the bitmap, empty between pre-tokens
         pieces = _Remembered(self._piece, CACHE_PIECES)
-        self.first = _Remembered(lambda word: b"".join(map(pieces.__getitem__, self.split(word))), 1000)
-        self.spaced = _Remembered(
-            lambda word: b"".join(map(pieces.__getitem__, self.split(" " + word))), CACHE_WORDS
-        )
+        known = pieces.__getitem__
+
+        def spaced(word: str) -> bytes:
+            core = word.rstrip(_MARKS)
+            if core.isalpha():  # letters, and then at most one run of marks: the pattern's matches
+                end = word[len(core) :]
+                return known(" " + core) + known(end) if end else known(" " + core)
+            return b"".join(map(known, self.split(" " + word)))
+
+        self.spaced = _Remembered(spaced, CACHE_WORDS)
+        self.first = _Remembered(lambda word: b"".join(map(known, self.split(word))), 1000)
 
     def _piece(self, piece: str) -> bytes:
-        return np.array(self.merge(piece.encode("utf-8", "surrogatepass")), "<u4").tobytes()
+        ids = array("I", self.merge(piece.encode("utf-8", "surrogatepass")))
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one pre-token.
@@ -75,45 +86,52 @@ class BytePairs:
                     buckets[rank].append(i)
                 else:
                     buckets[rank] = [i]
-                    below[rank >> 8] |= 1 << (rank & 255)
-                    top |= 1 << (rank >> 8)
+                    high = rank >> 8
+                    below[high] |= 1 << (rank & 255)
+                    top |= 1 << high
         while top:
             high = (top & -top).bit_length() - 1
             word = below[high]
             rank = high << 8 | (word & -word).bit_length() - 1
             bucket = buckets[rank]
-            i = heappop(bucket)
-            if not bucket:
+            if len(bucket) == 1:
+                i = bucket[0]
                 del buckets[rank]
                 below[high] = word = word & (word - 1)
                 if not word:
                     top &= top - 1
+            else:
+                i = heappop(bucket)
             if current[i] != rank:
                 continue  # stale: one of the two parts has changed since
             ids[i] = rank
             gone = after[i]
             current[gone] = -1
             after[i] = right = after[gone]
-            left = before[i]
             if right < n:
                 before[right] = i
-                new = current[i] = pair(rank << 16 | ids[right], -1)
-                changed = ((new, i),)
+                current[i] = new = pair(rank << 16 | ids[right], -1)
+                if new >= 0:
+                    if new in buckets:
+                        heappush(buckets[new], i)
+                    else:
+                        buckets[new] = [i]
+                        high = new >> 8
+                        below[high] |= 1 << (new & 255)
+                        top |= 1 << high
             else:
                 current[i] = -1
-                changed = ()
+            left = before[i]
             if left >= 0:
-                new = current[left] = pair(ids[left] << 16 | rank, -1)
-                changed += ((new, left),)
-            for new, at in changed:
-                if new < 0:
-                    continue
-                if new in buckets:
-                    heappush(buckets[new], at)
-                else:
-                    buckets[new] = [at]
-                    below[new >> 8] |= 1 << (new & 255)
-                    top |= 1 << (new >> 8)
+                current[left] = new = pair(ids[left] << 16 | rank, -1)
+                if new >= 0:
+                    if new in buckets:
+                        heappush(buckets[new], left)
+                    else:
+                        buckets[new] = [left]
+                        high = new >> 8
+                        below[high] |= 1 << (new & 255)
+                        top |= 1 << high
         out, i = [], 0
         while i < n:
             out.append(ids[i])
@@ -130,6 +148,7 @@ class BytePairs:
         return self.first[words[0]] + b"".join(map(self.spaced.__getitem__, words[1:]))
 
 
+_MARKS = ".,;:!?"
 _ODD = re.compile(r" (?:\s|\Z)")
 _LOOSE = re.compile(r" (?=\S)")
 
@@ -157,27 +176,34 @@ def read_ranks(spark: SparkSession, path: str) -> bytes:
     return bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
 
 
-@lru_cache(2)
-def _loaded(content: bytes, pattern: str) -> BytePairs:
+def _ranks(content: bytes) -> dict[bytes, int]:
     lines = (line.split() for line in content.splitlines() if line.strip())
-    return BytePairs({base64.b64decode(piece): int(rank) for piece, rank in lines}, pattern)
+    return {base64.b64decode(piece): int(rank) for piece, rank in lines}
+
+
+@lru_cache(1)
+def _loaded(content: bytes, pattern: str) -> BytePairs:
+    return BytePairs(_ranks(content), pattern)
+
+
+@lru_cache(1)
+def _tokens(content: bytes) -> dict[int, bytes]:
+    return {rank: piece for piece, rank in _ranks(content).items()}
 
 
 def _encode(batches, shared, pattern: str) -> Iterator[pa.RecordBatch]:
     pairs = _loaded(shared.value, pattern)
-    for batch in batches:
-        ids: list[bytes] = []
-        for (texts,) in text_chunks([batch], "text_to_encode"):
-            ids += [pairs.ids(t) if t else b"" for t in texts]
+    for batch in text_slices(batches, "text_to_encode"):
+        ids = [pairs.ids(t) if t else b"" for t in batch.column(batch.num_columns - 1).to_pylist()]
         yield pa.record_batch(
             [*(batch.column(i) for i in range(batch.num_columns - 1)), pa.array(ids, pa.binary())],
             names=[*batch.schema.names[:-1], "ids"],
         )
 
 
-def _decode(batches, shared, pattern: str) -> Iterator[pa.RecordBatch]:
-    token = _loaded(shared.value, pattern).token
-    for batch in batches:
+def _decode(batches, shared) -> Iterator[pa.RecordBatch]:
+    token = _tokens(shared.value)
+    for batch in text_slices(batches, "ids"):
         decoded = [
             b"".join(map(token.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
             for ids in batch.column("ids").to_pylist()
@@ -206,8 +232,8 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", kee
     return rows.mapInArrow(lambda it: _encode(it, shared, pattern), f"{schema}, ids binary")
 
 
-def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
+def decode(encoded: DataFrame, path: str) -> DataFrame:
     """The rows of ``encode`` with ``decoded``, the bytes that their ids stand for; null ids give none."""
     rows = encoded.drop("decoded")
     shared = encoded.sparkSession.sparkContext.broadcast(read_ranks(encoded.sparkSession, path))
-    return rows.mapInArrow(lambda it: _decode(it, shared, pattern), f"{_fields(rows)}, decoded binary")
+    return rows.mapInArrow(lambda it: _decode(it, shared), f"{_fields(rows)}, decoded binary")

@@ -30,7 +30,7 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's token ids and of the bytes decoded from them."""
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     encoded = byte_bpe.encode(_read(spark, sf_dir, "documents"), f"file://{path}", pattern, keep=["doc_id"])
-    return byte_bpe.decode(encoded, f"file://{path}", pattern).select(
+    return byte_bpe.decode(encoded, f"file://{path}").select(
         "doc_id",
         F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

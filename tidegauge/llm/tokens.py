@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 CACHE_WORDS = 400_000  # most words whose hashes a worker remembers
@@ -41,18 +42,21 @@ def word_hashes(tokens: list[bytes]) -> np.ndarray:
     return np.fromiter(map(_hashes.__getitem__, tokens), _U, len(tokens))
 
 
+def text_slices(batches, column: str) -> Iterator[pa.RecordBatch]:
+    """The batches cut into pieces with a bounded size of text each, unless one text alone is longer."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        piece = np.cumsum(sizes.astype(np.int64)) // BATCH_BYTES
+        edges = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(edges[:-1], edges[1:]):
+            if b > a:
+                yield batch.slice(a, b - a)
+
+
 def text_chunks(batches, *columns: str) -> Iterator[list[list]]:
     """Columns of the batches as Python lists, the first being text, in pieces of bounded size."""
-    for batch in batches:
-        lists = [batch.column(c).to_pylist() for c in columns]
-        start, size = 0, 0
-        for i, text in enumerate(lists[0]):
-            size += len(text) if text else 0
-            if size >= BATCH_BYTES:
-                yield [x[start : i + 1] for x in lists]
-                start, size = i + 1, 0
-        if start < len(lists[0]):
-            yield [x[start:] for x in lists]
+    for piece in text_slices(batches, columns[0]):
+        yield [piece.column(c).to_pylist() for c in columns]
 
 
 def flat_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
