@@ -139,13 +139,9 @@ class BytePairs:
         return out
 
     def ids(self, text: str) -> bytes:
-        """Ids of a whole text, little-endian, four bytes each.
-
-        A space before a character that is not white space always starts a new match of the pattern,
-        so the text is taken word by word, each word with its space.
-        """
-        words = _LOOSE.split(text) if _ODD.search(text) else text.split(" ")
-        return self.first[words[0]] + b"".join(map(self.spaced.__getitem__, words[1:]))
+        """Ids of a whole text, little-endian, four bytes each."""
+        first, spaced = word_parts(text)
+        return self.first[first] + b"".join(map(self.spaced.__getitem__, spaced))
 
 
 _MARKS = ".,;:!?"
@@ -153,6 +149,16 @@ _ODD = re.compile(r" (?:\s|\Z)")
 _LOOSE = re.compile(r" (?=\S)")
 
 
+def word_parts(text: str) -> tuple[str, list[str]]:
+    """The text up to the first word that has a space before it, and those words without the space.
+
+    A space before a character that is not white space always starts a new match of a byte-level split
+    pattern, so a text can be taken word by word, each word with its space.
+    """
+    words = _LOOSE.split(text) if _ODD.search(text) else text.split(" ")
+    return words[0], words[1:]
+
+
 class _Remembered(dict):
     """Results of a function on short words; those not asked for in a long time are forgotten."""
 

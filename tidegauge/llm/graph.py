@@ -154,3 +154,37 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         step = step.select("node", F.coalesce("root", "to").alias("root"))
         root = scratch.table(step, f"{name}-roots-{k}")
     return root
+
+
+def spanning(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Smallest index of each node's component, for the edges i - j among n nodes."""
+    root = np.arange(n)
+    while True:
+        before = root.copy()
+        low = np.minimum(root[i], root[j])
+        np.minimum.at(root, i, low)
+        np.minimum.at(root, j, low)
+        root = root[root]
+        if (root == before).all():
+            return root
+
+
+def class_results(classes: DataFrame, opened: DataFrame, scratch: Scratch) -> DataFrame:
+    """(class, component_id, n_links) of the stored ``classes`` (class, id, copies).
+
+    ``opened`` has a class's links to rows of other classes, as sums to be added up, and an edge to a
+    class of the same component. Rows of one class are all linked.
+    """
+    edges = opened.select(F.col("class").alias("a"), F.col("root").alias("b"))
+    roots = components(edges, scratch, "tree").withColumnRenamed("node", "class")
+    known = classes.join(roots, "class", "left").select(
+        "class", "id", "copies", F.coalesce("root", "class").alias("root")
+    )
+    known = scratch.table(known, "known")
+    least = scratch.table(known.groupBy("root").agg(F.min("id").alias("component_id")), "least")
+    sums = scratch.table(opened.groupBy("class").agg(F.sum("links").alias("links")), "sums")
+    links = F.coalesce("links", F.lit(0)) + F.col("copies") - 1
+    known = known.join(least, "root").join(sums, "class", "left").select(
+        "class", "component_id", links.alias("n_links")
+    )
+    return scratch.table(known, "class-results")

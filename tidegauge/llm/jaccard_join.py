@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidegauge.llm.graph import bucket_links, components, small_side
+from tidegauge.llm.graph import bucket_links, class_results, small_side, spanning
 from tidegauge.llm.tokens import (
     distinct, flat_hashes, mix, offsets, runs, segment_sums, shingles, signed, text_chunks,
 )
@@ -173,19 +173,6 @@ def open_pair(left: list[np.ndarray], right: list[np.ndarray] | None, percent: i
     return a[i], b[j]
 
 
-def spanning(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Smallest index of each node's component."""
-    root = np.arange(n)
-    while True:
-        low = np.minimum(root[i], root[j])
-        before = root.copy()
-        np.minimum.at(root, i, low)
-        np.minimum.at(root, j, low)
-        root = root[root]
-        if (root == before).all():
-            return root
-
-
 def _open_cells(batches, size: int, percent: int):
     for cell in runs(batches, "cell"):
         classes = cell.column("class").to_numpy()
@@ -315,18 +302,7 @@ def jaccard_join(
         .mapInArrow(lambda it: _open_cells(it, size, percent), "class long, root long, links long")
     )
     opened = scratch.table(opened, "opened")
-    roots = components(opened.select(F.col("class").alias("a"), F.col("root").alias("b")), scratch, "tree")
-
-    known = classes.join(roots, classes["class"] == roots["node"], "left").select(
-        classes["class"], "doc_id", "copies", F.coalesce("root", "class").alias("root")
-    )
-    known = scratch.table(known, "known")
-    least = scratch.table(known.groupBy("root").agg(F.min("doc_id").alias("component_id")), "least")
-    sums = opened.groupBy("class").agg(F.sum("links").alias("links"))
-    known = known.join(least, "root").join(sums, "class", "left").select(
-        "class", "component_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
-    )
-    known = scratch.table(known, "result")
+    known = class_results(classes.withColumnRenamed("doc_id", "id"), opened, scratch)
     scratch.drop("links", "members", "texts", "cells")
     linked = full.select("doc_id", "n_shingles", "class").join(known, "class")
     rest = sketches.filter("n_shingles = 0 OR doc_id IS NULL")

@@ -5,17 +5,24 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegauge.llm import byte_bpe
+from tidegauge.llm import byte_bpe, token_records
 from tidegauge.llm.decontaminate import contaminated
 from tidegauge.llm.jaccard_join import jaccard_join
 from tidegauge.llm.language_id import identify
+from tidegauge.llm.near_vectors import near_vectors
 from tidegauge.llm.substring_dedup import repeated_passages
+from tidegauge.session import scratch_path
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of one label whose cosine is 0.98 or more."""
+    return near_vectors(_read(spark, sf_dir, "embeddings"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of documents that repeat a benchmark item."""
     return contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
@@ -43,16 +50,28 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(_read(spark, sf_dir, "documents"))
 
 
+def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place and checksum, as read back from the record files."""
+    root = scratch_path(spark, "token-records")
+    path = f"file://{public_tokenizers.path('byte_bpe_50k.json')}"
+    token_records.write_records(_read(spark, sf_dir, "documents"), root, path, end=0)
+    return token_records.read_records(spark, root).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with nine tenths or more of their three-word shingles in common."""
     return jaccard_join(_read(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_near_vectors": op1_near_vectors,
     "op2_decontamination": op2_decontamination,
     "op3_language_id": op3_language_id,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_token_records": op6_token_records,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
