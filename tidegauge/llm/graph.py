@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidegauge.llm.tokens import mix, signed
 from tidegauge.session import Scratch
 
-FLUSH_ROWS = 500_000  # rows a map task holds while it combines equal keys
+FLUSH_ROWS = 250_000  # rows a map task holds while it combines equal keys
 BROADCAST_ROWS = 1_000_000  # most rows of a few numbers, about 50 bytes each, sent to every executor
 
 

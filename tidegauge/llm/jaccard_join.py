@@ -30,7 +30,8 @@ from tidegauge.llm.tokens import (
 )
 from tidegauge.session import Scratch
 
-GROUP = 256  # most classes of a group
+GROUP = 256  # classes of a group, about
+GROUP_SHINGLES = 200_000  # and shingles of all its classes, unless one alone has more
 SPARE = 2  # parts beyond the need, so that a set with few empty parts can leave them out
 BAND = 1.4  # ratio of the largest to the smallest set of a size band
 _U = np.uint64
@@ -112,10 +113,12 @@ def _sketch(batches, size: int, plan: _Plan):
 
 def _flat_signatures(batches):
     for batch in batches:
-        lists = batch.column("signatures")
-        counts = np.diff(lists.offsets.to_numpy())
-        owner = np.repeat(batch.column("class").to_numpy(), counts)
-        yield pa.record_batch({"key": lists.flatten(), "class": owner})
+        for start in range(0, batch.num_rows, 1000):
+            part = batch.slice(start, 1000)
+            lists = part.column("signatures")
+            counts = np.diff(lists.offsets.to_numpy())
+            owner = np.repeat(part.column("class").to_numpy(), counts)
+            yield pa.record_batch({"key": lists.flatten(), "class": owner})
 
 
 def _intersections(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
@@ -205,8 +208,8 @@ def _open_cells(batches, size: int, percent: int):
         )
 
 
-def _groups(members: DataFrame, scratch: Scratch) -> DataFrame:
-    """(class, group): classes under the same popular signature, cut to GROUP classes.
+def _groups(members: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(class, group): classes under the same popular signature, cut to a bounded size.
 
     A class's home is the most popular of its signatures. Each home then joins the largest home it has
     a signature in common with, so that the many small homes around a popular one do not each become a
@@ -224,9 +227,11 @@ def _groups(members: DataFrame, scratch: Scratch) -> DataFrame:
         at_key.join(largest, "key").groupBy("home").agg(F.max_by("top", F.struct("top_n", "top")).alias("leader"))
     )
     leader = scratch.table(leader, "leader")
-    led = scratch.table(home.join(leader, "home").select("class", "leader"), "led")
-    sizes = scratch.table(led.groupBy("leader").agg(F.count("*").alias("n")), "led-sizes")
-    slot = F.pmod(F.xxhash64("class"), F.ceil(F.col("n") / GROUP))
+    led = home.join(leader, "home").join(classes.select("class", "n_shingles"), "class")
+    led = scratch.table(led.select("class", "leader", "n_shingles"), "led")
+    slots = F.ceil(F.greatest(F.count("*") / GROUP, F.sum("n_shingles") / GROUP_SHINGLES))
+    sizes = scratch.table(led.groupBy("leader").agg(slots.alias("slots")), "led-sizes")
+    slot = F.pmod(F.xxhash64("class"), F.col("slots"))
     return scratch.table(
         led.join(sizes, "leader").select("class", F.xxhash64("leader", slot).alias("group")), "groups"
     )
@@ -281,7 +286,10 @@ def jaccard_join(
     )
     full = sketches.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = scratch.table(
-        full.groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")), "classes"
+        full.groupBy("class").agg(
+            F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.max("n_shingles").alias("n_shingles")
+        ),
+        "classes",
     )
     links = bucket_links(
         full.select("class", "signatures").mapInArrow(_flat_signatures, "key long, class long"), ["class"]
@@ -289,10 +297,11 @@ def jaccard_join(
     links = scratch.table(links, "links")
     members = links.select("key", "class").union(links.select("key", "lead_class")).distinct()
     members = scratch.table(members, "members")
-    groups = _groups(members, scratch)
+    groups = _groups(members, classes, scratch)
     cells = scratch.table(_cells(members, groups, scratch), "cells")
 
-    needed = scratch.table(classes.join(cells.select("class").distinct(), "class"), "needed")
+    needed = classes.drop("n_shingles").join(cells.select("class").distinct(), "class")
+    needed = scratch.table(needed, "needed")
     texts = rows.join(small_side(needed, needed.count()), "doc_id").select("class", "copies", "text")
     texts = scratch.table(texts, "texts")
     opened = (
@@ -302,7 +311,7 @@ def jaccard_join(
         .mapInArrow(lambda it: _open_cells(it, size, percent), "class long, root long, links long")
     )
     opened = scratch.table(opened, "opened")
-    known = class_results(classes.withColumnRenamed("doc_id", "id"), opened, scratch)
+    known = class_results(classes.select("class", F.col("doc_id").alias("id"), "copies"), opened, scratch)
     scratch.drop("links", "members", "texts", "cells")
     linked = full.select("doc_id", "n_shingles", "class").join(known, "class")
     rest = sketches.filter("n_shingles = 0 OR doc_id IS NULL")

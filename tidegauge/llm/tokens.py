@@ -9,8 +9,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-CACHE_WORDS = 400_000  # most words whose hashes a worker remembers
-BATCH_BYTES = 2_000_000  # text that one vectorised step takes, unless one text alone is longer
+CACHE_WORDS = 250_000  # most words whose hashes a worker remembers
+BATCH_BYTES = 1_000_000  # text that one vectorised step takes, unless one text alone is longer
 
 _U = np.uint64
 
@@ -51,6 +51,7 @@ def text_slices(batches, column: str) -> Iterator[pa.RecordBatch]:
         for a, b in zip(edges[:-1], edges[1:]):
             if b > a:
                 yield batch.slice(a, b - a)
+        pa.default_memory_pool().release_unused()
 
 
 def text_chunks(batches, *columns: str) -> Iterator[list[list]]:
@@ -142,3 +143,4 @@ def runs(batches, key: str) -> Iterator[pa.Table]:
             held.append(batch.slice(a, b - a))
     if held:
         yield pa.Table.from_batches(held)
+    pa.default_memory_pool().release_unused()
