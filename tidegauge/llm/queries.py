@@ -11,6 +11,8 @@ from tidegauge.llm.jaccard_join import jaccard_join
 from tidegauge.llm.language_id import identify
 from tidegauge.llm.near_vectors import near_vectors
 from tidegauge.llm.substring_dedup import repeated_passages
+from tidegauge.llm.url_filter import url_host, url_path, url_verdicts
+from tidegauge.llm.warc import read_warc, write_warc
 from tidegauge.session import scratch_path
 
 
@@ -60,6 +62,45 @@ def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record, as read back from the archives."""
+    path = scratch_path(spark, "warc")
+    write_warc(_read(spark, sf_dir, "pages"), path)
+    return read_warc(spark, path).select(
+        "page_id",
+        F.coalesce(F.octet_length("payload").cast("long"), F.col("payload_bytes")).alias("payload_bytes"),
+        "payload_digest", "record_type", "refers_to",
+    )
+
+
+def _captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages, each fetched at a minute of the year that its number gives."""
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    minute = (F.col("page_id") * 7919 % 525600).cast("int")
+    return _read(spark, sf_dir, "pages").select(
+        "page_id", "url", F.timestamp_add("MINUTE", minute, start).alias("fetched_at")
+    )
+
+
+def _list_changes(captures: DataFrame) -> DataFrame:
+    """A dated list change that each capture causes 30 days later, of the list of its first folder."""
+    host, folder = url_host(F.col("url")), F.split_part(url_path(F.col("url")), F.lit("/"), F.lit(2))
+    kind = F.when(host.startswith("m."), "host").when(host.startswith("blog.") | host.startswith("www."), "domain")
+    kind = kind.otherwise("prefix")
+    pattern = F.when(kind == "host", host).when(kind == "domain", F.regexp_replace(host, r"^[^.]*\.", ""))
+    action = F.when(F.col("url").contains("?"), "allow").when(F.col("url").contains("#"), "clear").otherwise("block")
+    return captures.select(
+        folder.alias("list"), kind.alias("kind"), pattern.otherwise(F.concat(host, F.lit("/"), folder)).alias("pattern"),
+        action.alias("action"), F.timestamp_add("DAY", F.lit(30), F.col("fetched_at")).alias("at"),
+    )
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page against the lists as they stood when it was fetched."""
+    captures = _captures(spark, sf_dir)
+    return url_verdicts(captures, _list_changes(captures))
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with nine tenths or more of their three-word shingles in common."""
     return jaccard_join(_read(spark, sf_dir, "documents"))
@@ -72,7 +113,40 @@ QUERIES = {
     "op4_byte_bpe": op4_byte_bpe,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_token_records": op6_token_records,
+    "op7_warc": op7_warc,
+    "op8_url_filter": op8_url_filter,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
-SQL: dict[str, str] = {}
+SQL = {
+    "op8_url_filter": r"""
+      WITH c AS (
+        SELECT page_id, url, TIMESTAMP '2024-01-01' + to_minutes(CAST(page_id * 7919 % 525600 AS BIGINT)) AS t,
+               lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS host,
+               regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*(/[^?#]*)', 1) AS path
+        FROM pages),
+      d AS (
+        SELECT split_part(path, '/', 2) AS list, t + INTERVAL 30 DAY AS since, host,
+               CASE WHEN host LIKE 'm.%' THEN 'host' WHEN host LIKE 'blog.%' OR host LIKE 'www.%' THEN 'domain'
+                    ELSE 'prefix' END AS kind,
+               CASE WHEN contains(url, '?') THEN 'allow' WHEN contains(url, '#') THEN 'clear' ELSE 'block' END AS action
+        FROM c),
+      e AS (
+        SELECT list, kind, since, max(action) AS action,
+               CASE kind WHEN 'host' THEN host WHEN 'domain' THEN regexp_replace(host, '^[^.]*\.', '')
+                    ELSE host || '/' || list END AS pattern
+        FROM d GROUP BY ALL),
+      i AS (
+        SELECT *, lead(since) OVER (PARTITION BY list, kind, pattern ORDER BY since) AS until FROM e),
+      m AS (
+        SELECT c.page_id, c.url, c.t, i.action FROM c JOIN i
+          ON c.t >= i.since AND (i.until IS NULL OR c.t < i.until)
+         AND CASE i.kind WHEN 'host' THEN c.host = i.pattern
+                         WHEN 'domain' THEN c.host = i.pattern OR ends_with(c.host, '.' || i.pattern)
+                         ELSE starts_with(rtrim(c.host || c.path, '/') || '/', i.pattern || '/') END)
+      SELECT c.page_id, c.url, c.t AS fetched_at,
+             count(*) FILTER (m.action = 'block') AS n_block, count(*) FILTER (m.action = 'allow') AS n_allow,
+             CAST(1 AS BIGINT) AS copies,
+             count(*) FILTER (m.action = 'block') > 0 AND count(*) FILTER (m.action = 'allow') = 0 AS blocked
+      FROM c LEFT JOIN m USING (page_id, url) GROUP BY ALL""",
+}
