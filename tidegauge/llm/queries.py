@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidegauge.llm import byte_bpe, token_records
+from tidegauge.llm.class_lm import lm_scores
 from tidegauge.llm.decontaminate import contaminated
 from tidegauge.llm.jaccard_join import jaccard_join
 from tidegauge.llm.language_id import identify
@@ -101,6 +102,11 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_verdicts(captures, _list_changes(captures))
 
 
+def op9_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document by a class-based bigram model and by its unigram base."""
+    return lm_scores(_read(spark, sf_dir, "documents"))
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with nine tenths or more of their three-word shingles in common."""
     return jaccard_join(_read(spark, sf_dir, "documents"))
@@ -115,6 +121,7 @@ QUERIES = {
     "op6_token_records": op6_token_records,
     "op7_warc": op7_warc,
     "op8_url_filter": op8_url_filter,
+    "op9_class_lm": op9_class_lm,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
