@@ -1,0 +1,52 @@
+"""Plain versions of the definitions, for small tables."""
+
+from __future__ import annotations
+
+import collections
+import random
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def words(text):
+    return (text or "").encode().lower().split()
+
+
+def shingles(text, size):
+    w = words(text)
+    if not w:
+        return set()
+    return {tuple(w[i : i + size]) for i in range(len(w) - size + 1)} if len(w) >= size else {tuple(w)}
+
+
+def components(nodes, edges):
+    root = {n: n for n in nodes}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def prose(rng: random.Random, n: int) -> str:
+    return " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 6))) for _ in range(n))
+
+
+def edited(rng: random.Random, text: str, n: int) -> str:
+    w = text.split(" ")
+    for _ in range(n):
+        w[rng.randrange(len(w))] = "changed" + str(rng.randrange(1000))
+    return " ".join(w)
+
+
+def by_id(df, key="doc_id"):
+    out = collections.defaultdict(list)
+    for r in df.collect():
+        out[r[key]].append(r)
+    return out

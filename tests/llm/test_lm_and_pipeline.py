@@ -1,0 +1,161 @@
+"""The class-based model against plain sums, and the pipeline against its definitions."""
+
+import collections
+import math
+import random
+import zlib
+
+import corpus_pipeline
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from llm.helpers import DOCS, SF, by_id, prose, words
+from tidegauge.llm import class_lm as lm
+from tidegauge.llm.queries import QUERIES
+from tidegauge.session import Scratch
+
+
+def is_held(doc):
+    return doc is not None and zlib.crc32(str(doc).encode()) % 7 == 2
+
+
+def expected_base(docs):
+    count, total, texts = collections.Counter(), 0, 0
+    for doc, text in docs:
+        if not is_held(doc):
+            count.update(words(text))
+            total += len(words(text)) + 1
+            texts += 1
+    kinds = len(count) + (texts > 0)
+    out = []
+    for doc, text in docs:
+        w = words(text)
+        base = sum(math.log10((count[x] + 1) / (total + kinds)) for x in w) + math.log10((texts + 1) / (total + kinds))
+        out.append((doc, is_held(doc), len(w) + 1, sum(count[x] > 0 for x in w) + (texts > 0), total, base))
+    return out
+
+
+def same(found, want):
+    key = lambda r: (str(r[0]), r[2], r[5])
+    rows = sorted(((r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) for r in found), key=key)
+    want = sorted(want, key=key)
+    assert [r[:5] for r in rows] == [r[:5] for r in want]
+    assert np.allclose([r[5] for r in rows], [r[5] for r in want], rtol=1e-9)
+
+
+@pytest.mark.parametrize("head", [5, 100_000])
+def test_base_and_counts(spark, head):
+    rng = random.Random(3)
+    docs = [(i, prose(rng, rng.randrange(60))) for i in range(40)] + [(None, "A a\tb"), (90, None), (91, ""), (7, "x y"), (92, "ß Ü ü")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("word", F.lit("clash"))
+    found = lm.lm_scores(df, clustered=4, classes=2, rounds=2, head=head).collect()
+    same(found, expected_base(docs))
+    assert lm.lm_scores(df.limit(0)).collect() == []
+
+
+def test_scores_are_probabilities(spark):
+    """Over all continuations of one word, the known ones and the unknown, probabilities sum to one."""
+    docs = [(i, t) for i, t in enumerate(["a b a b c", "b a d", "c c e", "a b"] * 5) if not is_held(i)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    _, scorer, tokens, others = lm.fit(df, Scratch(spark, "t"), clustered=3, classes=2, rounds=3, head=100)
+    assert np.allclose((10.0 ** scorer.transitions).sum(1), 1)
+    mass = collections.defaultdict(float)
+    for word, i in scorer.head.items():
+        mass[scorer.classes[i]] += 10.0 ** scorer.emissions[i]
+    rest = scorer.classes[-1]
+    mass[rest] += 1 / others  # the unknown word
+    assert all(math.isclose(m, 1) for m in mass.values())
+    assert tokens == sum(len(t.split()) + 1 for _, t in docs)
+
+
+def test_scores_equal_a_plain_product(spark):
+    docs = [(i, t) for i, t in enumerate(["a b a b c", "b a d", "c c e zz", "a b"] * 4)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    train = df.filter(~lm.held_out())
+    counts, s, _, others = lm.fit(train, Scratch(spark, "t"), clustered=2, classes=2, rounds=3, head=3)
+    n = {bytes(r["word"]): r["n"] for r in counts.collect()}
+    for r in lm.lm_scores(df, clustered=2, classes=2, rounds=3, head=3).collect():
+        at, want = s.end, 0.0
+        for w in [*words(dict(docs)[r["doc_id"]]), None]:
+            i = s.head.get(w, len(s.head))
+            to = s.end if w is None else s.classes[i]
+            emit = 0 if w is None else s.emissions[i] if w in s.head else math.log10((n.get(w, 0) + 1) / others)
+            want, at = want + s.transitions[at, to] + emit, to
+        assert math.isclose(r["score"], want, rel_tol=1e-9)
+
+
+def test_exchange_gains_equal_the_likelihood():
+    rng = np.random.default_rng(2)
+    size, classes = 8, 3
+    n = rng.integers(0, 9, (size + 2, size + 2)).astype(float)
+    of = np.concatenate([rng.integers(0, classes, size), [classes, classes + 1]])
+
+    def table(of):
+        t = np.zeros((classes + 2, classes + 2))
+        np.add.at(t, (of[:, None].repeat(size + 2, 1), of[None].repeat(size + 2, 0)), n)
+        return t
+
+    def likelihood(t):
+        f = lm._f
+        return f(t).sum() - f(t.sum(1)).sum() - f(t.sum(0)).sum()
+
+    for w in range(size):
+        others = np.arange(size + 2) != w
+        left = np.bincount(of[others], n[others, w], classes + 2)
+        right = np.bincount(of[others], n[w, others], classes + 2)
+        best, gain = lm.best_class(left, right, n[w, w], of[w], table(of), classes)
+        values = []
+        for k in range(classes):
+            moved = of.copy()
+            moved[w] = k
+            values.append(likelihood(table(moved)))
+        assert math.isclose(max(values) - values[of[w]], gain, abs_tol=1e-6)
+        assert math.isclose(values[best], max(values))
+
+
+def test_the_model_beats_its_base_on_held_out_texts(spark):
+    sf = "/root/testdata/sf0.01"
+    found = QUERIES["op9_class_lm"](spark, sf).collect()
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    same(found, expected_base(docs))
+    held = [r for r in found if r["held_out"]]
+    assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+    assert all(math.isclose(r["perplexity"], 10 ** (-r["score"] / r["n_tokens"])) for r in found)
+
+
+# -- pipeline -------------------------------------------------------------------------------------
+
+
+def test_stages_keep_rows_and_columns(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    names, scratch = docs.columns, Scratch(spark, "stages")
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        out = scratch.table(stage(spark, docs, SF), str(k))
+        last = k == len(corpus_pipeline.STAGES) - 1
+        assert out.columns == names + ["ids", "n_tokens"] * last
+        ids = [r["doc_id"] for r in out.select("doc_id").collect()]
+        assert len(ids) == len(set(ids)) and set(ids) <= {r["doc_id"] for r in docs.collect()}
+        docs = out
+    found = by_id(corpus_pipeline.run(spark, SF))
+    assert {d: bytes(r["ids"]) for d, (r,) in found.items()} == {r["doc_id"]: bytes(r["ids"]) for r in docs.collect()}
+
+
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    rng = random.Random(1)
+    clean = [prose(rng, 80) for _ in range(30)]
+    item, passage = prose(rng, 30), prose(rng, 70)
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(clean)]
+    rows += [(100, clean[0], "en", "s", 1), (101, f"{prose(rng, 40)} {item}", "en", "s", 1), (102, "123 !", "en", "s", 1),
+             (103, f"{prose(rng, 60)} {passage}", "en", "s", 1), (104, f"{passage} {prose(rng, 60)}", None, None, None),
+             (105, None, "en", "s", 0), (5, clean[5], "en", "s", len(clean[5]))]
+    spark.createDataFrame(rows, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    out = by_id(corpus_pipeline.run(spark, str(tmp_path)))
+    assert set(out) == set(range(30)) | {103, 104}
+    assert all(len(r) == 1 for r in out.values())
+    assert passage in out[103][0]["text"] and passage not in out[104][0]["text"]
+    assert [out[i][0]["text"] for i in range(30)] == clean
+    spark.createDataFrame([], DOCS).write.parquet(f"{tmp_path}/none/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/none/benchmark.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").collect() == []
