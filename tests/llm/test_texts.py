@@ -197,7 +197,8 @@ def test_repeats_are_found_and_cut(spark, monkeypatch):
     for i in (1, 2, 3):
         assert passages[i] in cut[10 * i]["text"] and passages[i] not in cut[10 * i + 1]["text"]
         left = cut[10 * i + 1]["text"].split()
-        assert len(left) == len(dict(docs)[10 * i + 1].split()) - len(passages[i].split())
+        gone = len(dict(docs)[10 * i + 1].split()) - len(left) - len(passages[i].split())
+        assert 0 <= gone <= 2  # words beside the passage may be equal by chance
     assert sd.repeated_passages(df.limit(0)).collect() == [] == sd.remove_repeats(df.limit(0)).collect()
 
 

@@ -89,7 +89,8 @@ def contaminated(
     items = with_shingles(benchmark.select(F.col("item_id").cast("long"), F.col("text")), F.col("text"), size)
     items = items.drop("text").filter("item_id IS NOT NULL AND n_words >= %d" % size).distinct()
     items = scratch.table(items, "item-shingles")
-    items = scratch.table(items.withColumn("print", simhash(F.col("shingles"))), "items")
+    items = items.withColumns({"print": simhash(F.col("shingles")), "of_item": F.xxhash64("item_id", "shingles")})
+    items = scratch.table(items, "items")
     known = items.select("n_words", F.posexplode("shingles").alias("at", "shingle")).distinct()
     known = scratch.table(known, "known")
     n_known, n_items = known.count(), items.count()
@@ -110,30 +111,32 @@ def contaminated(
         "doc_id", "w.start", "w.n_words",
         F.slice("shingles", F.col("w.start") + 1, F.col("w.n_words") - size + 1).alias("shingles"),
     )
-    windows = scratch.table(windows.filter(F.size("shingles") > 0), "window-shingles")
+    # Rows that repeat give equal windows; rows of one id with different texts keep theirs apart.
+    windows = windows.filter(F.size("shingles") > 0).withColumn("of_doc", F.xxhash64("doc_id", "start", "shingles"))
+    windows = scratch.table(windows.dropDuplicates(["of_doc"]), "window-shingles")
     windows = scratch.table(windows.withColumn("print", simhash(F.col("shingles"))), "windows")
 
     block = F.explode(_blocks(F.col("print"), radius)).alias("b")
-    left = windows.select("doc_id", "start", "n_words", "print", block)
-    left = left.select("doc_id", "start", "n_words", "print", "b.block", "b.bits")
-    right = items.select("item_id", "n_words", "print", block)
-    right = right.select("item_id", "n_words", F.col("print").alias("item_print"), "b.block", "b.bits")
+    left = windows.select("doc_id", "of_doc", "start", "n_words", "print", block)
+    left = left.select("doc_id", "of_doc", "start", "n_words", "print", "b.block", "b.bits")
+    right = items.select("item_id", "of_item", "n_words", "print", block)
+    right = right.select("item_id", "of_item", "n_words", F.col("print").alias("item_print"), "b.block", "b.bits")
     distance = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print")))
     near = (
         left.join(small_side(right, n_items * (radius + 1)), ["n_words", "block", "bits"])
         .filter(distance <= radius)
-        .select("doc_id", "start", "n_words", "item_id", distance.alias("distance"))
+        .select("doc_id", "of_doc", "start", "n_words", "item_id", "of_item", distance.alias("distance"))
         .distinct()
     )
     near = scratch.table(near, "near")
 
-    key = ["doc_id", "start", "n_words", "item_id", "distance"]
+    key = near.columns
     one, none = F.lit(1), F.lit(0)
     both = (
-        near.join(windows.drop("print"), ["doc_id", "start", "n_words"])
+        near.join(windows.select("of_doc", "shingles"), "of_doc")
         .select(*key, F.explode("shingles").alias("shingle"), one.alias("mine"), none.alias("theirs"))
         .union(
-            near.join(small_side(items.select("item_id", "shingles"), n_known), "item_id")
+            near.join(small_side(items.select("of_item", "shingles"), n_known), "of_item")
             .select(*key, F.explode("shingles").alias("shingle"), none, one)
         )
     )
@@ -144,7 +147,7 @@ def contaminated(
     return sums.filter(F.col("common") * 100 >= F.col("either") * percent).select(
         "doc_id", "item_id", F.col("start").cast("long").alias("start"), F.col("n_words").cast("long").alias("n_words"),
         F.col("distance").cast("long").alias("distance"), (F.col("common") / F.col("either")).alias("similarity"),
-    )
+    ).distinct()
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

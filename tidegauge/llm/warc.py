@@ -137,7 +137,9 @@ class WarcReader(DataSourceReader):
             names = json.loads(stream.read())
         return [_File(f"{self.path}/{name}") for name in sorted(names)]
 
-    def read(self, partition: _File) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: _File | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # there are no files
+            return
         system, path = fs.FileSystem.from_uri(partition.path)
         fields = [f for f in pa.schema(_ARROW) if f.name in self.columns]
         schema = pa.schema([next(f for f in fields if f.name == n) for n in self.columns])
