@@ -6,6 +6,8 @@ shares most of its shingles, so nothing similar is left out. Each window's finge
 of its shingles, weighted by how often they occur. Fingerprints are cut into ``radius + 1`` blocks: two
 within the radius agree in at least one block, so a join on the blocks finds all of them. The pairs
 found are then compared exactly by the weighted Jaccard similarity of their shingles.
+
+Documents are first probed at a stride that the threshold and the shortest item allow.
 """
 
 from __future__ import annotations
@@ -29,13 +31,22 @@ def word_array(text: Column) -> Column:
     )
 
 
+def _with_hashes(rows: DataFrame, text: Column) -> DataFrame:
+    """Add ``hashes``, those of the words.
+
+    The generator keeps the array from being computed again wherever it is used.
+    """
+    hashes = F.transform(word_array(text), lambda w: F.xxhash64(w))
+    return rows.select(*rows.columns, F.explode(F.array(hashes)).alias("hashes"))
+
+
 def with_shingles(rows: DataFrame, text: Column, size: int = SIZE) -> DataFrame:
     """Add n_words, and ``shingles``: the hash of each run of ``size`` words, in order.
 
     The word hashes are a column of their own, zipped with themselves at each offset, so that no
     function over an element has to reach back into the array.
     """
-    hashed = rows.withColumn("hashes", F.transform(word_array(text), lambda w: F.xxhash64(w)))
+    hashed = _with_hashes(rows, text)
     count = F.greatest(F.size("hashes") - size + 1, F.lit(0))
     runs = F.arrays_zip(*(F.slice("hashes", j + 1, count).alias(f"h{j}") for j in range(size)))
     return hashed.withColumns({"n_words": F.size("hashes"), "runs": runs}).drop("hashes").withColumn(
@@ -43,6 +54,26 @@ def with_shingles(rows: DataFrame, text: Column, size: int = SIZE) -> DataFrame:
     ).drop("runs")
 
 
+def with_sampled_shingles(rows: DataFrame, text: Column, stride: int, size: int = SIZE) -> DataFrame:
+    """Add ``shingles``: the hashes of the runs of ``size`` words that start at every ``stride``-th word."""
+    hashed = _with_hashes(rows, text)
+    last = F.size("hashes") - size
+    starts = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)), F.lit(stride)))
+    shingle = lambda i: F.xxhash64(*(F.get("hashes", i + j) for j in range(size)))
+    return hashed.select(*rows.columns, F.transform(starts, shingle).alias("shingles"))
+
+
+def stride_of(shingles: int, percent: int) -> int:
+    """How far apart a text may be probed for an item of so many shingles, without missing it.
+
+    A window that reaches the threshold lacks at most u of the item's n shingles, and every break
+    between runs of shingles found in a row costs at least one. So the n - u others form at most u + 1
+    runs, and one of them is as long as the stride if n - u > (stride - 1) * (u + 1).
+    """
+    u = shingles * (100 - percent) // 100
+    return max((shingles - u - 1) // (u + 1) + 1, 1)
+
+
 def simhash(shingles: Column) -> Column:
     """Fingerprint of BITS bits; a shingle counts as often as it occurs.
 
@@ -97,6 +128,14 @@ def contaminated(
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     texts = texts.filter("doc_id IS NOT NULL")
+    # Most documents hold no item: those that do are found by probing a part of their shingles.
+    least = items.agg(F.min("n_words")).first()[0] or size
+    stride = stride_of(least - size + 1, percent)
+    probes = with_sampled_shingles(texts, F.col("text"), stride, size).select("doc_id", F.explode("shingles").alias("shingle"))
+    suspects = probes.join(small_side(known.select("shingle").distinct(), n_known), "shingle", "left_semi")
+    suspects = scratch.table(suspects.select("doc_id").distinct(), "suspects")
+    n_suspects = suspects.count()
+    texts = scratch.table(texts.join(small_side(suspects, n_suspects), "doc_id"), "suspect-texts")
     sequences = with_shingles(texts, F.col("text"), size)
     hits = sequences.select("doc_id", F.posexplode("shingles").alias("pos", "shingle")).join(
         small_side(known, n_known), "shingle"
