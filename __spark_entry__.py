@@ -11,7 +11,7 @@ from tidegauge.adapters import lines_from_conversations, readings_from_events
 from tidegauge.functions.numeric import round_half_up
 from tidegauge.functions.time import hour_of
 from tidegauge.operators import anomaly, correlation, quality, report, stats, transcripts, trends
-from tidegauge.session import prepare, scratch_path
+from tidegauge.session import scratch_path
 from tidegauge.sinks import files
 from tidegauge.sources import readings as source
 from tidegauge.sources.transcripts import scan_transcript_lines
@@ -30,7 +30,6 @@ RANGE = ("2024-01-10", "2024-01-12")
 
 
 def _readings(spark: SparkSession, sf_dir: str, device: str = "event_type") -> DataFrame:
-    prepare(spark)
     return readings_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"), device)
 
 
@@ -39,7 +38,6 @@ def _users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prepare(spark)
     raw = lines_from_conversations(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
     return transcripts.transcript_lines(raw)
 
@@ -90,9 +88,38 @@ def jsonl_replace_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored_columns(source.scan_readings(spark, root))
 
 
+def jsonl_replace_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the table, then refresh it in full with the readings before DAY; later days go."""
+    root = _written_table(spark, sf_dir)
+    earlier = _readings(spark, sf_dir).filter(F.col("event_time") < DAY)
+    files.write_partitioned_jsonl(earlier, root, replace="all")
+    return _stored_columns(source.scan_readings(spark, root))
+
+
+_ODD_TIMES = ["T", "T Z", "time", "date", "month", "+09:00", "-0330", "words"]
+
+
+def jsonl_odd_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Store lines whose time is written in eight ways, most of them odd, and read them back."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    forms = [
+        text, F.concat(F.translate(text, "T", " "), F.lit("Z")), F.substring(text, 12, 8), F.substring(text, 1, 10),
+        F.substring(text, 1, 7), F.concat(text, F.lit("+09:00")), F.concat(F.substring(text, 1, 16), F.lit("-0330")),
+        F.lit("yesterday"),
+    ]
+    stored = F.element_at(F.array(*forms), F.pmod(F.col("event_id"), F.lit(8)).cast("int") + 1)
+    line = F.to_json(F.struct(F.col("event_id").cast("string").alias("device_id"), stored.alias("timestamp")))
+    root = scratch_path(spark, "odd-times")
+    keys = [F.date_format("ts", f).alias(n) for f, n in (("yyyy", "year"), ("MM", "month"), ("dd", "day"))]
+    events.select(line.alias("value"), *keys).hint("rebalance", "year", "month", "day").write.partitionBy(
+        "year", "month", "day"
+    ).text(root)
+    return source.scan_readings(spark, root).select("device_id", "event_time")
+
+
 def jsonl_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Store the raw payloads as lines, those of errors cut short; read the lines that fail."""
-    prepare(spark)
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     whole = F.to_json(
         F.struct(F.col("event_id").cast("string").alias("device_id"), F.col("value").alias("temperature"))
@@ -118,7 +145,8 @@ def jsonl_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.time_ordered(_readings(spark, sf_dir))
     files.write_jsonl(files.to_stored(rows).drop("year", "month", "day"), path)
     return source.scan_readings(spark, path).select(
-        "device_id", "event_time", "temperature", "humidity", "pressure", "battery"
+        "device_id", "event_time", "temperature", "humidity", "pressure",
+        F.col("location.lat").alias("lat"), F.col("location.lon").alias("lon"), "battery",
     )
 
 
@@ -151,18 +179,19 @@ def registered_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def transcript_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write the transcript lines as text files, scan and parse them."""
-    prepare(spark)
+    """Write one text file for each transcript, scan and parse them."""
     path = scratch_path(spark, "transcripts")
     raw = lines_from_conversations(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
-    raw.select("line").write.text(path)
+    ordered = raw.repartition("session_id").sortWithinPartitions("session_id", "line_no")
+    ordered.select("session_id", "line").write.partitionBy("session_id").text(path)
     parsed = transcripts.transcript_lines(scan_transcript_lines(spark, path))
-    return parsed.filter(F.col("line_no") > 0).select("hhmm", "speaker", "text")
+    session = F.regexp_extract("session_id", "session_id=([^/]+)", 1).alias("session_id")
+    return parsed.select(session, "line_no", "hhmm", "speaker", "text")
 
 
-def entry(spark: SparkSession) -> DataFrame:
+def entry(spark: SparkSession, sf_dir: str = "/root/testdata/sf0.001") -> DataFrame:
     """Flagship query: readings more than two standard deviations from their device's mean."""
-    return _rounded_sigma(_readings(spark, "/root/testdata/sf0.001"))
+    return _rounded_sigma(_readings(spark, sf_dir))
 
 
 def _on(load: Callable, op: Callable, *args, **options) -> Callable[[SparkSession, str], DataFrame]:
@@ -174,6 +203,26 @@ def _at_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _readings(spark, sf_dir).withColumn("event_time", hour_of("event_time"))
 
 
+def _some_untimed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings by user, of which one user in seven has no time in any and the rest lack some."""
+    user, battery = F.col("device_id").cast("long"), F.col("battery")
+    known = F.when((user % 7 != 0) & (battery % 3 != 0), F.col("event_time"))
+    return _users(spark, sf_dir).withColumn("event_time", known)
+
+
+def _known_status(df: DataFrame) -> DataFrame:
+    out = trends.latest_status(df)
+    when = F.col("last_update").isNotNull()
+    return out.select("device_id", "last_update", F.when(when, F.col("temperature")).alias("temperature"),
+                      F.col("temperature").isNotNull().alias("has_value"))
+
+
+def _level(df: DataFrame) -> DataFrame:
+    """The same readings at a level of 1e9, a different one for each device."""
+    level = F.lit(1e9) + F.length("device_id") * 1e8
+    return df.withColumn("temperature", F.col("temperature") + level)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     on, users, lines = partial(_on, _readings), partial(_on, _users), partial(_on, _lines)
     return {
@@ -203,16 +252,22 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "latest_status": on(trends.latest_status),
         "user_latest_status": users(trends.latest_status),
         "user_latest_status_ranked": users(trends.latest_status, tie_break=["temperature"]),
+        "latest_status_missing_times": partial(_on, _some_untimed)(_known_status),
         "moving_average": on(trends.moving_average),
         "moving_average_range": on(trends.moving_average, by="range"),
         "device_correlation": on(correlation.device_correlation, align="hour"),
         "device_correlation_shared_times": partial(_on, _at_hours)(correlation.device_correlation),
+        "device_correlation_level": on(lambda df: correlation.device_correlation(_level(df), align="hour")),
+        "device_correlation_some": on(
+            correlation.device_correlation, align="hour", devices=["error", "login"]),
         "user_correlation": users(correlation.device_correlation, align="day", min_samples=10),
         # sources and sinks
         "jsonl_roundtrip": jsonl_roundtrip,
         "jsonl_date_range": jsonl_date_range,
         "jsonl_partition_day": jsonl_partition_day,
         "jsonl_replace_days": jsonl_replace_days,
+        "jsonl_replace_all": jsonl_replace_all,
+        "jsonl_odd_times": jsonl_odd_times,
         "jsonl_rejects": jsonl_rejects,
         "jsonl_plain": jsonl_plain,
         "csv_result": csv_result,
@@ -224,7 +279,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "user_loss_summary": users(quality.loss_summary, 5),
         "daily_record_counts": on(quality.daily_record_counts),
         "daily_record_counts_tokyo": on(quality.daily_record_counts, zone="Asia/Tokyo"),
-        "time_ordered": on(lambda df: quality.time_ordered(df.drop("location"))),
+        "time_ordered": on(lambda df: quality.time_ordered(df).select(
+            "*", "location.lat", "location.lon").drop("location")),
         # daily report
         "report_active": users(report.report_active),
         "report_completeness": on(report.report_completeness, HOUR),
@@ -270,7 +326,6 @@ def _base(device: str = "event_type", time: str = "ts") -> str:
 
 
 _R, _U = _base(), _base("user_id")
-_MS = "date_trunc('millisecond', event_time)"
 
 
 def _device_stats(base: str) -> str:
@@ -339,7 +394,7 @@ def _correlation(rows: str, samples: int) -> str:
 
 def _stored(where: str = "", zone: str = "", battery: str = "battery") -> str:
     local = f"event_time AT TIME ZONE 'UTC' AT TIME ZONE '{zone}'" if zone else "event_time"
-    return f"""WITH {_R} SELECT device_id, {_MS} AS event_time, temperature, humidity, pressure,
+    return f"""WITH {_R} SELECT device_id, event_time, temperature, humidity, pressure,
       humidity AS lat, pressure AS lon, {battery} AS battery,
       strftime({local}, '%Y') AS year, strftime({local}, '%m') AS month,
       strftime({local}, '%d') AS day
@@ -463,10 +518,19 @@ def oracle_sql() -> dict[str, str]:
         "latest_status": _latest(_R),
         "user_latest_status": _latest(_U),
         "user_latest_status_ranked": _latest(_U),
+        "latest_status_missing_times": f"""WITH {_U}, u AS (
+            SELECT *, CASE WHEN CAST(device_id AS BIGINT) % 7 <> 0 AND battery % 3 <> 0 THEN event_time
+                      END AS t FROM r),
+          w AS (SELECT *, row_number() OVER (PARTITION BY device_id ORDER BY t DESC NULLS LAST) AS rn FROM u)
+          SELECT device_id, t AS last_update, CASE WHEN t IS NOT NULL THEN temperature END AS temperature,
+                 temperature IS NOT NULL AS has_value FROM w WHERE rn = 1""",
         "moving_average": _moving("ROWS BETWEEN 11 PRECEDING AND CURRENT ROW"),
         "moving_average_range": _moving("RANGE BETWEEN INTERVAL 11 HOUR PRECEDING AND CURRENT ROW"),
         "device_correlation": _correlation(hourly_cells, 100),
         "device_correlation_shared_times": _correlation(shared_cells, 100),
+        "device_correlation_level": _correlation(hourly_cells, 100),
+        "device_correlation_some": f"""SELECT * FROM ({_correlation(hourly_cells, 100)})
+          WHERE device_a IN ('error', 'login') OR device_b IN ('error', 'login')""",
         "user_correlation": _correlation(daily_cells, 10),
         "jsonl_roundtrip": _stored(),
         "jsonl_date_range": _stored(
@@ -478,11 +542,15 @@ def oracle_sql() -> dict[str, str]:
         "jsonl_replace_days": _stored(
             battery=f"CASE WHEN CAST(event_time AS DATE) = DATE '{DAY}' THEN 100 ELSE battery END"
         ),
+        "jsonl_replace_all": _stored(f"WHERE event_time < TIMESTAMP '{DAY}'"),
+        "jsonl_odd_times": """SELECT CAST(event_id AS VARCHAR) AS device_id, CASE event_id % 8
+            WHEN 0 THEN ts WHEN 1 THEN ts WHEN 5 THEN ts - INTERVAL 9 HOUR
+            WHEN 6 THEN date_trunc('minute', ts) + INTERVAL 210 MINUTE END AS event_time FROM events""",
         "jsonl_rejects": """SELECT '{"device_id":"' || event_id || '","temperature":' || value AS line,
           strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day
           FROM events WHERE event_type = 'error'""",
-        "jsonl_plain": f"""WITH {_R} SELECT device_id, {_MS} AS event_time, temperature, humidity,
-          pressure, battery FROM r""",
+        "jsonl_plain": f"""WITH {_R} SELECT device_id, event_time, temperature, humidity,
+          pressure, humidity AS lat, pressure AS lon, battery FROM r""",
         "csv_result": f"""WITH {_R} SELECT device_id, event_time,
           temperature, humidity, pressure, humidity AS location_lat, pressure AS location_lon, battery
           FROM r""",
@@ -496,7 +564,7 @@ def oracle_sql() -> dict[str, str]:
         "user_loss_summary": _loss(_U, 5),
         "daily_record_counts": _daily_counts(),
         "daily_record_counts_tokyo": _daily_counts("Asia/Tokyo"),
-        "time_ordered": f"WITH {_R} SELECT * FROM r",
+        "time_ordered": f"WITH {_R} SELECT *, humidity AS lat, pressure AS lon FROM r",
         "report_active": f"""{_report(_U)} SELECT day, active_sensors, total_sensors,
           availability_pct FROM u""",
         "report_completeness": f"""{_report(_R)} SELECT day, CAST(occupied_slots AS BIGINT)
@@ -523,7 +591,8 @@ def oracle_sql() -> dict[str, str]:
           SELECT day, device_id, 'LOWEST', {_round('low', 1)} FROM m WHERE rn = 1""",
         "report_health": f"{_report(_R)} SELECT day, availability_pct, completeness_pct, health FROM u",
         "report_summary": f"{_report(_R)} SELECT * EXCLUDE (rows, occupied_slots, expected_slots) FROM u",
-        "transcript_files": f"WITH {_LINES} SELECT hhmm, role AS speaker, text FROM k",
+        "transcript_files": f"""WITH {_LINES}
+          SELECT session_id, line_no, hhmm, role AS speaker, text FROM k""",
         "transcript_lines": f"""WITH {_LINES}
           SELECT session_id, line_no, hhmm, role AS speaker, text FROM k""",
         "transcript_timeline": f"""WITH {_LINES}, c AS (SELECT *, {clock} AS clock FROM k)

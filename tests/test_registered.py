@@ -1,5 +1,7 @@
 """Every registered query against its SQL, on whole tables."""
 
+import re
+
 import __spark_entry__ as registered
 import pytest
 from compare import duck, duck_rows, spark_rows
@@ -13,8 +15,11 @@ def con():
     return duck(SF)
 
 
+OPTIONAL = re.compile(r"pipeline$|op\d+_")  # the operators for training data have their own tests
+
+
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(SQL)
+    assert {n for n in QUERIES if not OPTIONAL.match(n)} == {n for n in SQL if not OPTIONAL.match(n)}
 
 
 def test_entry_is_stable(spark):
@@ -25,7 +30,7 @@ def test_entry_is_stable(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+@pytest.mark.parametrize("name", [n for n in QUERIES if not OPTIONAL.match(n)])
 def test_query_matches_sql(spark, con, name):
     columns, rows = spark_rows(QUERIES[name](spark, SF))
     expected_columns, expected = duck_rows(con, SQL[name])

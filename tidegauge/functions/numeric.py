@@ -10,10 +10,12 @@ from tidegauge.functions.time import col
 def round_half_up(x: Column | str, digits: int) -> Column:
     """Round through a decimal, so near-ties of binary doubles do not depend on the engine.
 
-    NaN and values beyond the decimal range give NULL.
+    Values that no such decimal holds, 1e26 and above, have no digits to round away and are rounded
+    as doubles; infinities stay. NaN gives NULL.
     """
-    exact = col(x).cast("double").try_cast("decimal(38,12)")
-    return F.round(exact, digits).cast("double")
+    double = col(x).cast("double")
+    exact = F.round(double.try_cast("decimal(38,12)"), digits).cast("double")
+    return F.coalesce(exact, F.when(~F.isnan(double), F.round(double, digits)))
 
 
 def rounded_avg(x: Column | str, digits: int) -> Column:

@@ -20,19 +20,35 @@ def _epoch() -> Column:
     return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
 
 
+# A full date and time; seconds, fraction and offset may be missing.
+_ISO = r"^([0-9]{4}-[0-9]{2}-[0-9]{2})[T ]([0-9]{2}:[0-9]{2}(?::[0-9]{2}(?:\.[0-9]{1,9})?)?)(?:Z|([+-][0-9]{2}):?([0-9]{2})?)?$"
+
+
 def parse_iso(text: Column | str) -> Column:
-    """ISO-8601 text with an offset to UTC wall-clock time; NULL when it does not parse."""
-    instant = F.try_to_timestamp(col(text))
+    """ISO-8601 date and time to UTC wall-clock time; text without an offset is UTC already.
+
+    Everything else, a date or a time alone included, gives NULL.
+    """
+    t = col(text).cast("string")
+    hours, minutes = F.regexp_extract(t, _ISO, 3), F.regexp_extract(t, _ISO, 4)
+    offset = F.when(hours == "", "Z").otherwise(
+        F.concat(hours, F.lit(":"), F.when(minutes == "", "00").otherwise(minutes))
+    )
+    clock = F.regexp_extract(t, _ISO, 2)
+    clock = F.when(F.length(clock) == 5, F.concat(clock, F.lit(":00"))).otherwise(clock)
+    whole = F.concat(F.regexp_extract(t, _ISO, 1), F.lit("T"), clock, offset)
+    instant = F.try_to_timestamp(F.when(t.rlike(_ISO), whole))
     return F.timestamp_add("MICROSECOND", F.unix_micros(instant), _epoch())
 
 
 def format_iso(time: Column | str) -> Column:
-    """UTC wall-clock time to the stored text form (milliseconds, ``Z``)."""
+    """UTC wall-clock time to the stored text form: milliseconds, or all digits it has, and ``Z``."""
     # Not date_format, which goes through the session zone and shifts hours that zone skips.
     text = col(time).cast("string")
-    millis = F.rpad(F.substring(text, 21, 3), 3, "0")
+    digits = F.substring(text, 21, 6)
+    digits = F.when(F.length(digits) < 3, F.rpad(digits, 3, "0")).otherwise(digits)
     return F.concat(
-        F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8), F.lit("."), millis, F.lit("Z")
+        F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8), F.lit("."), digits, F.lit("Z")
     )
 
 

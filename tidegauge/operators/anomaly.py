@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tidegauge.functions.time import epoch_micros, minutes_between, slot_floor
 from tidegauge.plans.neighbours import where_neighbours
 from tidegauge.plans.presented import presented
 from tidegauge.plans.sized_join import BROADCAST_ROWS, join_key_summary
 
+BINS_PER_CHUNK = 1000  # bins of a device that one task sorts
+
 
 def sigma_anomalies(
     df: DataFrame,
@@ -83,24 +85,24 @@ def spikes(
 ) -> DataFrame:
     """Readings that jump by more than ``delta`` from both the previous and the next reading.
 
-    Readings of one device at one time are ordered by value. Copies are counted before they are
-    sorted: two equal readings are neighbours and neither can be a spike. Readings without a time
-    have no place in the order and are left out. ``chunk_minutes`` is how much of one device's
-    history a task sorts at a time; it does not change the result.
+    Readings of one device at one time are ordered by value, and NaN counts as no value. Readings
+    without a time have no place in the order and are left out. ``chunk_minutes`` is how much of one
+    device's history a task sorts at a time; it does not change the result.
     """
     if delta < 0:
         raise ValueError("delta must not be negative")
-    points = (
-        df.filter(F.col(time).isNotNull())
-        .groupBy(device, F.col(time).alias("timestamp"), value)
-        .agg(F.count("*").alias("copies"))
+    number = F.col(value)
+    if dict(df.dtypes)[value] in ("double", "float"):
+        number = F.when(~F.isnan(number), number)
+    points = df.filter(F.col(time).isNotNull()).select(
+        device, F.col(time).alias("timestamp"), number.alias(value)
     )
     jump = F.abs(F.col(value) - F.col(f"prev_{value}")) > delta
     back = F.abs(F.col(value) - F.col(f"next_{value}")) > delta
     out = (
         where_neighbours(
             points, [device], slot_floor("timestamp", chunk_minutes), ["timestamp", value], [value],
-            wanted=(F.col("copies") == 1) & jump & back,
+            wanted=jump & back,
         )
         .select(
             device, "timestamp", value,
@@ -134,12 +136,15 @@ def time_gaps(
         .groupBy(device, bin_start.alias("bin"))
         .agg(F.min(time).alias("timestamp"), F.max(time).alias("last_in_bin"))
     )
-    per_device = W.partitionBy(device).orderBy("bin")
+    # Short bins may be as many as readings, so a device's bins are linked chunk by chunk.
+    chunk = F.floor(F.col("bin") / max(1, int(minutes * 60_000_000) * BINS_PER_CHUNK))
+    gap = minutes_between("prev_last_in_bin", "timestamp")
     out = (
-        bins.withColumn("prev_timestamp", F.lag("last_in_bin").over(per_device))
-        .withColumn("gap_minutes", minutes_between("prev_timestamp", "timestamp"))
-        .filter(F.col("gap_minutes") > minutes)
-        .select(device, "timestamp", "prev_timestamp", "gap_minutes")
+        where_neighbours(bins, [device], chunk, ["bin"], ["last_in_bin"], wanted=gap > minutes)
+        .select(
+            device, "timestamp", F.col("prev_last_in_bin").alias("prev_timestamp"),
+            gap.alias("gap_minutes"),
+        )
     )
     if not ordered:
         return out

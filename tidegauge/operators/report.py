@@ -1,23 +1,29 @@
 """Daily report tables, for all days at once; one day is a filter on ``day``.
 
-Every table but the anomaly count derives from one rollup per device and day.
+Readings without a device or a time belong to no sensor's day and are left out of every table. All
+tables but the anomaly count derive from one rollup per device and day, which is computed once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidegauge.functions.numeric import percent, round_half_up
 from tidegauge.functions.time import day_of
-from tidegauge.operators.anomaly import sigma_anomalies
 from tidegauge.plans.slots import mask_aggregates, occupied, slots_per_day
+from tidegauge.plans.sized_join import join_key_summary
 from tidegauge.schema import MEASURES
+from tidegauge.session import durable
 
 WATCH_SPREAD = 9.0
 MIN_AVAILABILITY = 99.0
 MIN_COMPLETENESS = 95.0
 
 
+def _placed(df: DataFrame, device: str, time: str) -> DataFrame:
+    return df.filter(F.col(device).isNotNull() & F.col(time).isNotNull())
+
+
 def device_day_rollup(
     df: DataFrame,
     value: str = "temperature",
@@ -25,14 +31,16 @@ def device_day_rollup(
     device: str = "device_id",
     time: str = "event_time",
 ) -> DataFrame:
-    """Per device and day: rows, occupied slots, and sum, count, lowest and highest value."""
+    """Per device and day: rows, occupied slots, and count, sum, squared deviations, lowest and
+    highest value."""
     return (
-        df.filter(F.col(device).isNotNull() & F.col(time).isNotNull())
+        _placed(df, device, time)
         .groupBy(day_of(time).alias("day"), F.col(device).alias("device_id"))
         .agg(
             F.count("*").alias("rows"),
             F.sum(value).alias("value_sum"),
             F.count(value).alias("value_count"),
+            (F.var_pop(value) * F.count(value)).alias("value_dev"),
             F.min(value).alias("value_min"),
             F.max(value).alias("value_max"),
             *mask_aggregates(time, interval),
@@ -41,60 +49,81 @@ def device_day_rollup(
     )
 
 
-def _day_table(rollup: DataFrame) -> DataFrame:
-    return rollup.groupBy("day").agg(
-        F.count("*").alias("active_sensors"),
-        F.sum("slots").alias("occupied_slots"),
-        F.sum("rows").alias("rows"),
-        (F.sum("value_sum") / F.nullif(F.sum("value_count"), F.lit(0))).alias("mean"),
-        F.min("value_min").alias("low"),
-        F.max("value_max").alias("high"),
-    )
-
+def _days(rollup: DataFrame) -> DataFrame:
+    """One row per day: the day's figures, all devices ever heard from, the mean of the day before.
 
-def _total_sensors(df: DataFrame, device: str):
-    return df.agg(F.countDistinct(device).alias("total")).scalar()
+    Each device counts as new on its first day, so the devices are the sum of the new ones of all
+    days. Each day goes on to the next one as the day before it; no table is read or joined twice.
+    """
+    first = F.row_number().over(W.partitionBy("device_id").orderBy("day")) == 1
+    days = (
+        rollup.withColumn("is_new", first.cast("long"))
+        .groupBy("day")
+        .agg(
+            F.count("*").alias("active_sensors"),
+            F.sum("is_new").alias("new_sensors"),
+            F.sum("slots").alias("occupied_slots"),
+            F.sum("rows").alias("rows"),
+            (F.sum("value_sum") / F.nullif(F.sum("value_count"), F.lit(0))).alias("mean"),
+            F.min("value_min").alias("low"),
+            F.max("value_max").alias("high"),
+        )
+    )
+    whole = W.orderBy("day").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)  # of days
+    before = W.orderBy("day")
+    is_next = F.lag("day").over(before) == F.timestamp_add("DAY", F.lit(-1), "day")
+    return days.withColumns(
+        {
+            "total_sensors": F.sum("new_sensors").over(whole),
+            "mean_before": F.when(is_next, F.lag("mean").over(before)),
+        }
+    )
 
 
 def _ordered(df: DataFrame, ordered: bool, *keys) -> DataFrame:
     return df.orderBy(*(keys or ("day",))) if ordered else df
 
 
-def _active(days: DataFrame, total) -> DataFrame:
-    return days.withColumn("total_sensors", total).withColumn(
-        "availability_pct", percent(F.col("active_sensors"), F.col("total_sensors"))
-    )
+def _active() -> dict[str, Column]:
+    return {"availability_pct": percent(F.col("active_sensors"), F.col("total_sensors"))}
 
 
-def _complete(days: DataFrame, total, interval: int) -> DataFrame:
-    return days.withColumn("expected_slots", total * slots_per_day(interval)).withColumn(
-        "completeness_pct", percent(F.col("occupied_slots"), F.col("expected_slots"))
-    )
+def _complete(total: Column, interval: int) -> dict[str, Column]:
+    expected = total * slots_per_day(interval)
+    return {
+        "expected_slots": expected,
+        "completeness_pct": percent(F.col("occupied_slots"), expected),
+    }
 
 
-def _change(days: DataFrame, value: str, digits: int) -> DataFrame:
-    """Mean and its difference to the previous calendar day: a join on the day, not a window."""
-    before = days.select(
-        F.timestamp_add("DAY", F.lit(1), "day").alias("day"), F.col("mean").alias("mean_before")
-    )
-    return days.join(before, "day", "left").withColumns(
-        {
-            f"avg_{value}": round_half_up("mean", digits),
-            "change": round_half_up(F.col("mean") - F.col("mean_before"), digits),
-        }
-    )
+def _change(value: str, digits: int) -> dict[str, Column]:
+    """Mean and its difference to the previous calendar day."""
+    return {
+        f"avg_{value}": round_half_up("mean", digits),
+        "change": round_half_up(F.col("mean") - F.col("mean_before"), digits),
+    }
+
+
+def _range(value: str, digits: int) -> dict[str, Column]:
+    return {
+        f"min_{value}": round_half_up("low", digits),
+        f"max_{value}": round_half_up("high", digits),
+    }
 
 
 def report_active(
     df: DataFrame, device: str = "device_id", time: str = "event_time", ordered: bool = True
 ) -> DataFrame:
     """Devices heard from per day, out of all devices."""
-    days = (
-        df.filter(F.col(device).isNotNull() & F.col(time).isNotNull())
-        .groupBy(day_of(time).alias("day"), device).agg(F.lit(1).alias("one"))
-        .groupBy("day").agg(F.count("*").alias("active_sensors"))
+    days = _days(_plain_rollup(df, device, time)).withColumns(_active())
+    return _ordered(
+        days.select("day", "active_sensors", "total_sensors", "availability_pct"), ordered
     )
-    return _ordered(_active(days, _total_sensors(df, device)), ordered)
+
+
+def _plain_rollup(df: DataFrame, device: str, time: str) -> DataFrame:
+    """The rollup where no value is asked for."""
+    return device_day_rollup(df.withColumn("_none", F.lit(0.0)), "_none", 1440, device, time)
 
 
 def report_completeness(
@@ -106,53 +135,84 @@ def report_completeness(
     ordered: bool = True,
 ) -> DataFrame:
     """Occupied reporting slots as a share of the expected ones, per day or per day and device."""
-    rollup = (
-        df.filter(F.col(device).isNotNull() & F.col(time).isNotNull())
-        .groupBy(day_of(time).alias("day"), device)
-        .agg(*mask_aggregates(time, interval))
-        .withColumn("occupied_slots", occupied(interval))
+    rollup = device_day_rollup(
+        df.withColumn("_none", F.lit(0.0)), "_none", interval, device, time
     )
     if by_device:
-        days, keys, total = rollup.select("day", device, "occupied_slots"), ("day", device), F.lit(1).cast("long")
+        days = rollup.select("day", F.col("device_id").alias(device), F.col("slots").alias("occupied_slots"))
+        keys, total = ("day", device), F.lit(1).cast("long")
     else:
-        days = rollup.groupBy("day").agg(F.sum("occupied_slots").alias("occupied_slots"))
-        keys, total = ("day",), _total_sensors(df, device)
-    return _ordered(_complete(days, total, interval), ordered, *keys)
+        days, keys, total = _days(rollup), ("day",), F.col("total_sensors")
+    out = days.withColumns(_complete(total, interval))
+    return _ordered(
+        out.select(*keys, "occupied_slots", "expected_slots", "completeness_pct"), ordered, *keys
+    )
 
 
 def report_day_change(
     df: DataFrame, value: str = "temperature", time: str = "event_time", digits: int = 1,
-    ordered: bool = True,
+    ordered: bool = True, device: str = "device_id",
 ) -> DataFrame:
     """Day average and its change from the previous calendar day, NULL when that day is missing."""
-    days = df.filter(F.col(time).isNotNull()).groupBy(day_of(time).alias("day")).agg(
-        F.avg(value).alias("mean")
-    )
-    return _ordered(
-        _change(days, value, digits).select("day", f"avg_{value}", "change"), ordered
-    )
+    days = _days(device_day_rollup(df, value, 1440, device, time))
+    return _ordered(days.select("day", *_named(_change(value, digits))), ordered)
 
 
 def report_day_range(
     df: DataFrame, value: str = "temperature", time: str = "event_time", digits: int = 1,
-    ordered: bool = True,
+    ordered: bool = True, device: str = "device_id",
 ) -> DataFrame:
     """Lowest and highest value of the day."""
-    out = df.filter(F.col(time).isNotNull()).groupBy(day_of(time).alias("day")).agg(
-        round_half_up(F.min(value), digits).alias(f"min_{value}"),
-        round_half_up(F.max(value), digits).alias(f"max_{value}"),
+    days = _placed(df, device, time).groupBy(day_of(time).alias("day")).agg(
+        F.min(value).alias("low"), F.max(value).alias("high")
     )
-    return _ordered(out, ordered)
+    return _ordered(days.select("day", *_named(_range(value, digits))), ordered)
+
 
+def _named(columns: dict[str, Column]) -> list[Column]:
+    return [c.alias(name) for name, c in columns.items()]
 
-def _anomaly_days(df: DataFrame, value: str, k: float, device: str, time: str) -> DataFrame:
-    flagged = sigma_anomalies(df, value, k, device=device, time=time, ordered=False)
-    return flagged.groupBy(day_of("timestamp").alias("day")).agg(F.count("*").alias("anomalies"))
 
+def _device_stats(rollup: DataFrame) -> DataFrame:
+    """Mean and sample deviation per device, from its days.
 
-def _accuracy(days: DataFrame, anomalies: DataFrame) -> DataFrame:
+    Deviations from a day's mean and of the days' means from the device's add up, without the loss of
+    digits that sums of squares would bring.
+    """
+    own = W.partitionBy("device_id")
+    n = F.nullif(F.sum("value_count").over(own), F.lit(0))
+    mean = F.sum("value_sum").over(own) / n
+    away = F.col("value_sum") / F.nullif(F.col("value_count"), F.lit(0)) - F.col("avg")
     return (
-        days.join(anomalies, "day", "left")
+        rollup.withColumn("avg", mean)
+        .groupBy("device_id")
+        .agg(
+            F.sum("rows").alias("_rows"),
+            F.max("avg").alias("_avg"),
+            F.sum("value_count").alias("_n"),
+            F.sum(F.coalesce(F.col("value_dev") + F.col("value_count") * away * away, F.lit(0.0))).alias("_dev"),
+        )
+        .select(
+            "device_id", "_rows", "_avg",
+            F.when(F.col("_n") > 1, F.sqrt(F.col("_dev") / (F.col("_n") - 1))).alias("_sd"),
+        )
+    )
+
+
+def _with_anomalies(
+    df: DataFrame, rollup: DataFrame, days: DataFrame, value: str, k: float, device: str, time: str
+) -> DataFrame:
+    """Add anomalies, the day's readings beyond ``k`` deviations of their device, and accuracy_pct."""
+    readings = _placed(df, device, time).select(
+        F.col(device).alias("device_id"), day_of(time).alias("day"), F.col(value).alias("_value")
+    )
+    beyond = F.abs(F.col("_value") - F.col("_avg")) > k * F.col("_sd")
+    flagged = join_key_summary(
+        readings.filter(F.col("_value").isNotNull()), _device_stats(rollup), "device_id", "_rows", beyond
+    )
+    counts = flagged.groupBy("day").agg(F.count("*").alias("anomalies"))
+    return (
+        days.join(counts, "day", "left")
         .withColumn("anomalies", F.coalesce("anomalies", F.lit(0).cast("long")))
         .withColumn("accuracy_pct", percent(F.col("rows") - F.col("anomalies"), F.col("rows")))
     )
@@ -167,10 +227,9 @@ def report_anomalies(
     ordered: bool = True,
 ) -> DataFrame:
     """Sigma anomalies per day and the share of readings that are none."""
-    days = df.filter(F.col(time).isNotNull()).groupBy(day_of(time).alias("day")).agg(
-        F.count("*").alias("rows")
-    )
-    return _ordered(_accuracy(days, _anomaly_days(df, value, k, device, time)), ordered)
+    rollup = durable(device_day_rollup(df, value, 1440, device, time))
+    days = _with_anomalies(df, rollup, _days(rollup), value, k, device, time)
+    return _ordered(days.select("day", "rows", "anomalies", "accuracy_pct"), ordered)
 
 
 def report_sensors(
@@ -187,7 +246,7 @@ def report_sensors(
 ) -> DataFrame:
     """Per day and device: position, averages, spread of the value, and ``WATCH`` or ``OK``."""
     out = (
-        df.filter(F.col(time).isNotNull())
+        _placed(df, device, time)
         .select(
             day_of(time).alias("day"), device, time, value, *[m for m in measures if m != value],
             battery, F.col(f"{location}.lat").alias("lat"), F.col(f"{location}.lon").alias("lon"),
@@ -218,36 +277,34 @@ def report_alerts(
 ) -> DataFrame:
     """Per day: each device whose spread needs watching, and the one with the lowest value."""
     days = (
-        df.filter(F.col(time).isNotNull())
+        _placed(df, device, time)
         .groupBy(day_of(time).alias("day"), device)
         .agg(F.min(value).alias("low"), F.max(value).alias("high"))
     )
-    spread = round_half_up(F.col("high") - F.col("low"), digits)
-    wide = days.filter(spread >= watch).select(
-        "day", device, F.lit("WIDE_SPREAD").alias("alert"), spread.alias("value")
-    )
+    # Both alerts of a device's day come from its one row, so the readings are combined once.
     coldest = W.partitionBy("day").orderBy(F.asc_nulls_last("low"), device)
-    lowest = (
-        days.filter(F.col("low").isNotNull())
-        .withColumn("rank", F.row_number().over(coldest))
-        .filter(F.col("rank") == 1)
-        .select(
-            "day", device, F.lit("LOWEST").alias("alert"),
-            round_half_up("low", digits).alias("value"),
+    spread = round_half_up(F.col("high") - F.col("low"), digits)
+    alert = lambda name, x: F.struct(F.lit(name).alias("alert"), x.alias("value"))
+    lowest = (F.col("rank") == 1) & F.col("low").isNotNull()
+    alerts = F.array_compact(
+        F.array(
+            F.when(spread >= watch, alert("WIDE_SPREAD", spread)),
+            F.when(lowest, alert("LOWEST", round_half_up("low", digits))),
         )
     )
-    return _ordered(wide.unionByName(lowest), ordered, "day", "alert", device)
+    out = days.withColumn("rank", F.row_number().over(coldest)).select(
+        "day", device, F.inline(alerts)
+    )
+    return _ordered(out, ordered, "day", "alert", device)
 
 
-def _health(days: DataFrame, min_avail: float, min_complete: float) -> DataFrame:
+def _health(interval: int, min_avail: float, min_complete: float):
+    """Columns of availability and completeness, and then the verdict on both."""
     good = (F.col("availability_pct") >= min_avail) & (F.col("completeness_pct") >= min_complete)
-    return days.withColumn("health", F.when(good, "GOOD").otherwise("DEGRADED"))
-
-
-def _scored(df, interval, value, device, time) -> DataFrame:
-    total = _total_sensors(df, device)
-    days = _day_table(device_day_rollup(df, value, interval, device, time))
-    return _complete(_active(days, total), total, interval)
+    return (
+        _active() | _complete(F.col("total_sensors"), interval),
+        {"health": F.when(good, "GOOD").otherwise("DEGRADED")},
+    )
 
 
 def report_health(
@@ -261,7 +318,9 @@ def report_health(
     ordered: bool = True,
 ) -> DataFrame:
     """``GOOD`` for days whose availability and completeness both reach their threshold."""
-    days = _health(_scored(df, interval, value, device, time), min_avail, min_complete)
+    days = _days(device_day_rollup(df, value, interval, device, time))
+    for columns in _health(interval, min_avail, min_complete):
+        days = days.withColumns(columns)
     return _ordered(days.select("day", "availability_pct", "completeness_pct", "health"), ordered)
 
 
@@ -277,14 +336,19 @@ def report_summary(
     digits: int = 1,
     ordered: bool = True,
 ) -> DataFrame:
-    """The report's headline figures, one row per day."""
-    days = _health(_scored(df, interval, value, device, time), min_avail, min_complete)
-    days = _accuracy(_change(days, value, digits), _anomaly_days(df, value, k, device, time))
+    """The report's headline figures, one row per day.
+
+    The readings are read twice: for the rollup, which also gives each device's mean and deviation,
+    and to count those beyond them.
+    """
+    rollup = durable(device_day_rollup(df, value, interval, device, time))
+    days = _days(rollup).withColumns(_change(value, digits) | _range(value, digits))
+    for columns in _health(interval, min_avail, min_complete):
+        days = days.withColumns(columns)
+    days = _with_anomalies(df, rollup, days, value, k, device, time)
     out = days.select(
         "day", "active_sensors", "total_sensors", "availability_pct", "completeness_pct",
-        f"avg_{value}", "change",
-        round_half_up("low", digits).alias(f"min_{value}"),
-        round_half_up("high", digits).alias(f"max_{value}"),
+        f"avg_{value}", "change", f"min_{value}", f"max_{value}",
         "anomalies", "accuracy_pct", "health",
     )
     return _ordered(out, ordered)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from tidegauge.session import durable
+
 # The line form "[HH:MM] speaker: text", and a number with its unit.
 LINE_PATTERN = r"^\[([0-9]{2}:[0-9]{2})\] ([^:]+): (.*)$"
 METRIC_PATTERN = r"([0-9]+(?:\.[0-9]+)?) ?(%|ms|秒)"
@@ -33,7 +35,8 @@ def transcript_timeline(lines: DataFrame) -> DataFrame:
     """Timed lines of each session: order, minutes since the first and the previous entry, total.
 
     The clock has no date, so a time that goes backwards means the next day. Lines are summed
-    up inside chunks; one row per chunk, with its first and last clock, links the chunks.
+    up inside chunks; one row per chunk, with its first and last clock, links the chunks. The summed-up
+    lines are stored, as both the chunks and the result need them.
     """
     zero = F.lit(0).cast("long")
 
@@ -56,6 +59,7 @@ def transcript_timeline(lines: DataFrame) -> DataFrame:
         )
         .withColumn("elapsed", F.sum(F.coalesce("step", zero)).over(so_far))
     )
+    timed = durable(timed)
     by_chunk = W.partitionBy("session_id").orderBy("chunk")
     earlier = by_chunk.rowsBetween(W.unboundedPreceding, -1)
     spent = F.col("inner") + F.coalesce("jump", zero)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tidegauge.functions.numeric import round_half_up
-from tidegauge.functions.time import hour_of
+from tidegauge.functions.time import epoch_micros, hour_of
 from tidegauge.schema import MEASURES
 
 
@@ -24,7 +24,8 @@ def latest_status(
 
     Without ``tie_break`` all columns come from ``max_by`` over one ordering: a hash aggregation
     that keeps one row per device and task before the shuffle. With it (highest value wins) the
-    row is picked by rank, which also discards the other rows before the shuffle.
+    row is picked by rank, which also discards the other rows before the shuffle. A device without
+    any time keeps one of its readings, with a NULL time.
     """
     columns = [
         *measures, battery,
@@ -41,8 +42,10 @@ def latest_status(
         )
     flat = df.select(device, time, *columns)
     carried = [c for c in flat.columns if c not in (device, time)]
+    # A device whose readings all lack a time still has a reading; any time is newer than none.
+    newest = F.coalesce(epoch_micros(time), F.lit(-(2**63)))
     return flat.groupBy(device).agg(
-        F.max(time).alias("last_update"), *[F.max_by(c, time).alias(c) for c in carried]
+        F.max(time).alias("last_update"), *[F.max_by(c, newest).alias(c) for c in carried]
     )
 
 

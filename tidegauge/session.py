@@ -28,14 +28,7 @@ def build_session(app: str = "tidegauge", master: str | None = None, **conf) ->
     start_up = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
     for key, value in {**start_up, **RUNTIME_CONF, **conf}.items():
         builder = builder.config(key, value)
-    return prepare(builder.getOrCreate())
-
-
-def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the run-time settings to a session somebody else built."""
-    for key, value in RUNTIME_CONF.items():
-        spark.conf.set(key, value)
-    return spark
+    return builder.getOrCreate()
 
 
 def shared_root(spark: SparkSession) -> str:

@@ -23,6 +23,11 @@ def to_stored(df: DataFrame, zone: str = "UTC") -> DataFrame:
     return df.select(*fields, *partition_keys("event_time", zone))
 
 
+def _in_time_order():
+    """Stored times have different numbers of digits, so the text itself does not sort as time does."""
+    return F.rpad(F.rtrim(F.col("timestamp"), F.lit("Z")), 26, "0")
+
+
 def write_partitioned_jsonl(
     df: DataFrame, root: str, zone: str = "UTC", replace: str = "days"
 ) -> None:
@@ -37,7 +42,7 @@ def write_partitioned_jsonl(
     (
         to_stored(df, zone)
         .hint("rebalance", *PARTITION_KEYS)
-        .sortWithinPartitions(*PARTITION_KEYS, "timestamp", "device_id")
+        .sortWithinPartitions(*PARTITION_KEYS, _in_time_order(), "device_id")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if replace == "days" else "static")
         .option("ignoreNullFields", "false")

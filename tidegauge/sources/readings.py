@@ -11,9 +11,6 @@ from tidegauge.schema import STORED_FIELDS, TABLE_SCHEMA
 
 CORRUPT = "_corrupt_record"
 
-# The years the table layout covers.
-FIRST_YEAR, LAST_YEAR = 2020, 2030
-
 
 def _scan(spark: SparkSession, root: str, mode: str) -> DataFrame:
     schema = T.StructType(list(TABLE_SCHEMA.fields)).add(CORRUPT, T.StringType())
@@ -39,9 +36,11 @@ def scan_readings(spark: SparkSession, root: str, mode: str = "PERMISSIVE") -> D
     """Readings with their partition keys and ``event_time``.
 
     Lines that are not valid JSON or hold a wrongly typed field are left to
-    :func:`scan_rejects`; with ``mode='FAILFAST'`` one among the columns read stops the query.
+    :func:`scan_rejects`, which takes parsing every line in full. For tables known to be sound,
+    ``mode='TRUSTED'`` parses only the columns that the query reads; a bad field is then NULL. With
+    ``mode='FAILFAST'`` a bad line among the columns read stops the query.
     """
-    df = _scan(spark, root, mode)
+    df = _scan(spark, root, "PERMISSIVE" if mode == "TRUSTED" else mode)
     if mode == "PERMISSIVE":
         df = df.filter(F.col(CORRUPT).isNull() | ~_mentions_every_field())
     return df.drop(CORRUPT).withColumn("event_time", parse_iso("timestamp"))
@@ -60,10 +59,8 @@ def _as_date(value: date | str) -> date:
 def partition_range(start: date, end: date):
     """Predicate on the partition keys alone, so it prunes folders before any is listed as input."""
     key = F.concat("year", "month", "day")
-    return (
-        key.between(start.strftime("%Y%m%d"), end.strftime("%Y%m%d"))
-        & F.col("year").between(str(start.year), str(end.year))
-    )
+    low, high = (d.isoformat().replace("-", "") for d in (start, end))
+    return key.between(low, high) & F.col("year").between(low[:4], high[:4])
 
 
 def scan_date_range(
@@ -75,13 +72,13 @@ def scan_date_range(
     one more folder is opened on each side and the rows are then filtered exactly.
     """
     start, end = _as_date(start), _as_date(end)
-    low = max(start - timedelta(days=1), date(FIRST_YEAR, 1, 1))
-    high = min(end + timedelta(days=1), date(LAST_YEAR, 12, 31))
+    low = start - timedelta(days=int(start > date.min))
+    high = end + timedelta(days=int(end < date.max))
     day = F.col("event_time").cast("date")
     return (
         scan_readings(spark, root, mode)
         .filter(partition_range(low, high))
-        .filter(day.between(F.lit(start), F.lit(end)))
+        .filter(day.between(*(F.lit(d.isoformat()).cast("date") for d in (start, end))))
     )
 
 
