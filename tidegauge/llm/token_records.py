@@ -14,8 +14,10 @@ stores and HDFS that pyarrow is built for.
 from __future__ import annotations
 
 import struct
+import sys
 import uuid
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -28,7 +30,7 @@ from tokenizers import Tokenizer
 from tidegauge.llm.byte_bpe import word_parts
 from tidegauge.llm.tokens import text_slices
 
-CACHE_WORDS = 300_000
+CACHE_WORDS = 700_000  # words a worker remembers, and as many again that it may forget next
 READ_BYTES = 4 << 20
 _MASK = 0xA282EAD8
 _HEAD = struct.Struct("<QI")
@@ -79,12 +81,18 @@ class WordEncoder:
         self.known: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
+    def _bytes(self, ids: list[int]) -> bytes:
+        packed = array("I" if self.wide else "H", ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         parts = [word_parts(t) if t else ("", []) for t in texts]
         known = self.known
         new: set[str] = set()
         for _, spaced in parts:
-            new.update(w for w in spaced if w not in known)
+            new |= set(spaced).difference(known)
         if len(known) + len(new) > CACHE_WORDS:
             self.old, known = known, {}
             self.known = known
@@ -94,7 +102,7 @@ class WordEncoder:
         ask = [w for w in new if w not in found]
         firsts = [first for first, _ in parts]
         answers = self.tokenizer.encode_batch_fast([" " + w for w in ask] + firsts, add_special_tokens=False)
-        coded = [np.array(a.ids, self.kind).tobytes() for a in answers]
+        coded = [self._bytes(a.ids) for a in answers]
         known.update(zip(ask, coded))
         get = known.__getitem__
         return [head + b"".join(map(get, spaced)) for head, (_, spaced) in zip(coded[len(ask) :], parts)]
