@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidegauge.llm.tokens import text_slices
 
-CACHE_WORDS = 150_000  # most words between spaces whose ids a worker remembers
-CACHE_PIECES = 400_000  # and most pre-tokens
+CACHE_WORDS = 200_000  # most words between spaces whose ids a worker remembers
+CACHE_PIECES = 800_000  # and most pre-tokens
 CACHE_LENGTH = 64  # longest word remembered, in characters
 
 
