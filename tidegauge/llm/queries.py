@@ -125,7 +125,43 @@ QUERIES = {
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
+_REACHED = """
+      e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+      reached(id, other) AS (
+        SELECT id, id FROM n UNION SELECT r.id, e.b FROM reached r JOIN e ON e.a = r.other)"""
+
 SQL = {
+    "op1_near_vectors": f"""
+      WITH RECURSIVE n AS (SELECT vec_id AS id FROM embeddings),
+      v AS (
+        SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+        WHERE label IS NOT NULL AND len(embedding) > 0 AND list_max(list_transform(embedding, lambda c: abs(c))) > 0
+          AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+      l AS (
+        SELECT p.vec_id AS a, q.vec_id AS b FROM v p JOIN v q ON p.label = q.label AND p.vec_id < q.vec_id
+        WHERE len(p.x) = len(q.x) AND list_cosine_similarity(p.x, q.x) >= 0.98),{_REACHED},
+      c AS (SELECT id, min(other) AS component_id FROM reached GROUP BY id),
+      k AS (SELECT a AS id, count(*) AS links FROM e GROUP BY a)
+      SELECT id AS vec_id, coalesce(links, 0) AS n_links, component_id, id = component_id AS kept
+      FROM c LEFT JOIN k USING (id)""",
+    "op10_ngram_jaccard_join": rf"""
+      WITH RECURSIVE w AS (
+        SELECT doc_id AS id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[^\x20\x09-\x0D]+') AS w FROM documents),
+      g AS (
+        SELECT id, CASE WHEN len(w) < 3 THEN [w] ELSE list_distinct([w[i : i + 2] FOR i IN range(1, len(w) - 1)]) END AS g
+        FROM w WHERE len(w) > 0),
+      n AS (SELECT w.id, coalesce(len(g), 0) AS size FROM w LEFT JOIN g USING (id)),
+      s AS (SELECT id, unnest(g) AS s FROM g),
+      p AS (
+        SELECT x.id AS a, y.id AS b, count(*) AS shared FROM s x JOIN s y ON x.s = y.s AND x.id < y.id GROUP BY 1, 2),
+      l AS (
+        SELECT a, b FROM p JOIN n na ON na.id = a JOIN n nb ON nb.id = b
+        WHERE 100 * shared >= 90 * (na.size + nb.size - shared)),{_REACHED},
+      c AS (SELECT id, min(other) AS component_id FROM reached GROUP BY id),
+      k AS (SELECT a AS id, count(*) AS links FROM e GROUP BY a)
+      SELECT id AS doc_id, size AS n_shingles, coalesce(links, 0) AS n_links, component_id
+      FROM n JOIN c USING (id) LEFT JOIN k USING (id)""",
     "op8_url_filter": r"""
       WITH c AS (
         SELECT page_id, url, TIMESTAMP '2024-01-01' + to_minutes(CAST(page_id * 7919 % 525600 AS BIGINT)) AS t,
