@@ -20,7 +20,7 @@ try:  # the operators for training data are an optional part
     import corpus_pipeline
     from tidegauge.llm import queries as llm
 except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "tidegauge.llm", "tidegauge.llm.queries"):
+    if missing.name != "corpus_pipeline" and not missing.name.startswith("tidegauge.llm"):
         raise
     llm = None
 
