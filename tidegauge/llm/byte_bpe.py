@@ -22,7 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegauge.llm.tokens import text_slices
+from tidegauge.llm.tokens import claim_memory, text_slices
 
 CACHE_WORDS = 200_000  # most words between spaces whose ids a worker remembers
 CACHE_PIECES = 800_000  # and most pre-tokens
@@ -198,6 +198,7 @@ def _tokens(content: bytes) -> dict[int, bytes]:
 
 
 def _encode(batches, shared, pattern: str) -> Iterator[pa.RecordBatch]:
+    claim_memory("merges", _loaded.cache_clear)
     pairs = _loaded(shared.value, pattern)
     for batch in text_slices(batches, "text_to_encode"):
         ids = [pairs.ids(t) if t else b"" for t in batch.column(batch.num_columns - 1).to_pylist()]

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
 from tidegauge.llm.byte_bpe import word_parts
-from tidegauge.llm.tokens import text_slices
+from tidegauge.llm.tokens import claim_memory, text_slices
 
 CACHE_WORDS = 700_000  # words a worker remembers, and as many again that it may forget next
 READ_BYTES = 4 << 20
@@ -114,6 +114,7 @@ def _encoder(content: str) -> WordEncoder:
 
 
 def _write(batches, root: str, shared, end: int):
+    claim_memory("token records", _encoder.cache_clear)
     encoder = _encoder(shared.value)
     system, base = fs.FileSystem.from_uri(root)
     last = np.array([end], encoder.kind).tobytes()

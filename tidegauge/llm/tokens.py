@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +31,18 @@ class _WordHashes(dict):
 
 
 _hashes = _WordHashes()
+_owner: list = []
+
+
+def claim_memory(owner: str, clear: Callable[[], None]) -> None:
+    """Let one kind of step at a time remember things in this worker, which serves many kinds in turn.
+
+    What the step before remembered is forgotten.
+    """
+    if not _owner or _owner[0] != owner:
+        if _owner:
+            _owner[1]()
+        _owner[:] = [owner, clear]
 
 
 def words(text: str | None) -> list[bytes]:
@@ -62,6 +74,7 @@ def text_chunks(batches, *columns: str) -> Iterator[list[list]]:
 
 def flat_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of all texts in one array, and the number of words of each text."""
+    claim_memory("word hashes", _hashes.clear)
     tokens: list[bytes] = []
     counts = np.empty(len(texts), np.int64)
     for i, text in enumerate(texts):
