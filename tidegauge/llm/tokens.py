@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -42,6 +43,7 @@ def claim_memory(owner: str, clear: Callable[[], None]) -> None:
     if not _owner or _owner[0] != owner:
         if _owner:
             _owner[1]()
+            gc.collect()
         _owner[:] = [owner, clear]
 
 
