@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidegauge.plans.neighbours import where_neighbours
 from tidegauge.session import Scratch
 
-CHUNK_MINUTES = 60
+CHUNK_MINUTES = 1440  # a key has one row a chunk where chunks are linked, so they are not short
 _ENTRY = ["list", "kind", "pattern"]
 
 
