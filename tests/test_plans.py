@@ -1,7 +1,6 @@
 """Plan shapes: exactness under any cut, and what the physical plans contain."""
 
 import random
-
 import re
 
 import __spark_entry__ as registered
