@@ -216,6 +216,20 @@ def test_every_exact_repeat_of_the_whole_table_is_in_a_document_found(spark):
     assert exact and exact <= set(found)
 
 
+def test_repeats_do_not_depend_on_the_partitions(spark):
+    rng = random.Random(12)
+    p, q = prose(rng, 70), prose(rng, 70)
+    docs = [(1, f"{prose(rng, 30)} {p} {prose(rng, 30)}"), (2, f"{q} {prose(rng, 40)} {p} {prose(rng, 60)} {p}"),
+            (3, f"{prose(rng, 20)} {q} {q} {p}")] + [(10 + i, prose(rng, 40)) for i in range(20)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    one, many = (sorted(tuple(r) for r in sd.repeated_passages(d).collect()) for d in (df.coalesce(1), df.repartition(23)))
+    assert one == many
+    for part in (df.coalesce(1), df.repartition(23)):
+        cut = {r["doc_id"]: r["text"] for r in sd.remove_repeats(part).collect()}
+        assert p in cut[1] and q in cut[2]
+        assert p not in cut[2] and p not in cut[3] and q not in cut[3]
+
+
 @pytest.mark.parametrize("spans,left", [([], "a b  c d"), ([(0, 2)], "  c d"), ([(1, 1), (2, 9)], "a   "), ([(9, 2)], "a b  c d")])
 def test_cutting_words(spans, left):
     assert sd._without("a b  c d", spans) == left
