@@ -230,6 +230,21 @@ def test_repeats_do_not_depend_on_the_partitions(spark):
         assert p not in cut[2] and p not in cut[3] and q not in cut[3]
 
 
+def test_an_earlier_holder_of_the_shingles_does_not_hide_a_repeat(spark):
+    rng = random.Random(13)
+    p = prose(rng, 60)
+    w = p.split()
+    scattered = " ".join(f"{' '.join(w[j : j + 5])} {prose(rng, 60)}" for j in range(56))
+    part = f"{prose(rng, 40)} {' '.join(w[:30])} {prose(rng, 40)} {' '.join(w[30:])} {prose(rng, 40)}"
+    docs = [(1, scattered), (2, part), (3, f"{prose(rng, 50)} {p} {prose(rng, 20)}"),
+            (4, f"{prose(rng, 10)} {p} {prose(rng, 30)} {p}"), (5, scattered + " x"), (6, prose(rng, 200))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = by_id(sd.repeated_passages(df))
+    assert set(found) == {4, 5} and {r["first_doc_id"] for r in found[4]} == {3}
+    assert {r["doc_id"]: r["text"] for r in sd.remove_repeats(df).collect()}[4].count(" ".join(w[5:55])) == 0
+    assert {(r["doc_id"], r["start"]) for r in sd.repeated_passages(df, agree=1).collect()} >= {(r["doc_id"], r["start"]) for r in found[4]}
+
+
 @pytest.mark.parametrize("spans,left", [([], "a b  c d"), ([(0, 2)], "  c d"), ([(1, 1), (2, 9)], "a   "), ([(9, 2)], "a b  c d")])
 def test_cutting_words(spans, left):
     assert sd._without("a b  c d", spans) == left
