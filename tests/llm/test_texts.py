@@ -58,6 +58,32 @@ def test_leaks_equal_brute_force(spark):
     assert dc.contaminated(df.limit(0), bench).collect() == [] == dc.contaminated(df, bench.limit(0)).collect()
 
 
+def test_items_with_moved_parts_equal_a_search_of_all_windows(spark):
+    rng = random.Random(21)
+    items = [(1, prose(rng, 59)), (2, prose(rng, 50)), (3, prose(rng, 30))]
+    a, b, c = (t.split() for _, t in items)
+    texts = [a[10:] + a[:10], b[25:] + b[:25], c[15:] + c[:15], a[30:] + a[:30], edited(rng, " ".join(a), 30).split()]
+    docs = [(i, f"{prose(rng, 40)} {' '.join(t)} {prose(rng, 70)}") for i, t in enumerate(texts)]
+    docs += [(10, " ".join(texts[0])), (11, f"{docs[0][1]} {' '.join(a)} {docs[1][1]}"), (12, prose(rng, 300))]
+    bag = lambda w: collections.Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+    every = set()
+    for d, t in docs:
+        w = words(t)
+        for item, text in items:
+            want = bag(words(text))
+            for s in range(len(w) - 4):
+                have = bag(w[s : s + len(words(text))])
+                if 100 * sum((have & want).values()) >= 80 * sum((have | want).values()):
+                    every.add((d, item, s))
+    size = {i: len(t.split()) for i, t in items}
+    aligned = expected_leaks(docs, items)
+    near = lambda x, y: x[:2] == y[:2] and abs(x[2] - y[2]) < size[x[1]]
+    expected = aligned | {x for x in every if not any(near(x, y) for y in aligned)}
+    found = dc.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"], r["start"]) for r in found.collect()} == expected
+    assert {0, 1} <= {d for d, _, _ in expected - aligned}
+
+
 def test_blocks_find_all_prints_within_the_radius(spark):
     rng = random.Random(1)
     rows = []

@@ -1,8 +1,8 @@
 """Benchmark items in documents: SimHash of item-sized windows, Hamming index, exact similarity.
 
 All steps are DataFrame operations. A window has as many words as a benchmark item, and lies where a
-shingle of the document equals one of the item at the same offset; a window similar enough to an item
-shares most of its shingles, so nothing similar is left out. Each window's fingerprint is the SimHash
+shingle of the document equals one of the item at the same offset. Similarity knows no order, so where
+no such window is similar, all windows that hold enough of the item's shingles are taken too. Each window's fingerprint is the SimHash
 of its shingles, weighted by how often they occur. Fingerprints are cut into ``radius + 1`` blocks: two
 within the radius agree in at least one block, so a join on the blocks finds all of them. The pairs
 found are then compared exactly by the weighted Jaccard similarity of their shingles.
@@ -105,46 +105,38 @@ def _blocks(fingerprint: Column, radius: int) -> Column:
     )
 
 
-def contaminated(
-    docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, size: int = SIZE, radius: int = RADIUS,
-    id_col: str = "doc_id", text_col: str = "text",
-) -> DataFrame:
-    """doc_id, item_id, start, n_words, distance, similarity of every window that repeats an item.
+def _starts_by_count(sequences: DataFrame, items: DataFrame, n_known: int, percent: int, size: int) -> DataFrame:
+    """doc_id, item_id, n_words, start of the windows that hold enough of an item's shingles, in any order.
 
-    ``start`` counts words. Of overlapping windows for one item each that reaches ``percent`` / 100 is
-    given. Null, blank and short texts and items, of fewer than ``size`` words, have no shingle and
-    match nothing; rows without an id are left out. Items or documents that repeat give their pairs
-    once per id. Other columns are not looked at; an empty table gives an empty result.
+    A similar window has at least ``percent`` / 100 as many known shingles as the item has shingles, so
+    some run of that many hits in a row lies inside it.
     """
-    scratch = Scratch(docs.sparkSession, "decontaminate")
-    items = with_shingles(benchmark.select(F.col("item_id").cast("long"), F.col("text")), F.col("text"), size)
-    items = items.drop("text").filter("item_id IS NOT NULL AND n_words >= %d" % size).distinct()
-    items = scratch.table(items, "item-shingles")
-    items = items.withColumns({"print": simhash(F.col("shingles")), "of_item": F.xxhash64("item_id", "shingles")})
-    items = scratch.table(items, "items")
-    known = items.select("n_words", F.posexplode("shingles").alias("at", "shingle")).distinct()
-    known = scratch.table(known, "known")
-    n_known, n_items = known.count(), items.count()
-
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    texts = texts.filter("doc_id IS NOT NULL")
-    # Most documents hold no item: those that do are found by probing a part of their shingles.
-    least = items.agg(F.min("n_words")).first()[0] or size
-    stride = stride_of(least - size + 1, percent)
-    probes = with_sampled_shingles(texts, F.col("text"), stride, size).select("doc_id", F.explode("shingles").alias("shingle"))
-    suspects = probes.join(small_side(known.select("shingle").distinct(), n_known), "shingle", "left_semi")
-    suspects = scratch.table(suspects.select("doc_id").distinct(), "suspects")
-    n_suspects = suspects.count()
-    texts = scratch.table(texts.join(small_side(suspects, n_suspects), "doc_id"), "suspect-texts")
-    sequences = with_shingles(texts, F.col("text"), size)
-    hits = sequences.select("doc_id", F.posexplode("shingles").alias("pos", "shingle")).join(
-        small_side(known, n_known), "shingle"
+    wanted = items.select("item_id", "of_item", "n_words", F.explode(F.array_distinct("shingles")).alias("shingle"))
+    texts = sequences.select(
+        "doc_id", F.xxhash64("shingles").alias("of_text"), F.posexplode("shingles").alias("pos", "shingle")
+    )
+    hits = texts.join(small_side(wanted, n_known), "shingle").select(
+        "doc_id", "of_text", "item_id", "of_item", "n_words", "pos"
+    ).distinct()
+    places = hits.groupBy("doc_id", "of_text", "item_id", "of_item", "n_words").agg(F.sort_array(F.collect_list("pos")).alias("places"))
+    length = F.col("n_words") - size + 1
+    least = F.greatest(F.ceil(length * percent / 100).cast("int"), F.lit(1))
+    runs = places.filter(F.size("places") >= least).select(
+        "doc_id", "item_id", "n_words", "places", F.posexplode("places").alias("i", "first")
+    ).select("doc_id", "item_id", "n_words", "first", F.get("places", F.col("i") + least - 1).alias("last"))
+    start = F.greatest(F.col("last") - length + 1, F.lit(0))
+    return runs.filter(start <= F.col("first")).select(
+        "doc_id", "item_id", "n_words", F.explode(F.sequence(start, F.col("first"))).alias("start")
     )
-    starts = hits.select("doc_id", "n_words", F.greatest(F.col("pos") - F.col("at"), F.lit(0)).alias("start"))
-    starts = scratch.table(starts.distinct(), "starts")
 
+
+def _matches(
+    starts: DataFrame, texts: DataFrame, items: DataFrame, n_items: int, n_known: int, percent: int, size: int,
+    radius: int, scratch: Scratch, name: str,
+) -> DataFrame:
+    """The windows (doc_id, n_words, start) that are similar to an item of their size."""
     wanted = starts.groupBy("doc_id").agg(F.collect_set(F.struct("start", "n_words")).alias("windows"))
-    found = scratch.table(wanted, "wanted")
+    found = scratch.table(wanted, f"{name}-wanted")
     found = with_shingles(texts.join(found, "doc_id"), F.col("text"), size).drop("text", "n_words")
     windows = found.select("doc_id", "shingles", F.explode("windows").alias("w")).select(
         "doc_id", "w.start", "w.n_words",
@@ -152,8 +144,8 @@ def contaminated(
     )
     # Rows that repeat give equal windows; rows of one id with different texts keep theirs apart.
     windows = windows.filter(F.size("shingles") > 0).withColumn("of_doc", F.xxhash64("doc_id", "start", "shingles"))
-    windows = scratch.table(windows.dropDuplicates(["of_doc"]), "window-shingles")
-    windows = scratch.table(windows.withColumn("print", simhash(F.col("shingles"))), "windows")
+    windows = scratch.table(windows.dropDuplicates(["of_doc"]), f"{name}-window-shingles")
+    windows = scratch.table(windows.withColumn("print", simhash(F.col("shingles"))), f"{name}-windows")
 
     block = F.explode(_blocks(F.col("print"), radius)).alias("b")
     left = windows.select("doc_id", "of_doc", "start", "n_words", "print", block)
@@ -167,7 +159,7 @@ def contaminated(
         .select("doc_id", "of_doc", "start", "n_words", "item_id", "of_item", distance.alias("distance"))
         .distinct()
     )
-    near = scratch.table(near, "near")
+    near = scratch.table(near, f"{name}-near")
 
     key = near.columns
     one, none = F.lit(1), F.lit(0)
@@ -189,6 +181,61 @@ def contaminated(
     ).distinct()
 
 
+def contaminated(
+    docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, size: int = SIZE, radius: int = RADIUS,
+    id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """doc_id, item_id, start, n_words, distance, similarity of every window that repeats an item.
+
+    ``start`` counts words. Of overlapping windows for one item each that reaches ``percent`` / 100 is
+    given, or only those that have a shingle at the item's own offset if there are any. Null, blank and
+    short texts and items, of fewer than ``size`` words, have no shingle and match nothing; rows without
+    an id are left out. Items or documents that repeat give their pairs once per id. Other columns are not looked at; an empty table gives an empty result.
+    """
+    scratch = Scratch(docs.sparkSession, "decontaminate")
+    items = with_shingles(benchmark.select(F.col("item_id").cast("long"), F.col("text")), F.col("text"), size)
+    items = items.drop("text").filter("item_id IS NOT NULL AND n_words >= %d" % size).distinct()
+    items = scratch.table(items, "item-shingles")
+    items = items.withColumns({"print": simhash(F.col("shingles")), "of_item": F.xxhash64("item_id", "shingles")})
+    items = scratch.table(items, "items")
+    known = items.select("n_words", F.posexplode("shingles").alias("at", "shingle")).distinct()
+    known = scratch.table(known, "known")
+    n_known, n_items = known.count(), items.count()
+
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    texts = texts.filter("doc_id IS NOT NULL")
+    # Most documents hold no item: those that do are found by probing a part of their shingles.
+    least = items.agg(F.min("n_words")).first()[0] or size
+    stride = stride_of(least - size + 1, percent)
+    probes = with_sampled_shingles(texts, F.col("text"), stride, size).select("doc_id", F.explode("shingles").alias("shingle"))
+    suspects = probes.join(small_side(known.select("shingle").distinct(), n_known), "shingle", "left_semi")
+    suspects = scratch.table(suspects.select("doc_id").distinct(), "suspects")
+    n_suspects = suspects.count()
+    texts = scratch.table(texts.join(small_side(suspects, n_suspects), "doc_id"), "suspect-texts")
+    sequences = with_shingles(texts, F.col("text"), size)
+    hits = sequences.select("doc_id", F.posexplode("shingles").alias("pos", "shingle")).join(
+        small_side(known, n_known), "shingle"
+    )
+    starts = hits.select("doc_id", "n_words", F.greatest(F.col("pos") - F.col("at"), F.lit(0)).alias("start"))
+    starts = scratch.table(starts.distinct(), "starts")
+
+    aligned = scratch.table(_matches(starts, texts, items, n_items, n_known, percent, size, radius, scratch, "aligned"), "aligned")
+    # Shingles in another order: windows with enough of an item's, wherever no aligned one was found.
+    overlap = F.abs(F.col("start") - F.col("at_start")) < F.col("n_words")
+    taken = aligned.select("doc_id", "item_id", F.col("start").alias("at_start")).distinct()
+    others = _starts_by_count(sequences, items, n_known, percent, size).join(
+        taken.withColumnsRenamed({"doc_id": "d", "item_id": "i"}),
+        (F.col("doc_id") == F.col("d")) & (F.col("item_id") == F.col("i")) & overlap, "left_anti",
+    )
+    others = scratch.table(others.select("doc_id", "n_words", "start").distinct(), "other-starts")
+    moved = _matches(others, texts, items, n_items, n_known, percent, size, radius, scratch, "moved")
+    moved = moved.join(
+        taken.withColumnsRenamed({"doc_id": "d", "item_id": "i"}),
+        (F.col("doc_id") == F.col("d")) & (F.col("item_id") == F.col("i")) & overlap, "left_anti",
+    )
+    return aligned.union(moved)
+
+
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents, with all their columns, in which no benchmark item was found."""
     scratch = Scratch(docs.sparkSession, "clean")
