@@ -141,6 +141,17 @@ def test_stages_keep_rows_and_columns(spark):
     assert {d: bytes(r["ids"]) for d, (r,) in found.items()} == {r["doc_id"]: bytes(r["ids"]) for r in docs.collect()}
 
 
+def test_near_copies_by_five_words_go(spark):
+    rng = random.Random(4)
+    w = prose(rng, 102).split()
+    two = [x if i not in (30, 70) else "changed" for i, x in enumerate(w)]
+    four = [x if i not in (20, 40, 60, 80) else "changed" for i, x in enumerate(w)]
+    docs = [(1, " ".join(w), "en", "s", 1), (2, " ".join(two), "en", "s", 1), (3, " ".join(four), "en", "s", 1)]
+    kept = corpus_pipeline.one_of_each_group(spark, spark.createDataFrame(docs, DOCS), SF)
+    assert kept.columns == spark.createDataFrame(docs, DOCS).columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3]
+
+
 def test_pipeline_of_odd_rows(spark, tmp_path):
     rng = random.Random(1)
     clean = [prose(rng, 80) for _ in range(30)]
