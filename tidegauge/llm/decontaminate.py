@@ -111,23 +111,30 @@ def _starts_by_count(sequences: DataFrame, items: DataFrame, n_known: int, perce
     A similar window has at least ``percent`` / 100 as many known shingles as the item has shingles, so
     some run of that many hits in a row lies inside it.
     """
-    wanted = items.select("item_id", "of_item", "n_words", F.explode(F.array_distinct("shingles")).alias("shingle"))
+    counts = items.select("item_id", "of_item", "n_words", F.explode("shingles").alias("shingle"))
+    wanted = counts.groupBy("item_id", "of_item", "n_words", "shingle").agg(F.count("*").alias("cap"))
     texts = sequences.select(
-        "doc_id", F.xxhash64("shingles").alias("of_text"), F.posexplode("shingles").alias("pos", "shingle")
+        "doc_id", F.xxhash64("shingles").alias("of_text"), F.size("shingles").alias("n"),
+        F.posexplode("shingles").alias("pos", "shingle"),
     )
-    hits = texts.join(small_side(wanted, n_known), "shingle").select(
-        "doc_id", "of_text", "item_id", "of_item", "n_words", "pos"
-    ).distinct()
-    places = hits.groupBy("doc_id", "of_text", "item_id", "of_item", "n_words").agg(F.sort_array(F.collect_list("pos")).alias("places"))
+    text = ["doc_id", "of_text", "n", "item_id", "of_item", "n_words"]
+    hits = texts.join(small_side(wanted, n_known), "shingle").select(*text, F.struct("pos", "shingle", "cap").alias("hit"))
+    places = hits.distinct().groupBy(*text).agg(F.sort_array(F.collect_list("hit")).alias("hits"))
     length = F.col("n_words") - size + 1
     least = F.greatest(F.ceil(length * percent / 100).cast("int"), F.lit(1))
-    runs = places.filter(F.size("places") >= least).select(
-        "doc_id", "item_id", "n_words", "places", F.posexplode("places").alias("i", "first")
-    ).select("doc_id", "item_id", "n_words", "first", F.get("places", F.col("i") + least - 1).alias("last"))
-    start = F.greatest(F.col("last") - length + 1, F.lit(0))
-    return runs.filter(start <= F.col("first")).select(
-        "doc_id", "item_id", "n_words", F.explode(F.sequence(start, F.col("first"))).alias("start")
-    )
+    runs = places.filter(F.size("hits") >= least).select(*text, "hits", F.posexplode("hits").alias("i", "hit"))
+    first, last = F.col("hit.pos"), F.get("hits", F.col("i") + least - 1)["pos"]
+    start = F.greatest(last - length + 1, F.lit(0))
+    runs = runs.filter(start <= first).select(*text, F.explode(F.sequence(start, first)).alias("start")).distinct()
+    # What a window and the item have in common is at most its hits, and at most the item's own counts.
+    inside = F.filter("hits", lambda h: (h["pos"] >= F.col("start")) & (h["pos"] < F.col("start") + length))
+    kinds = F.array_distinct(F.transform("inside", lambda h: F.struct(h["shingle"], h["cap"].alias("cap"))))
+    capped = F.aggregate(kinds, F.lit(0).cast("long"), lambda acc, h: acc + h["cap"])
+    need = (length + F.least(length, F.col("n") - F.col("start"))) * percent
+    known = runs.join(places, text).select("doc_id", "item_id", "n_words", "start", "n", F.explode(F.array(inside)).alias("inside"))
+    return known.filter(F.least(F.size("inside"), capped) * (100 + percent) >= need).select(
+        "doc_id", "item_id", "n_words", "start"
+    ).distinct()
 
 
 def _matches(
