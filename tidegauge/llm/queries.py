@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidegauge.llm import byte_bpe, token_records
 from tidegauge.llm.class_lm import lm_scores
 from tidegauge.llm.decontaminate import contaminated
+from tidegauge.llm.fill_middle import fill_middle, restored
 from tidegauge.llm.jaccard_join import jaccard_join
 from tidegauge.llm.language_id import identify
 from tidegauge.llm.near_vectors import near_vectors
@@ -112,6 +113,16 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(_read(spark, sf_dir, "documents"))
 
 
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut in three and put together for infilling, and the text rebuilt from that."""
+    cut = fill_middle(_read(spark, sf_dir, "documents"), keep=["doc_id"])
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_near_vectors": op1_near_vectors,
     "op2_decontamination": op2_decontamination,
@@ -123,6 +134,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_class_lm": op9_class_lm,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op13_fill_middle": op13_fill_middle,
 }
 
 _REACHED = """
@@ -192,4 +204,20 @@ SQL = {
              CAST(1 AS BIGINT) AS copies,
              count(*) FILTER (m.action = 'block') > 0 AND count(*) FILTER (m.action = 'allow') = 0 AS blocked
       FROM c LEFT JOIN m USING (page_id, url) GROUP BY ALL""",
+    "op13_fill_middle": """
+      WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || doc_id) AS h FROM documents),
+      n AS (
+        SELECT doc_id, t, length(t) AS n,
+               list_transform([1, 9, 17, 25], lambda i: CAST('0x' || h[i : i + 7] AS BIGINT)) AS h FROM d),
+      c AS (
+        SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+               CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 90
+                    THEN 'plain' WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM n),
+      p AS (SELECT *, substr(t, 1, a) AS pre, substr(t, a + 1, b - a) AS mid, substr(t, b + 1) AS suf FROM c)
+      SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+             CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+             sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                    ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+             sha256(pre || mid || suf) AS restored_sha256
+      FROM p""",
 }
