@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegauge.llm import byte_bpe, token_records
+from tidegauge.llm import byte_bpe, pair_index_bpe, token_records
 from tidegauge.llm.class_lm import lm_scores
 from tidegauge.llm.decontaminate import contaminated
 from tidegauge.llm.fill_middle import fill_middle, restored
@@ -113,6 +113,18 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(_read(spark, sf_dir, "documents"))
 
 
+def op11_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's token ids and of the text decoded from them."""
+    path = f"file://{public_tokenizers.path('byte_bpe_50k.json')}"
+    encoded = pair_index_bpe.encode(_read(spark, sf_dir, "documents"), path, keep=["doc_id"])
+    return pair_index_bpe.decode(encoded, path).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document cut in three and put together for infilling, and the text rebuilt from that."""
     cut = fill_middle(_read(spark, sf_dir, "documents"), keep=["doc_id"])
@@ -134,6 +146,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_class_lm": op9_class_lm,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op11_pair_index_bpe": op11_pair_index_bpe,
     "op13_fill_middle": op13_fill_middle,
 }
 

@@ -56,11 +56,16 @@ def word_hashes(tokens: list[bytes]) -> np.ndarray:
     return np.fromiter(map(_hashes.__getitem__, tokens), _U, len(tokens))
 
 
-def text_slices(batches, column: str) -> Iterator[pa.RecordBatch]:
-    """The batches cut into pieces with a bounded size of text each, unless one text alone is longer."""
+def text_slices(batches, column: str, size: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut into pieces of about ``size`` bytes of text each, unless one text alone is longer.
+
+    The column may also hold lists, which count by their entries.
+    """
     for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-        piece = np.cumsum(sizes.astype(np.int64)) // BATCH_BYTES
+        values = batch.column(column)
+        length = pc.list_value_length if pa.types.is_list(values.type) else pc.binary_length
+        sizes = pc.fill_null(length(values), 0).to_numpy(zero_copy_only=False)
+        piece = np.cumsum(sizes.astype(np.int64)) // size
         edges = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
         for a, b in zip(edges[:-1], edges[1:]):
             if b > a:
