@@ -1,0 +1,171 @@
+"""Whitening: the exact polynomial, its roots, null spaces, and the whole against a plain computation."""
+
+import math
+import random
+from fractions import Fraction
+
+import numpy as np
+
+from llm.helpers import SF
+from tidegauge.llm import queries, whitening as wh
+
+
+def scatter_of(x):
+    n, s = len(x), [sum(c) for c in zip(*x)]
+    d = len(s)
+    return np.array(
+        [[n * sum(r[i] * r[j] for r in x) - s[i] * s[j] for j in range(d)] for i in range(d)], object
+    ).reshape(d, d)
+
+
+def plain_polynomial(a):
+    """Faddeev and Le Verrier's recurrence in exact fractions."""
+    d = len(a)
+    a = [[Fraction(int(v)) for v in row] for row in a]
+    m, out = [[Fraction(0)] * d for _ in range(d)], [Fraction(1)]
+    for k in range(1, d + 1):
+        m = [[sum(a[i][t] * m[t][j] for t in range(d)) + out[-1] * (i == j) for j in range(d)] for i in range(d)]
+        am = [sum(a[i][t] * m[t][i] for t in range(d)) for i in range(d)]
+        out.append(-sum(am) / k)
+    assert all(c.denominator == 1 for c in out)
+    return [int(c) for c in reversed(out)]
+
+
+def matrices():
+    rng = random.Random(2)
+    for d, n, most in ((1, 4, 9), (2, 9, 50), (5, 3, 9), (6, 20, 10**12), (7, 30, 4), (9, 40, 1)):
+        yield scatter_of([[rng.randint(-most, most) for _ in range(d)] for _ in range(n)])
+    yield np.diag(np.array([5, 7, 0, 5, 7, 5, 1], object))
+    yield np.full((4, 4), 3, object)
+    yield np.full((3, 3), 0, object)
+
+
+def polynomial(a):
+    return wh.remaindered([(p, wh.polynomial_mod(a, p).tolist()) for p in wh.primes_below(1 << 31, wh.primes_needed(a))])
+
+
+def test_polynomial_is_exact():
+    for a in matrices():
+        assert polynomial(a) == plain_polynomial(a)
+
+
+def test_primes():
+    assert wh.primes_below(30, 3) == [29, 23, 19]
+    first = wh.primes_below(1 << 31, 3)
+    assert first[0] == (1 << 31) - 1
+    assert all(all(p % q for q in range(2, math.isqrt(p) + 1)) for p in first)
+
+
+def test_roots_and_spaces():
+    for a in matrices():
+        d, p = len(a), polynomial(a)
+        roots = wh.largest_roots(p, d)
+        values = [root / 2**wh.GRID_BITS for root, many in roots for _ in range(many)]
+        expected = sorted(np.linalg.eigvalsh(a.astype(float)), reverse=True)
+        scale = max(expected[0], 1)
+        assert np.allclose(values, [v for v in expected if v > 1e-9 * scale], rtol=1e-9)
+        for root, many in roots:
+            v = wh.null_space(a, root, many)
+            assert np.allclose(v @ v.T, np.eye(many), atol=1e-15)
+            assert np.abs(v @ a.astype(float) - root / 2**wh.GRID_BITS * v).max() <= 1e-14 * scale
+    assert wh.largest_roots(polynomial(np.diag(np.array([5, 7, 5, 1], object))), 2) == [
+        (7 << wh.GRID_BITS, 1), (5 << wh.GRID_BITS, 2)]
+
+
+def test_close_roots_are_told_apart():
+    """Eigenvalues that differ by 1 in 1e18, where doubles see one."""
+    a = np.array([[10**18 + 1, 0, 0], [0, 10**18, 0], [0, 0, 3]], object)
+    roots = wh.largest_roots(polynomial(a), 3)
+    assert roots == [((10**18 + 1) << wh.GRID_BITS, 1), (10**18 << wh.GRID_BITS, 1), (3 << wh.GRID_BITS, 1)]
+    vectors = np.concatenate([wh.null_space(a, *r) for r in roots])
+    assert np.abs(vectors - np.eye(3)).max() < 1e-15
+
+
+def test_sums_are_exact():
+    rng = np.random.default_rng(1)
+    for most in (10, 1 << 20, 1 << 30, 1 << 61):
+        x = rng.integers(-most, most, (50, 4))
+        assert (wh.gram(x) == x.astype(object).T.dot(x.astype(object))).all()
+    values = [0, 1, -1, 2**100, -(2**150), 12345]
+    digits = wh._limbs(values)
+    assert [sum(d[i] << 32 * k for k, d in enumerate(digits)) for i in range(len(values))] == values
+    total = [sum(d) for d in digits]
+    assert sum(t << 32 * k for k, t in enumerate(total)) == sum(values)
+
+
+def expected_rows(vectors, count=16):
+    """From the definition, in doubles about the mean: the fit list, deviations and whitened values."""
+    fine = {k: v for k, v in vectors.items() if v and all(c is not None and math.isfinite(c) for c in v)}
+    x = {k: [math.floor(64 * float(c)) + 1_000_000 for c in v] for k, v in fine.items()}
+    fit = sorted({tuple(v) for v in x.values()})
+    n, s = len(fit), [sum(c) for c in zip(*fit)]
+    centred = np.array(fit, float) - np.array(s) / n
+    e, v = np.linalg.eigh(centred.T @ centred / n)
+    e, v = e[::-1][:count], v[:, ::-1][:, :count]
+    out = {}
+    for k, row in x.items():
+        deviation = sum((n * c - t) ** 2 for c, t in zip(row, s))
+        out[k] = deviation, (np.array(row, float) - np.array(s) / n) @ v / np.sqrt(e)
+    return n, out, e / np.trace(centred.T @ centred / n)
+
+
+def compare(rows, vectors, count=16):
+    n, expected, explained = expected_rows(vectors, count)
+    assert {k for k, *_ in rows} == set(expected)
+    signs = {}
+    for k, component, got_n, deviation, whitened, share, error in rows:
+        want = expected[k][1][component - 1]
+        assert (got_n, deviation) == (n, expected[k][0])
+        if abs(want) > 1e-6:
+            signs.setdefault(component, set()).add(np.sign(want) == np.sign(whitened))
+        assert abs(abs(whitened) - abs(want)) < 1e-7 * max(1, abs(want))
+        assert abs(share / explained[component - 1] - 1) < 1e-9
+        assert error < 1e-9
+    assert all(len(s) == 1 for s in signs.values())
+
+
+def test_query_against_a_plain_computation(spark):
+    df = spark.read.parquet(f"{SF}/embeddings.parquet")
+    out = queries.QUERIES["op12_whitening"](spark, SF)
+    assert out.columns == ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"]
+    rows = [tuple(r) for r in out.collect()]
+    assert len(rows) == 16 * df.count()
+    compare(rows, {r.vec_id: r.embedding for r in df.collect()})
+
+
+def test_odd_rows(spark):
+    rng = random.Random(4)
+    vectors = {k: [rng.uniform(-2, 2) for _ in range(5)] for k in range(40)}
+    vectors |= {40: None, 41: [], 42: [None] * 5, 43: [1.0, None, 0.0, 0.0, 0.0], 44: [float("nan")] * 5,
+                45: [float("inf"), 0.0, 0.0, 0.0, 0.0], 46: [0.0] * 5, 47: [-0.0] * 5, 48: vectors[3], 49: vectors[3]}
+    rows = [(k, v, 1, 2) for k, v in vectors.items()] + [(50, [1.0, 2.0], 1, 2), (51, [1e300] * 5, 1, 2), (None, vectors[5], 1, 2)]
+    schema = "vec_id long, embedding array<double>, n int, x int"
+    out = wh.whiten(spark.createDataFrame(rows, schema).repartition(7), count=4)
+    assert out.columns == ["vec_id", "embedding", "x", "n", "deviation", "whitened", "explained", "identity_error"]
+    found = {r.vec_id: r for r in out.collect()}
+    assert set(found) == {k for k in range(50) if not 40 <= k <= 45} | {50, None}
+    assert (found[50].whitened, found[50].deviation, found[50].n) == ([], None, 41)
+    assert found[48].whitened == found[49].whitened == found[3].whitened
+    assert found[None].whitened == found[5].whitened
+    compare(
+        [(k, c + 1, r.n, r.deviation, w, r.explained[c], r.identity_error)
+         for k, r in found.items() if k not in (50, None) for c, w in enumerate(r.whitened)],
+        vectors, 4,
+    )
+
+
+def test_little_variance_and_none(spark):
+    schema = "vec_id long, embedding array<float>"
+    build = lambda *vs: spark.createDataFrame(list(enumerate(vs)), schema)
+    assert wh.whiten(build([1.0, 2.0]).limit(0)).count() == 0
+    same = wh.whiten(build([1.0, 2.0], [1.0, 2.0], None)).collect()
+    assert [(r.n, r.deviation, r.whitened, r.explained, r.identity_error) for r in same] == [(1, 0, [], [], None)] * 2
+    line = wh.whiten(build([0.0, 0.0], [1.0, 1.0], [2.0, 2.0])).collect()
+    assert [len(r.whitened) for r in line] == [1, 1, 1]
+    assert np.allclose([abs(r.whitened[0]) for r in line], [math.sqrt(1.5), 0, math.sqrt(1.5)])
+    square = wh.whiten(build([1.0, 0.0], [-1.0, 0.0], [0.0, 1.0], [0.0, -1.0])).collect()
+    w = np.array([r.whitened for r in square])  # both components share one variance
+    assert np.allclose(w.T @ w / 4, np.eye(2), atol=1e-14)
+    assert np.allclose(square[0].explained, [0.5, 0.5], atol=1e-15)
+    far = wh.whiten(build([3e15, 0.0], [-3e15, 0.0], [0.0, 1.0])).collect()
+    assert all(r.deviation is None for r in far[:2]) and far[0].identity_error < 1e-9

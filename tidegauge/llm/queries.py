@@ -15,6 +15,7 @@ from tidegauge.llm.near_vectors import near_vectors
 from tidegauge.llm.substring_dedup import repeated_passages
 from tidegauge.llm.url_filter import url_host, url_path, url_verdicts
 from tidegauge.llm.warc import read_warc, write_warc
+from tidegauge.llm.whitening import whiten
 from tidegauge.session import scratch_path
 
 
@@ -125,6 +126,15 @@ def op11_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the components of the exact scatter, one row for each of them."""
+    rows = whiten(_read(spark, sf_dir, "embeddings"), keep=["vec_id"])
+    return rows.select("*", F.posexplode("whitened").alias("place", "value")).select(
+        "vec_id", (F.col("place") + 1).alias("component"), "n", "deviation",
+        F.col("value").alias("whitened"), F.get("explained", "place").alias("explained"), "identity_error",
+    )
+
+
 def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document cut in three and put together for infilling, and the text rebuilt from that."""
     cut = fill_middle(_read(spark, sf_dir, "documents"), keep=["doc_id"])
@@ -147,6 +157,7 @@ QUERIES = {
     "op9_class_lm": op9_class_lm,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     "op11_pair_index_bpe": op11_pair_index_bpe,
+    "op12_whitening": op12_whitening,
     "op13_fill_middle": op13_fill_middle,
 }
 
