@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidegauge.functions.time import format_iso, partition_keys
 from tidegauge.schema import PARTITION_KEYS, STORED_SCHEMA
+from tidegauge.sources.commits import Commit, latest, publish, stage
 
 
 def to_stored(df: DataFrame, zone: str = "UTC") -> DataFrame:
@@ -28,21 +29,34 @@ def _in_time_order():
     return F.rpad(F.rtrim(F.col("timestamp"), F.lit("Z")), 26, "0")
 
 
+def _arranged(df: DataFrame, zone: str) -> DataFrame:
+    """Stored rows gathered by day, in time order.
+
+    The rebalance gathers each day into one file and lets adaptive execution split a day that is
+    too big for one task into several.
+    """
+    return (
+        to_stored(df, zone)
+        .hint("rebalance", *PARTITION_KEYS)
+        .sortWithinPartitions(*PARTITION_KEYS, _in_time_order(), "device_id")
+    )
+
+
 def write_partitioned_jsonl(
     df: DataFrame, root: str, zone: str = "UTC", replace: str = "days"
 ) -> None:
     """Write readings into year=/month=/day= folders, in time order inside each file.
 
-    ``replace='days'`` swaps only the days present in ``df``; ``'all'`` replaces the whole table.
-    The rebalance gathers each day into one file and lets adaptive execution split a day that is
-    too big for one task into several.
+    ``replace='days'`` swaps only the days present in ``df``; ``'all'`` replaces the whole table. Files
+    are swapped in place, for programs that find them by folder name; readers in between may meet a
+    part of them. :func:`publish_readings` has no such moment. Tables with commits are refused.
     """
     if replace not in ("days", "all"):
         raise ValueError(f"replace must be 'days' or 'all', not {replace!r}")
+    if latest(df.sparkSession, root) is not None:
+        raise ValueError("the table has commits: use publish_readings")
     (
-        to_stored(df, zone)
-        .hint("rebalance", *PARTITION_KEYS)
-        .sortWithinPartitions(*PARTITION_KEYS, _in_time_order(), "device_id")
+        _arranged(df, zone)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if replace == "days" else "static")
         .option("ignoreNullFields", "false")
@@ -51,6 +65,19 @@ def write_partitioned_jsonl(
     )
 
 
+def publish_readings(df: DataFrame, root: str, zone: str = "UTC", replace: str = "days") -> Commit:
+    """Write readings like :func:`write_partitioned_jsonl` and make them count all at once.
+
+    Until the last moment, and for ever if the write fails, scans see the table as it was; from then on
+    they see it as it is now. ``replace='none'`` adds to the days. ``df`` may be read from the table itself.
+    Old files stay until :func:`tidegauge.sources.commits.clean` is called.
+    """
+    if replace not in ("days", "all", "none"):
+        raise ValueError(f"replace must be 'days', 'all' or 'none', not {replace!r}")
+    write, days = stage(_arranged(df, zone), root, "json", ignoreNullFields="false")
+    return publish(df.sparkSession, root, write, days, replace)
+
+
 def write_jsonl(df: DataFrame, path: str) -> None:
     """Write one JSON object per line, keeping NULL fields, in the order of ``df``."""
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)

@@ -1,25 +1,26 @@
-"""Scans of a JSON-lines readings table laid out as year=/month=/day= folders."""
+"""Scans of a JSON-lines readings table laid out as year=/month=/day= folders.
+
+A table may be those folders and nothing else, or have commits (see :mod:`tidegauge.sources.commits`); every
+scan here reads both.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidegauge.functions.time import parse_iso
 from tidegauge.schema import STORED_FIELDS, TABLE_SCHEMA
+from tidegauge.sources.commits import day_key, read_days
 
 CORRUPT = "_corrupt_record"
 
 
-def _scan(spark: SparkSession, root: str, mode: str) -> DataFrame:
+def _scan(spark: SparkSession, root: str, mode: str, days: Iterable[str] | None = None) -> DataFrame:
     schema = T.StructType(list(TABLE_SCHEMA.fields)).add(CORRUPT, T.StringType())
-    return (
-        spark.read.schema(schema)
-        .option("mode", mode)
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(root)
-    )
+    return read_days(spark, root, schema, "json", days, mode=mode, columnNameOfCorruptRecord=CORRUPT)
 
 
 def _mentions_every_field() -> Column:
@@ -32,15 +33,19 @@ def _mentions_every_field() -> Column:
     return F.concat_ws("", *texts, CORRUPT) != ""
 
 
-def scan_readings(spark: SparkSession, root: str, mode: str = "PERMISSIVE") -> DataFrame:
+def scan_readings(
+    spark: SparkSession, root: str, mode: str = "PERMISSIVE", days: Iterable[str] | None = None
+) -> DataFrame:
     """Readings with their partition keys and ``event_time``.
 
+    With ``days``, names of day folders such as "2024-01-15", no other folder is so much as listed.
+
     Lines that are not valid JSON or hold a wrongly typed field are left to
     :func:`scan_rejects`, which takes parsing every line in full. For tables known to be sound,
     ``mode='TRUSTED'`` parses only the columns that the query reads; a bad field is then NULL. With
     ``mode='FAILFAST'`` a bad line among the columns read stops the query.
     """
-    df = _scan(spark, root, "PERMISSIVE" if mode == "TRUSTED" else mode)
+    df = _scan(spark, root, "PERMISSIVE" if mode == "TRUSTED" else mode, days)
     if mode == "PERMISSIVE":
         df = df.filter(F.col(CORRUPT).isNull() | ~_mentions_every_field())
     return df.drop(CORRUPT).withColumn("event_time", parse_iso("timestamp"))
@@ -56,11 +61,18 @@ def _as_date(value: date | str) -> date:
     return date.fromisoformat(value) if isinstance(value, str) else value
 
 
-def partition_range(start: date, end: date):
-    """Predicate on the partition keys alone, so it prunes folders before any is listed as input."""
-    key = F.concat("year", "month", "day")
-    low, high = (d.isoformat().replace("-", "") for d in (start, end))
-    return key.between(low, high) & F.col("year").between(low[:4], high[:4])
+def _days(low: date, high: date) -> list[str]:
+    return [day_key(date.fromordinal(n)) for n in range(low.toordinal(), high.toordinal() + 1)]
+
+
+PROJECTED_DAYS = 4000  # longest range whose folders are asked for one by one
+
+
+def _between(df: DataFrame, start: date, end: date) -> DataFrame:
+    """Rows of UTC days, by a condition on the time alone."""
+    first, after = (F.lit(d.isoformat()).cast("timestamp_ntz") for d in (start, min(end, date.max - timedelta(1)) + timedelta(1)))
+    inside = F.col("event_time") >= first
+    return df.filter(inside if end == date.max else inside & (F.col("event_time") < after))
 
 
 def scan_date_range(
@@ -69,27 +81,22 @@ def scan_date_range(
     """Readings whose UTC day lies in ``start..end`` (both included).
 
     The writer's calendar may be any zone, so a folder's day and the UTC day can differ by one:
-    one more folder is opened on each side and the rows are then filtered exactly.
+    one more folder is opened on each side and the rows are then filtered exactly. Folder names follow
+    from the dates, so a range of n days touches n + 2 folders of a table of any size. A range of more than
+    ``PROJECTED_DAYS`` days lists the table instead and prunes its folders.
     """
     start, end = _as_date(start), _as_date(end)
     low = start - timedelta(days=int(start > date.min))
     high = end + timedelta(days=int(end < date.max))
-    day = F.col("event_time").cast("date")
-    return (
-        scan_readings(spark, root, mode)
-        .filter(partition_range(low, high))
-        .filter(day.between(*(F.lit(d.isoformat()).cast("date") for d in (start, end))))
-    )
+    if (high - low).days < PROJECTED_DAYS:
+        return _between(scan_readings(spark, root, mode, _days(low, high)), start, end)
+    key = F.concat_ws("-", "year", "month", "day")
+    return _between(scan_readings(spark, root, mode).filter(key.between(day_key(low), day_key(high))), start, end)
 
 
 def scan_partition_day(spark: SparkSession, root: str, day: date | str) -> DataFrame:
     """Readings stored in one day's folder."""
-    d = _as_date(day)
-    return scan_readings(spark, root).filter(
-        (F.col("year") == f"{d.year:04d}")
-        & (F.col("month") == f"{d.month:02d}")
-        & (F.col("day") == f"{d.day:02d}")
-    )
+    return scan_readings(spark, root, days=[day_key(_as_date(day))])
 
 
 def register_readings(
