@@ -1,11 +1,12 @@
 """BPE encoding and decoding with an index from each pair to all its positions.
 
-The distinct pre-tokens of a piece of a partition that the worker has not met before lie side by side in
+The distinct pre-tokens of a part of a partition that the worker has not met before lie side by side in
 one list of ids. An index gives for every merge rank the positions of its pair, in all of them. Ranks that
 have positions are active; they are applied in ascending order, each to all its positions at once, and
 every merge enters the two pairs it makes into their own lists. Entries whose pair has changed since are
-skipped. So one pass over the active ranks encodes all pre-tokens together, and a very long one costs
-no more per byte than short ones.
+skipped. So one pass over the active ranks encodes many pre-tokens together, and a very long one costs
+no more per byte than short ones. As positions of a pair are far apart, lists longer than a processor's
+cache make every step wait for memory; so pre-tokens are taken in blocks of ``BLOCK_BYTES``.
 
 Files are those of the tokenizers library with a byte-level BPE model.
 """
@@ -26,10 +27,10 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from tidegauge.llm.rows import Carried, own
 from tidegauge.llm.tokens import claim_memory, offsets, text_slices
 
-CACHE_WORDS = 300_000  # pre-tokens whose ids a worker remembers, and as many again that it may forget next
+CACHE_WORDS = 400_000  # pre-tokens whose ids a worker remembers, and as many again that it may forget next
 CACHE_LENGTH = 64  # longest pre-token remembered, in characters
-SLICE_BYTES = 4_000_000  # text that is encoded together
-SLICE_IDS = 1_000_000  # ids that are decoded together
+BLOCK_BYTES = 16_000  # pre-tokens that share one index, unless one alone is longer
+SLICE_IDS = 500_000  # ids that are decoded together
 _IDS = T.ArrayType(T.IntegerType())
 
 # Fixed value: the split pattern that byte-level files mean unless they say otherwise.
@@ -105,9 +106,18 @@ def merge_all(vocabulary: Vocabulary, pieces: list[bytes]) -> tuple[np.ndarray,
     """Ids of all pieces in one array, and how many each piece has. No piece may be empty."""
     sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
     start = vocabulary.byte_ids[np.frombuffer(b"".join(pieces), np.uint8)]
-    n = len(start)
-    if not n:
+    edges = offsets(sizes)
+    cuts = [0, *(np.flatnonzero(np.diff(edges[:-1] // BLOCK_BYTES)) + 1).tolist(), len(pieces)]
+    blocks = [_merge(vocabulary, start[edges[a] : edges[b]], sizes[a:b]) for a, b in zip(cuts[:-1], cuts[1:]) if a < b]
+    if not blocks:
         return start, sizes
+    ids, counts = zip(*blocks)
+    return np.concatenate(ids), np.concatenate(counts)
+
+
+def _merge(vocabulary: Vocabulary, start: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same for the pieces of one block, given as the ids of their bytes."""
+    n = len(start)
     ends = np.cumsum(sizes)
     right, left = np.arange(1, n + 1), np.arange(-1, n - 1)
     right[ends - 1] = -1
@@ -235,7 +245,7 @@ def _forget() -> None:
 def _encode(batches, shared, pattern: str) -> Iterator[pa.RecordBatch]:
     claim_memory("pair index", _forget)
     encoder = _encoder(shared.value, pattern)
-    for batch in text_slices(batches, "text", SLICE_BYTES):
+    for batch in text_slices(batches, "text"):
         coded = encoder.encode(batch.column("text").to_pylist())
         edges = np.cumsum([0, *map(len, coded)]) // 4
         values = pa.array(np.frombuffer(b"".join(coded), "<i4").astype(np.int32, copy=False))
@@ -246,17 +256,21 @@ def _encode(batches, shared, pattern: str) -> Iterator[pa.RecordBatch]:
 def _decode(batches, shared, skip_special: bool) -> Iterator[pa.RecordBatch]:
     claim_memory("pair index", _forget)
     vocabulary = _vocabulary(shared.value)
-    pieces = vocabulary.pieces
-    if skip_special:
-        pieces = {i: p for i, p in pieces.items() if i not in vocabulary.special}
-    get = lambda i: pieces.get(i, b"")
+    pieces = [b""] * (max(vocabulary.pieces) + 2)  # the last one stands for ids without a token
+    for i, piece in vocabulary.pieces.items():
+        pieces[i] = b"" if skip_special and i in vocabulary.special else piece
+    lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
     for batch in text_slices(batches, "ids", SLICE_IDS):
         ids = batch.column("ids")
-        edges, values = ids.offsets.to_pylist(), ids.values
+        values = ids.flatten()  # without those of null rows
+        numbers = values.fill_null(-1).to_numpy(zero_copy_only=False)
+        numbers = np.where((numbers >= 0) & (numbers < len(pieces)), numbers, len(pieces) - 1)
+        data = b"".join(map(pieces.__getitem__, numbers.tolist()))
+        counts = ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        edges = offsets(lengths[numbers])[offsets(counts)].tolist()
         missing = ids.is_null().to_pylist()
         decoded = [
-            None if gone else b"".join(map(get, values.slice(a, b - a).to_pylist())).decode("utf-8", "replace")
-            for a, b, gone in zip(edges[:-1], edges[1:], missing)
+            None if gone else data[a:b].decode("utf-8", "replace") for a, b, gone in zip(edges[:-1], edges[1:], missing)
         ]
         yield pa.record_batch(
             [batch.column("row"), ids, pa.array(decoded, pa.string())], names=["row", "ids", "decoded"]
