@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidegauge.adapters import lines_from_conversations, readings_from_events
 from tidegauge.functions.numeric import round_half_up
 from tidegauge.functions.time import hour_of
-from tidegauge.operators import anomaly, correlation, quality, report, stats, transcripts, trends
+from tidegauge.operators import anomaly, correlation, daily, quality, report, stats, transcripts, trends
+from tidegauge.operators.states import update_states
 from tidegauge.session import scratch_path
 from tidegauge.sinks import files
 from tidegauge.sources import readings as source
@@ -19,9 +20,7 @@ from tidegauge.sources.transcripts import scan_transcript_lines
 try:  # the operators for training data are an optional part
     import corpus_pipeline
     from tidegauge.llm import queries as llm
-except ModuleNotFoundError as missing:
-    if missing.name != "corpus_pipeline" and not missing.name.startswith("tidegauge.llm"):
-        raise
+except ImportError:  # without them, or without a library that they need
     llm = None
 
 HOUR = 60  # reporting interval, in minutes, that fits the density of the test events
@@ -81,10 +80,10 @@ def jsonl_partition_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def jsonl_replace_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write the table, then write one corrected day over it; the other days stay."""
+    """Write the table, then publish one corrected day in place of it; the other days stay."""
     root = _written_table(spark, sf_dir)
     corrected = _readings(spark, sf_dir).filter(F.col("event_time").cast("date") == DAY)
-    files.write_partitioned_jsonl(corrected.withColumn("battery", F.lit(100)), root)
+    files.publish_readings(corrected.withColumn("battery", F.lit(100)), root)
     return _stored_columns(source.scan_readings(spark, root))
 
 
@@ -92,10 +91,50 @@ def jsonl_replace_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the table, then refresh it in full with the readings before DAY; later days go."""
     root = _written_table(spark, sf_dir)
     earlier = _readings(spark, sf_dir).filter(F.col("event_time") < DAY)
-    files.write_partitioned_jsonl(earlier, root, replace="all")
+    files.publish_readings(earlier, root, replace="all")
+    return _stored_columns(source.scan_readings(spark, root))
+
+
+def jsonl_replace_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the table, then swap the files of one corrected day for readers without commits."""
+    root = _written_table(spark, sf_dir)
+    corrected = _readings(spark, sf_dir).filter(F.col("event_time").cast("date") == DAY)
+    files.write_partitioned_jsonl(corrected.withColumn("battery", F.lit(100)), root)
     return _stored_columns(source.scan_readings(spark, root))
 
 
+def _stated(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """A table of readings by user and its states, both brought up to date once.
+
+    The writer lives in Tokyo, so the later readings also go into the folder that is half full.
+    """
+    readings, states, df = scratch_path(spark, "readings"), scratch_path(spark, "states"), _users(spark, sf_dir)
+    files.publish_readings(df.filter(F.col("event_time") < DAY), readings, "Asia/Tokyo")
+    update_states(spark, readings, states, interval=HOUR)
+    files.publish_readings(df.filter(F.col("event_time") >= DAY), readings, "Asia/Tokyo", replace="none")
+    update_states(spark, readings, states, interval=HOUR)
+    return readings, states
+
+
+def _day_report(table: str, *days: str, **options) -> Callable[[SparkSession, str], DataFrame]:
+    """A table of the report for DAY, or from the first to the last of ``days``, from stored states."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        made = daily.DailyReport(spark, *_stated(spark, sf_dir), *(days or (DAY,)))
+        return getattr(made, table)(**options)
+
+    return run
+
+
+def sigma_anomalies_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = daily.sigma_anomalies_of(spark, *_stated(spark, sf_dir))
+    return out.withColumns({c: round_half_up(c, 6) for c in ("avg_temp", "stddev_temp")})
+
+
+def latest_status_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily.latest_status_of(spark, *_stated(spark, sf_dir))
+
+
 _ODD_TIMES = ["T", "T Z", "time", "date", "month", "+09:00", "-0330", "words"]
 
 
@@ -267,6 +306,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "jsonl_partition_day": jsonl_partition_day,
         "jsonl_replace_days": jsonl_replace_days,
         "jsonl_replace_all": jsonl_replace_all,
+        "jsonl_replace_in_place": jsonl_replace_in_place,
         "jsonl_odd_times": jsonl_odd_times,
         "jsonl_rejects": jsonl_rejects,
         "jsonl_plain": jsonl_plain,
@@ -292,6 +332,23 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "report_alerts": users(report.report_alerts, watch=100.0),
         "report_health": on(report.report_health, interval=HOUR),
         "report_summary": on(report.report_summary, interval=HOUR),
+        "report_one_day_range": on(report.report_day_range, start=DAY, end=DAY),
+        "report_days_sensors": on(report.report_sensors, start=RANGE[0], end=RANGE[1]),
+        "report_days_alerts": users(report.report_alerts, watch=100.0, start=RANGE[0], end=RANGE[1]),
+        # the same for one day or a few, and figures of all history, from stored states
+        "day_active": _day_report("active"),
+        "day_completeness": _day_report("completeness"),
+        "day_completeness_by_device": _day_report("completeness", by_device=True),
+        "day_change": _day_report("day_change"),
+        "day_range": _day_report("day_range"),
+        "day_anomalies": _day_report("anomalies"),
+        "day_sensors": _day_report("sensors"),
+        "day_alerts": _day_report("alerts", watch=100.0),
+        "day_health": _day_report("health"),
+        "day_summary": _day_report("summary"),
+        "days_summary": _day_report("summary", "2024-01-13", "2024-01-17"),
+        "sigma_anomalies_states": sigma_anomalies_states,
+        "latest_status_states": latest_status_states,
         # transcripts
         "transcript_files": transcript_files,
         "transcript_lines": lines(lambda df: df),
@@ -468,14 +525,45 @@ _LINES = """l AS (
                  || lpad(CAST(minute % 60 AS VARCHAR), 2, '0') AS hhmm FROM l)"""
 
 
+def _sensors(base: str) -> str:
+    return f"""WITH {base}, c AS (
+        SELECT {_DAY} AS day, device_id, arg_max(humidity, event_time) AS latitude,
+               arg_max(pressure, event_time) AS longitude, {_avgs(1)},
+               {_round('avg(battery)', 0)} AS avg_battery, min(temperature) AS min_temperature,
+               max(temperature) AS max_temperature,
+               {_round('max(temperature) - min(temperature)', 1)} AS spread
+        FROM r GROUP BY 1, 2)
+      SELECT *, CASE WHEN spread >= 9 THEN 'WATCH' ELSE 'OK' END AS status FROM c"""
+
+
+def _alerts(base: str) -> str:
+    return f"""WITH {base}, c AS (
+        SELECT {_DAY} AS day, device_id, min(temperature) AS low,
+               {_round('max(temperature) - min(temperature)', 1)} AS spread FROM r GROUP BY 1, 2),
+      m AS (SELECT *, row_number() OVER (PARTITION BY day ORDER BY low, device_id) AS rn FROM c)
+      SELECT day, device_id, 'WIDE_SPREAD' AS alert, spread AS value FROM c WHERE spread >= 100
+      UNION ALL
+      SELECT day, device_id, 'LOWEST', {_round('low', 1)} FROM m WHERE rn = 1"""
+
+
+def _complete_by_device(base: str) -> str:
+    return f"""WITH {base}, c AS (
+        SELECT {_DAY} AS day, device_id, count(DISTINCT {_HOUR_SLOT}) AS occupied_slots,
+               CAST(24 AS BIGINT) AS expected_slots FROM r GROUP BY 1, 2)
+      SELECT *, {_pct('occupied_slots', 'expected_slots')} AS completeness_pct FROM c"""
+
+
+def _days_of(sql: str, start: str = DAY, end: str = DAY) -> str:
+    return f"SELECT * FROM ({sql}) WHERE day BETWEEN TIMESTAMP '{start}' AND TIMESTAMP '{end}'"
+
+
 def oracle_sql() -> dict[str, str]:
+    summary = "SELECT * EXCLUDE (rows, occupied_slots, expected_slots) FROM u"
     hourly_cells = f"""{_R}, c AS (SELECT device_id, {_HOUR_SLOT} AS t, avg(temperature) AS v
       FROM r GROUP BY 1, 2)"""
     daily_cells = f"""{_U}, c AS (SELECT device_id, {_DAY} AS t, avg(temperature) AS v
       FROM r GROUP BY 1, 2)"""
     shared_cells = f"""{_R}, c AS (SELECT device_id, {_HOUR_SLOT} AS t, temperature AS v FROM r)"""
-    device_day = f"""SELECT {_DAY} AS day, device_id, min(temperature) AS low,
-      {_round('max(temperature) - min(temperature)', 1)} AS spread FROM r GROUP BY 1, 2"""
     clock = "(1430 + turn * 3 + conv_id % 7)"  # minutes without the wrap at midnight
     session = "OVER (PARTITION BY session_id)"
     return {
@@ -542,6 +630,9 @@ def oracle_sql() -> dict[str, str]:
         "jsonl_replace_days": _stored(
             battery=f"CASE WHEN CAST(event_time AS DATE) = DATE '{DAY}' THEN 100 ELSE battery END"
         ),
+        "jsonl_replace_in_place": _stored(
+            battery=f"CASE WHEN CAST(event_time AS DATE) = DATE '{DAY}' THEN 100 ELSE battery END"
+        ),
         "jsonl_replace_all": _stored(f"WHERE event_time < TIMESTAMP '{DAY}'"),
         "jsonl_odd_times": """SELECT CAST(event_id AS VARCHAR) AS device_id, CASE event_id % 8
             WHEN 0 THEN ts WHEN 1 THEN ts WHEN 5 THEN ts - INTERVAL 9 HOUR
@@ -569,28 +660,31 @@ def oracle_sql() -> dict[str, str]:
           availability_pct FROM u""",
         "report_completeness": f"""{_report(_R)} SELECT day, CAST(occupied_slots AS BIGINT)
           AS occupied_slots, expected_slots, completeness_pct FROM u""",
-        "report_completeness_by_device": f"""WITH {_R}, c AS (
-            SELECT {_DAY} AS day, device_id, count(DISTINCT {_HOUR_SLOT}) AS occupied_slots,
-                   CAST(24 AS BIGINT) AS expected_slots FROM r GROUP BY 1, 2)
-          SELECT *, {_pct('occupied_slots', 'expected_slots')} AS completeness_pct FROM c""",
+        "report_completeness_by_device": _complete_by_device(_R),
         "report_day_change": f"{_report(_R)} SELECT day, avg_temperature, change FROM u",
         "report_day_range": f"{_report(_R)} SELECT day, min_temperature, max_temperature FROM u",
         "report_anomalies": f"{_report(_R)} SELECT day, rows, anomalies, accuracy_pct FROM u",
-        "report_sensors": f"""WITH {_R}, c AS (
-            SELECT {_DAY} AS day, device_id, arg_max(humidity, event_time) AS latitude,
-                   arg_max(pressure, event_time) AS longitude, {_avgs(1)},
-                   {_round('avg(battery)', 0)} AS avg_battery, min(temperature) AS min_temperature,
-                   max(temperature) AS max_temperature,
-                   {_round('max(temperature) - min(temperature)', 1)} AS spread
-            FROM r GROUP BY 1, 2)
-          SELECT *, CASE WHEN spread >= 9 THEN 'WATCH' ELSE 'OK' END AS status FROM c""",
-        "report_alerts": f"""WITH {_U}, c AS ({device_day}), m AS (
-            SELECT *, row_number() OVER (PARTITION BY day ORDER BY low, device_id) AS rn FROM c)
-          SELECT day, device_id, 'WIDE_SPREAD' AS alert, spread AS value FROM c WHERE spread >= 100
-          UNION ALL
-          SELECT day, device_id, 'LOWEST', {_round('low', 1)} FROM m WHERE rn = 1""",
+        "report_sensors": _sensors(_R),
+        "report_alerts": _alerts(_U),
         "report_health": f"{_report(_R)} SELECT day, availability_pct, completeness_pct, health FROM u",
-        "report_summary": f"{_report(_R)} SELECT * EXCLUDE (rows, occupied_slots, expected_slots) FROM u",
+        "report_summary": f"{_report(_R)} {summary}",
+        "report_one_day_range": _days_of(f"{_report(_R)} SELECT day, min_temperature, max_temperature FROM u"),
+        "report_days_sensors": _days_of(_sensors(_R), *RANGE),
+        "report_days_alerts": _days_of(_alerts(_U), *RANGE),
+        "day_active": _days_of(f"{_report(_U)} SELECT day, active_sensors, total_sensors, availability_pct FROM u"),
+        "day_completeness": _days_of(f"""{_report(_U)} SELECT day, CAST(occupied_slots AS BIGINT) AS occupied_slots,
+          expected_slots, completeness_pct FROM u"""),
+        "day_completeness_by_device": _days_of(_complete_by_device(_U)),
+        "day_change": _days_of(f"{_report(_U)} SELECT day, avg_temperature, change FROM u"),
+        "day_range": _days_of(f"{_report(_U)} SELECT day, min_temperature, max_temperature FROM u"),
+        "day_anomalies": _days_of(f"{_report(_U)} SELECT day, rows, anomalies, accuracy_pct FROM u"),
+        "day_sensors": _days_of(_sensors(_U)),
+        "day_alerts": _days_of(_alerts(_U)),
+        "day_health": _days_of(f"{_report(_U)} SELECT day, availability_pct, completeness_pct, health FROM u"),
+        "day_summary": _days_of(f"{_report(_U)} {summary}"),
+        "days_summary": _days_of(f"{_report(_U)} {summary}", "2024-01-13", "2024-01-17"),
+        "sigma_anomalies_states": _sigma(_U),
+        "latest_status_states": _latest(_U),
         "transcript_files": f"""WITH {_LINES}
           SELECT session_id, line_no, hhmm, role AS speaker, text FROM k""",
         "transcript_lines": f"""WITH {_LINES}

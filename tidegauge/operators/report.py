@@ -1,11 +1,14 @@
-"""Daily report tables, for all days at once; one day is a filter on ``day``.
+"""Daily report tables, for all days at once.
 
 Readings without a device or a time belong to no sensor's day and are left out of every table. All
 tables but the anomaly count derive from one rollup per device and day, which is computed once.
+:class:`tidegauge.operators.daily.DailyReport` has the tables of a single day from stored rollups.
 """
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidegauge.functions.numeric import percent, round_half_up
@@ -24,6 +27,16 @@ def _placed(df: DataFrame, device: str, time: str) -> DataFrame:
     return df.filter(F.col(device).isNotNull() & F.col(time).isNotNull())
 
 
+def _between(df: DataFrame, time: str, start: date | str | None, end: date | str | None) -> DataFrame:
+    """Readings of the days from ``start`` to ``end``, by a condition on the bare time, which a scan can use."""
+    if start is not None:
+        df = df.filter(F.col(time) >= F.lit(str(start)).cast("timestamp_ntz"))
+    if end is not None:
+        after = (date.fromisoformat(end) if isinstance(end, str) else end) + timedelta(1)
+        df = df.filter(F.col(time) < F.lit(str(after)).cast("timestamp_ntz"))
+    return df
+
+
 def device_day_rollup(
     df: DataFrame,
     value: str = "temperature",
@@ -49,38 +62,38 @@ def device_day_rollup(
     )
 
 
+def day_figures(rollup: DataFrame) -> DataFrame:
+    """One row per day with what the devices of that day have in common."""
+    return rollup.groupBy("day").agg(
+        F.count("*").alias("active_sensors"),
+        *([F.sum("is_new").alias("new_sensors")] if "is_new" in rollup.columns else []),
+        F.sum("slots").alias("occupied_slots"),
+        F.sum("rows").alias("rows"),
+        (F.sum("value_sum") / F.nullif(F.sum("value_count"), F.lit(0))).alias("mean"),
+        F.min("value_min").alias("low"),
+        F.max("value_max").alias("high"),
+    )
+
+
+def with_day_before(days: DataFrame) -> DataFrame:
+    """Each day goes on to the next one as the day before it; no table is read or joined twice."""
+    before = W.orderBy("day")  # of days
+    is_next = F.lag("day").over(before) == F.timestamp_add("DAY", F.lit(-1), "day")
+    return days.withColumn("mean_before", F.when(is_next, F.lag("mean").over(before)))
+
+
 def _days(rollup: DataFrame) -> DataFrame:
     """One row per day: the day's figures, all devices ever heard from, the mean of the day before.
 
-    Each device counts as new on its first day, so the devices are the sum of the new ones of all
-    days. Each day goes on to the next one as the day before it; no table is read or joined twice.
+    Each device counts as new on its first day, so the devices are the sum of the new ones of all days.
     """
     first = F.row_number().over(W.partitionBy("device_id").orderBy("day")) == 1
-    days = (
-        rollup.withColumn("is_new", first.cast("long"))
-        .groupBy("day")
-        .agg(
-            F.count("*").alias("active_sensors"),
-            F.sum("is_new").alias("new_sensors"),
-            F.sum("slots").alias("occupied_slots"),
-            F.sum("rows").alias("rows"),
-            (F.sum("value_sum") / F.nullif(F.sum("value_count"), F.lit(0))).alias("mean"),
-            F.min("value_min").alias("low"),
-            F.max("value_max").alias("high"),
-        )
-    )
+    days = day_figures(rollup.withColumn("is_new", first.cast("long")))
     whole = W.orderBy("day").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)  # of days
-    before = W.orderBy("day")
-    is_next = F.lag("day").over(before) == F.timestamp_add("DAY", F.lit(-1), "day")
-    return days.withColumns(
-        {
-            "total_sensors": F.sum("new_sensors").over(whole),
-            "mean_before": F.when(is_next, F.lag("mean").over(before)),
-        }
-    )
+    return with_day_before(days).withColumn("total_sensors", F.sum("new_sensors").over(whole))
 
 
-def _ordered(df: DataFrame, ordered: bool, *keys) -> DataFrame:
+def in_order(df: DataFrame, ordered: bool, *keys) -> DataFrame:
     return df.orderBy(*(keys or ("day",))) if ordered else df
 
 
@@ -115,8 +128,12 @@ def report_active(
     df: DataFrame, device: str = "device_id", time: str = "event_time", ordered: bool = True
 ) -> DataFrame:
     """Devices heard from per day, out of all devices."""
-    days = _days(_plain_rollup(df, device, time)).withColumns(_active())
-    return _ordered(
+    return active_of(_days(_plain_rollup(df, device, time)), ordered)
+
+
+def active_of(days: DataFrame, ordered: bool) -> DataFrame:
+    days = days.withColumns(_active())
+    return in_order(
         days.select("day", "active_sensors", "total_sensors", "availability_pct"), ordered
     )
 
@@ -138,13 +155,17 @@ def report_completeness(
     rollup = device_day_rollup(
         df.withColumn("_none", F.lit(0.0)), "_none", interval, device, time
     )
+    return completeness_of(rollup if by_device else _days(rollup), interval, by_device, device, ordered)
+
+
+def completeness_of(days: DataFrame, interval: int, by_device: bool, device: str, ordered: bool) -> DataFrame:
     if by_device:
-        days = rollup.select("day", F.col("device_id").alias(device), F.col("slots").alias("occupied_slots"))
+        days = days.select("day", F.col("device_id").alias(device), F.col("slots").alias("occupied_slots"))
         keys, total = ("day", device), F.lit(1).cast("long")
     else:
-        days, keys, total = _days(rollup), ("day",), F.col("total_sensors")
+        keys, total = ("day",), F.col("total_sensors")
     out = days.withColumns(_complete(total, interval))
-    return _ordered(
+    return in_order(
         out.select(*keys, "occupied_slots", "expected_slots", "completeness_pct"), ordered, *keys
     )
 
@@ -154,19 +175,26 @@ def report_day_change(
     ordered: bool = True, device: str = "device_id",
 ) -> DataFrame:
     """Day average and its change from the previous calendar day, NULL when that day is missing."""
-    days = _days(device_day_rollup(df, value, 1440, device, time))
-    return _ordered(days.select("day", *_named(_change(value, digits))), ordered)
+    return change_of(_days(device_day_rollup(df, value, 1440, device, time)), value, digits, ordered)
+
+
+def change_of(days: DataFrame, value: str, digits: int, ordered: bool) -> DataFrame:
+    return in_order(days.select("day", *_named(_change(value, digits))), ordered)
 
 
 def report_day_range(
     df: DataFrame, value: str = "temperature", time: str = "event_time", digits: int = 1,
-    ordered: bool = True, device: str = "device_id",
+    ordered: bool = True, device: str = "device_id", start: date | str | None = None, end: date | str | None = None,
 ) -> DataFrame:
-    """Lowest and highest value of the day."""
-    days = _placed(df, device, time).groupBy(day_of(time).alias("day")).agg(
+    """Lowest and highest value of the day, for all days or those from ``start`` to ``end``."""
+    days = _placed(_between(df, time, start, end), device, time).groupBy(day_of(time).alias("day")).agg(
         F.min(value).alias("low"), F.max(value).alias("high")
     )
-    return _ordered(days.select("day", *_named(_range(value, digits))), ordered)
+    return range_of(days, value, digits, ordered)
+
+
+def range_of(days: DataFrame, value: str, digits: int, ordered: bool) -> DataFrame:
+    return in_order(days.select("day", *_named(_range(value, digits))), ordered)
 
 
 def _named(columns: dict[str, Column]) -> list[Column]:
@@ -229,7 +257,7 @@ def report_anomalies(
     """Sigma anomalies per day and the share of readings that are none."""
     rollup = durable(device_day_rollup(df, value, 1440, device, time))
     days = _with_anomalies(df, rollup, _days(rollup), value, k, device, time)
-    return _ordered(days.select("day", "rows", "anomalies", "accuracy_pct"), ordered)
+    return in_order(days.select("day", "rows", "anomalies", "accuracy_pct"), ordered)
 
 
 def report_sensors(
@@ -243,10 +271,15 @@ def report_sensors(
     time: str = "event_time",
     digits: int = 1,
     ordered: bool = True,
+    start: date | str | None = None,
+    end: date | str | None = None,
 ) -> DataFrame:
-    """Per day and device: position, averages, spread of the value, and ``WATCH`` or ``OK``."""
+    """Per day and device: position, averages, spread of the value, and ``WATCH`` or ``OK``.
+
+    For all days, or those from ``start`` to ``end``.
+    """
     out = (
-        _placed(df, device, time)
+        _placed(_between(df, time, start, end), device, time)
         .select(
             day_of(time).alias("day"), device, time, value, *[m for m in measures if m != value],
             battery, F.col(f"{location}.lat").alias("lat"), F.col(f"{location}.lon").alias("lon"),
@@ -263,7 +296,7 @@ def report_sensors(
         .withColumn("spread", round_half_up(F.col(f"max_{value}") - F.col(f"min_{value}"), digits))
         .withColumn("status", F.when(F.col("spread") >= watch, "WATCH").otherwise("OK"))
     )
-    return _ordered(out, ordered, "day", device)
+    return in_order(out, ordered, "day", device)
 
 
 def report_alerts(
@@ -274,13 +307,22 @@ def report_alerts(
     time: str = "event_time",
     digits: int = 1,
     ordered: bool = True,
+    start: date | str | None = None,
+    end: date | str | None = None,
 ) -> DataFrame:
-    """Per day: each device whose spread needs watching, and the one with the lowest value."""
+    """Per day: each device whose spread needs watching, and the one with the lowest value.
+
+    For all days, or those from ``start`` to ``end``.
+    """
     days = (
-        _placed(df, device, time)
+        _placed(_between(df, time, start, end), device, time)
         .groupBy(day_of(time).alias("day"), device)
         .agg(F.min(value).alias("low"), F.max(value).alias("high"))
     )
+    return alerts_of(days, device, watch, digits, ordered)
+
+
+def alerts_of(days: DataFrame, device: str, watch: float, digits: int, ordered: bool) -> DataFrame:
     # Both alerts of a device's day come from its one row, so the readings are combined once.
     coldest = W.partitionBy("day").orderBy(F.asc_nulls_last("low"), device)
     spread = round_half_up(F.col("high") - F.col("low"), digits)
@@ -295,7 +337,7 @@ def report_alerts(
     out = days.withColumn("rank", F.row_number().over(coldest)).select(
         "day", device, F.inline(alerts)
     )
-    return _ordered(out, ordered, "day", "alert", device)
+    return in_order(out, ordered, "day", "alert", device)
 
 
 def _health(interval: int, min_avail: float, min_complete: float):
@@ -318,10 +360,13 @@ def report_health(
     ordered: bool = True,
 ) -> DataFrame:
     """``GOOD`` for days whose availability and completeness both reach their threshold."""
-    days = _days(device_day_rollup(df, value, interval, device, time))
+    return health_of(_days(device_day_rollup(df, value, interval, device, time)), interval, min_avail, min_complete, ordered)
+
+
+def health_of(days: DataFrame, interval: int, min_avail: float, min_complete: float, ordered: bool) -> DataFrame:
     for columns in _health(interval, min_avail, min_complete):
         days = days.withColumns(columns)
-    return _ordered(days.select("day", "availability_pct", "completeness_pct", "health"), ordered)
+    return in_order(days.select("day", "availability_pct", "completeness_pct", "health"), ordered)
 
 
 def report_summary(
@@ -342,13 +387,23 @@ def report_summary(
     and to count those beyond them.
     """
     rollup = durable(device_day_rollup(df, value, interval, device, time))
-    days = _days(rollup).withColumns(_change(value, digits) | _range(value, digits))
+    days = summary_columns(_days(rollup), value, interval, min_avail, min_complete, digits)
+    return summary_of(_with_anomalies(df, rollup, days, value, k, device, time), value, ordered)
+
+
+def summary_columns(
+    days: DataFrame, value: str, interval: int, min_avail: float, min_complete: float, digits: int
+) -> DataFrame:
+    days = days.withColumns(_change(value, digits) | _range(value, digits))
     for columns in _health(interval, min_avail, min_complete):
         days = days.withColumns(columns)
-    days = _with_anomalies(df, rollup, days, value, k, device, time)
+    return days
+
+
+def summary_of(days: DataFrame, value: str, ordered: bool) -> DataFrame:
     out = days.select(
         "day", "active_sensors", "total_sensors", "availability_pct", "completeness_pct",
         f"avg_{value}", "change", f"min_{value}", f"max_{value}",
         "anomalies", "accuracy_pct", "health",
     )
-    return _ordered(out, ordered)
+    return in_order(out, ordered)
