@@ -194,6 +194,7 @@ def test_transcript_lines_are_numbered_across_blocks(spark, tmp_path):
     try:
         spark.conf.set(key, "2000")
         df = scan_transcript_lines(spark, str(root))
+        assert "FileScan text" not in df._jdf.queryExecution().executedPlan().toString()  # read once, before
         got = {}
         for session, number, text in df.orderBy("session_id", "line_no").collect():
             got.setdefault(os.path.basename(session)[:-4], []).append((number, text))

@@ -27,9 +27,35 @@ _ISO = r"^([0-9]{4}-[0-9]{2}-[0-9]{2})[T ]([0-9]{2}:[0-9]{2}(?::[0-9]{2}(?:\.[0-
 def parse_iso(text: Column | str) -> Column:
     """ISO-8601 date and time to UTC wall-clock time; text without an offset is UTC already.
 
-    Everything else, a date or a time alone included, gives NULL.
+    Everything else, a date or a time alone included, gives NULL. Text in the stored form is told by its
+    positions and cast; regular expressions only see what is left.
     """
     t = col(text).cast("string")
+    return F.coalesce(_parse_stored(t), _parse_any(t))
+
+
+def _parse_stored(t: Column) -> Column:
+    """``2024-01-01T00:00:00.000Z``, with three to six digits after the point; NULL for other text.
+
+    The cast checks the rest: between these marks it takes nothing but digits, apart from signs and
+    white space after the point, which the number made of those digits rules out.
+    """
+    length = F.length(t)
+    fraction, last = F.substring(t, F.lit(21), length - 21), F.substring(t, length - 1, F.lit(1))
+    marked = (
+        length.between(24, 27)
+        & (F.substring(t, 5, 1) == "-")
+        & (F.substring(t, 8, 1) == "-")
+        & (F.substring(t, 11, 1) == "T")
+        & (F.substring(t, 20, 1) == ".")
+        & F.endswith(t, F.lit("Z"))
+        & last.between("0", "9")
+        & F.concat(F.lit("1"), fraction).try_cast("int").isNotNull()
+    )
+    return F.when(marked, F.substring(t, F.lit(1), length - 1).try_cast("timestamp_ntz"))
+
+
+def _parse_any(t: Column) -> Column:
     hours, minutes = F.regexp_extract(t, _ISO, 3), F.regexp_extract(t, _ISO, 4)
     offset = F.when(hours == "", "Z").otherwise(
         F.concat(hours, F.lit(":"), F.when(minutes == "", "00").otherwise(minutes))

@@ -7,40 +7,51 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from tidegauge.functions.numeric import percent
 from tidegauge.functions.time import day_of, partition_keys, slot_floor, slot_of_day, slot_start
 from tidegauge.plans.presented import presented
-from tidegauge.plans.slots import mask_aggregates, missing, occupied, slots_per_day
+from tidegauge.plans.slots import (
+    first_occupied, last_occupied, mask_aggregates, missing, occupied, slots_per_day,
+)
 from tidegauge.schema import PARTITION_KEYS
 
 
-def _bounds(df: DataFrame, time: str, interval: int, start, end) -> tuple[Column, Column]:
-    """First and last expected slot, taken from the data unless given."""
+def _bound(given, interval: int) -> Column | None:
+    return None if given is None else slot_floor(F.lit(given).cast("timestamp_ntz"), interval)
 
-    def side(given, found):
-        if given is not None:
-            return slot_floor(F.lit(given).cast("timestamp_ntz"), interval)
-        extreme = df.agg(found(time).alias("at"))
-        return extreme.select(slot_floor("at", interval).alias("at")).scalar()
 
-    return side(start, F.min), side(end, F.max)
-
-
-def _inside(time: str, interval: int, first: Column, last: Column) -> Column:
+def _inside(time: str, interval: int, first: Column | None, last: Column | None) -> Column:
     """Range condition on the bare time column, which a scan can use."""
-    return (F.col(time) >= first) & (F.col(time) < F.timestamp_add("MINUTE", F.lit(interval), last))
+    inside = F.col(time).isNotNull()
+    if first is not None:
+        inside = inside & (F.col(time) >= first)
+    if last is not None:
+        inside = inside & (F.col(time) < F.timestamp_add("MINUTE", F.lit(interval), last))
+    return inside
 
 
 def _device_days(
-    df: DataFrame, interval: int, first: Column, last: Column, device: str, time: str
-) -> DataFrame:
-    """Occupied slots per device and day. Readings outside the bounds only vouch for their
-    device, under a NULL day.
+    df: DataFrame, interval: int, start, end, device: str, time: str
+) -> tuple[DataFrame, Column, Column]:
+    """Occupied slots per device and day, and the first and last expected slot.
+
+    Readings outside given bounds only vouch for their device, under a NULL day, and so do those without
+    a time. A bound that is not given is the first or last occupied slot of all readings, which the masks
+    tell. The readings are combined once, as both uses share the exchange: to that end both ask for the
+    same columns, and whether the device is known is asked of a column that only exists above it.
     """
+    first, last = _bound(start, interval), _bound(end, interval)
     inside = F.when(_inside(time, interval, first, last), F.col(time))
-    return (
-        df.filter(F.col(device).isNotNull())
-        .select(device, inside.alias("inside"))
+    masks = (
+        df.select(device, inside.alias("inside"))
         .groupBy(device, day_of("inside").alias("day"))
-        .agg(*mask_aggregates("inside", interval))
+        .agg(F.max(F.col(device).isNotNull()).alias("known"), *mask_aggregates("inside", interval))
     )
+    every = masks.filter(F.col("known").isNotNull())
+    if first is None:
+        opens = slot_start("day", first_occupied(interval), interval)
+        first = every.agg(F.min(opens).alias("at")).scalar()
+    if last is None:
+        closes = slot_start("day", last_occupied(interval), interval)
+        last = every.agg(F.max(closes).alias("at")).scalar()
+    return masks.filter("known"), first, last
 
 
 def missing_slots(
@@ -59,7 +70,7 @@ def missing_slots(
     readings shrink to a bit mask per device and day, each day looks back to the device's day
     before it, and only the unset slots and the days in between become rows.
     """
-    first, last = _bounds(df, time, interval, start, end)
+    masks, first, last = _device_days(df, interval, start, end, device, time)
     by_day = W.partitionBy(device).orderBy(F.asc_nulls_first("day"))
     day, eve = F.col("day").cast("date"), F.date_sub(first.cast("date"), 1)
     none = F.array().cast("array<date>")
@@ -74,8 +85,7 @@ def missing_slots(
     own = F.when(day.isNotNull(), F.array(day)).otherwise(none)
     every_slot = F.sequence(F.lit(0), F.lit(slots_per_day(interval) - 1))
     out = (
-        _device_days(df, interval, first, last, device, time)
-        .withColumns(
+        masks.withColumns(
             {
                 "before": F.lag(day).over(by_day),
                 "newest": F.lead(F.lit(1)).over(by_day).isNull(),
@@ -109,14 +119,13 @@ def loss_summary(
 
     The overall row has a NULL device. The expected number follows from the bounds alone.
     """
-    first, last = _bounds(df, time, interval, start, end)
+    masks, first, last = _device_days(df, interval, start, end, device, time)
     days = F.datediff(last.cast("date"), first.cast("date")).cast("long")
     expected = (
         days * slots_per_day(interval) + slot_of_day(last, interval) - slot_of_day(first, interval) + 1
     )
     per_device = (
-        _device_days(df, interval, first, last, device, time)
-        .groupBy(device)
+        masks.groupBy(device)
         .agg(F.sum(occupied(interval)).alias("actual"))
     )
     out = (

@@ -51,3 +51,23 @@ def missing(interval: int) -> Column:
         return F.getbit(word, F.pmod(slot, F.lit(WORD)).cast("int")) == 0
 
     return F.filter(F.sequence(F.lit(0), F.lit(slots_per_day(interval) - 1)), unset)
+
+
+def _word(name: str) -> Column:
+    return F.coalesce(F.col(name), F.lit(0).cast("long"))
+
+
+def first_occupied(interval: int) -> Column:
+    """The first slot of a day's mask columns; NULL if there is none."""
+
+    def lowest_bit(w: Column) -> Column:  # as many as there are bits below it
+        return F.bit_count(F.bitwise_not(w).bitwiseAND(w - 1))
+
+    words = enumerate(mask_columns(interval))
+    return F.coalesce(*[F.when(_word(n) != 0, i * WORD + lowest_bit(_word(n))) for i, n in words])
+
+
+def last_occupied(interval: int) -> Column:
+    """The last slot of a day's mask columns; NULL if there is none."""
+    words = list(enumerate(mask_columns(interval)))[::-1]
+    return F.coalesce(*[F.when(_word(n) != 0, i * WORD + F.length(F.bin(_word(n))) - 1) for i, n in words])
