@@ -69,7 +69,6 @@ def test_records_of_odd_rows(spark):
     index = tr.write_records(df, root, f"file://{path}", end=0)
     back = sorted(tr.read_records(spark, root).collect(), key=lambda r: r["start"])
     library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True
     start = 0
     for (doc, text), got in zip(sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)), back, strict=True):
         want = library.encode(text or "", add_special_tokens=False).ids + [0]
@@ -83,6 +82,24 @@ def test_records_of_odd_rows(spark):
     assert tr.read_records(spark, empty).collect() == []
 
 
+def test_words_equal_whole_texts(monkeypatch):
+    """Any mixture of white space, marks, letters and special tokens, whatever is remembered."""
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        content = file.read()
+    library, rng = Tokenizer.from_str(content), random.Random(1)
+    alphabet = ["a", "b", "Word", " ", " ", "  ", "\n", " \n", "\t", ".", ",", "!?", "é", "漢", "ა", "😀", "'s", "7",
+                "\x1c", "\x85", "\u00a0", "\u3000", "٣", "<|endoftext|>", "<|endof"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(25))) for _ in range(4000)] + ["", None]
+    for most in (600_000, 50):
+        monkeypatch.setattr(tr, "CACHE_WORDS", most)
+        monkeypatch.setattr(tr, "CACHE_TAILS", most)
+        encoder = tr.WordEncoder(content)
+        for k in range(0, len(texts), 250):
+            for text, coded in zip(texts[k : k + 250], encoder.encode(texts[k : k + 250]), strict=True):
+                want = library.encode(text, add_special_tokens=False).ids if text else []
+                assert np.frombuffer(coded, encoder.kind).tolist() == want
+
+
 def test_a_damaged_record_is_an_error():
     record = tr.frame(tr._BODY.pack(1, 5) + b"\x01\x00\x02\x00")
     assert tr.unframe(record[:12]) == 13
@@ -96,7 +113,6 @@ def test_a_damaged_record_is_an_error():
 
 def test_records_of_the_whole_table(spark):
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    library.encode_special_tokens = True
     found, start = by_id(QUERIES["op6_token_records"](spark, SF)), 0
     for r in sorted(spark.read.parquet(f"{SF}/documents.parquet").collect(), key=lambda r: r["doc_id"]):
         ids = np.array(library.encode(r["text"], add_special_tokens=False).ids + [0], "<u4")

@@ -13,24 +13,28 @@ stores and HDFS that pyarrow is built for.
 
 from __future__ import annotations
 
+import re
 import struct
-import sys
 import uuid
 import zlib
-from array import array
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
-from tidegauge.llm.byte_bpe import word_parts
-from tidegauge.llm.tokens import claim_memory, text_slices
+from tidegauge.llm.byte_bpe import _MARKS, _ODD, word_parts
+from tidegauge.llm.tokens import claim_memory, offsets, text_slices
 
-CACHE_WORDS = 700_000  # words a worker remembers, and as many again that it may forget next
+CACHE_WORDS = 600_000  # words a worker remembers, and as many again that it may forget next
+CACHE_TAILS = 10_000  # and runs of marks after them
+TOGETHER = 5_000  # words that go to the tokenizer as one text
+_OLD_LETTERS = "\u0530"  # below it every Unicode version has the same letters
+SLICE_BYTES = 3_000_000  # text encoded together
 READ_BYTES = 4 << 20
 _MASK = 0xA282EAD8
 _HEAD = struct.Struct("<QI")
@@ -69,43 +73,108 @@ class WordEncoder:
     """Encodes texts with a byte-level tokenizer, asking it for each word only once.
 
     The tokenizer never merges over the start of a word with its space, so the ids of a text are those
-    of its words. Words not met before go to the tokenizer together. Strings of special tokens are
-    ordinary text.
+    of its words; and after letters a run of marks is a piece of its own. Words not met before go to the
+    tokenizer together, as one text, whose ids are cut where a token begins with a space. Texts that hold
+    the string of an added token, which the tokenizer treats as that token, go to it whole.
     """
 
     def __init__(self, content: str):
         self.tokenizer = Tokenizer.from_str(content)
-        self.tokenizer.encode_special_tokens = True
-        self.wide = self.tokenizer.get_vocab_size() > 1 << 16
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        size = self.tokenizer.get_vocab_size()
+        self.wide = size > 1 << 16
         self.kind = "<u4" if self.wide else "<u2"
-        self.known: dict[str, bytes] = {}
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.holds_added = re.compile("|".join(map(re.escape, added))).search if added else lambda text: None
+        vocabulary = self.tokenizer.get_vocab()
+        self.begins = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.begins[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
+        self.known: dict[str, bytes] = {}  # words, with a space before them
         self.old: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}  # runs of marks after letters
 
     def _bytes(self, ids: list[int]) -> bytes:
-        packed = array("I" if self.wide else "H", ids)
-        if sys.byteorder == "big":
-            packed.byteswap()
-        return packed.tobytes()
+        return np.array(ids, self.kind).tobytes()
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [self._bytes(a.ids) for a in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _together(self, words: list[str]) -> list[bytes]:
+        out: list[bytes] = []
+        for k in range(0, len(words), TOGETHER):
+            chosen = words[k : k + TOGETHER]
+            answer = self.tokenizer.encode_batch_fast([" " + " ".join(chosen)], add_special_tokens=False)[0]
+            ids = np.array(answer.ids)
+            edges = [*np.flatnonzero(self.begins[ids]).tolist(), len(ids)]
+            if len(edges) != len(chosen) + 1:
+                raise ValueError("the tokenizer does not begin a token at every word")
+            width = np.dtype(self.kind).itemsize
+            data = ids.astype(self.kind).tobytes()
+            out += [data[width * a : width * b] for a, b in zip(edges[:-1], edges[1:])]
+        return out
+
+    def _coded(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words, each with a space before it."""
+        new = set(words).difference(self.known)
+        if len(self.known) + len(new) > CACHE_WORDS:
+            self.old, self.known = self.known, {}
+            new = set(words)
+        known, old = self.known, self.old
+        known.update((w, old[w]) for w in new if w in old)
+        parts, asked, loose, tails = [], set(), [], set()
+        for word in new.difference(known):
+            core = word.rstrip(_MARKS)
+            if len(core) < len(word) and core.isalpha() and max(core) < _OLD_LETTERS:
+                parts.append((word, core, word[len(core) :]))
+                asked.add(core)
+                tails.add(word[len(core) :])
+            elif " " in word:  # with white space at its end
+                loose.append(word)
+            else:
+                asked.add(word)
+        asked = list(asked.difference(known))
+        known.update(zip(asked, self._together(asked)))
+        known.update(zip(loose, self._whole([" " + w for w in loose])))
+        if len(self.tails) > CACHE_TAILS:
+            self.tails = {}
+        tails = list(tails.difference(self.tails))
+        self.tails.update(zip(tails, self._whole(tails)))
+        after = self.tails
+        known.update((word, known[core] + after[tail]) for word, core, tail in parts)
+        return list(map(known.__getitem__, words))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        parts = [word_parts(t) if t else ("", []) for t in texts]
-        known = self.known
-        new: set[str] = set()
-        for _, spaced in parts:
-            new |= set(spaced).difference(known)
-        if len(known) + len(new) > CACHE_WORDS:
-            self.old, known = known, {}
-            self.known = known
-            new = {w for _, spaced in parts for w in spaced}
-        found = {w: self.old[w] for w in new if w in self.old}
-        known.update(found)
-        ask = [w for w in new if w not in found]
-        firsts = [first for first, _ in parts]
-        answers = self.tokenizer.encode_batch_fast([" " + w for w in ask] + firsts, add_special_tokens=False)
-        coded = [self._bytes(a.ids) for a in answers]
-        known.update(zip(ask, coded))
-        get = known.__getitem__
-        return [head + b"".join(map(get, spaced)) for head, (_, spaced) in zip(coded[len(ask) :], parts)]
+        """Ids of each text, in two or four bytes each."""
+        out = [b""] * len(texts)
+        special = [i for i, t in enumerate(texts) if t and self.holds_added(t)]
+        for i, coded in zip(special, self._whole([texts[i] for i in special])):
+            out[i] = coded
+        rest = sorted({i for i, t in enumerate(texts) if t}.difference(special))
+        odd = [i for i in rest if _ODD.search(texts[i])]
+        regular = sorted(set(rest).difference(odd))
+        # Words of regular texts are split and counted off by Arrow, without a Python string for each.
+        split = pc.split_pattern(pa.array([texts[i] for i in regular], pa.large_string()), " ")
+        starts = split.offsets.to_numpy()
+        head = np.zeros(len(split.values), bool)
+        head[starts[:-1]] = True
+        loose = [word_parts(texts[i]) for i in odd]
+        flat = pa.concat_arrays([
+            split.values.filter(pa.array(~head)), pa.array([w for _, own in loose for w in own], split.values.type)
+        ]).dictionary_encode()
+        codes = self._coded(flat.dictionary.to_pylist())
+        counts = np.concatenate([np.diff(starts) - 1, [len(own) for _, own in loose]]).astype(np.int64)
+        heads = self._whole([*split.values.filter(pa.array(head)).to_pylist(), *(first for first, _ in loose)])
+        # One run of ids for all texts: those of every word in turn.
+        sizes = np.fromiter(map(len, codes), np.int64, len(codes)) // np.dtype(self.kind).itemsize
+        word = flat.indices.to_numpy()
+        at = offsets(sizes[word])
+        own = np.frombuffer(b"".join(codes), self.kind)
+        ids = own[np.repeat(offsets(sizes)[:-1][word] - at[:-1], sizes[word]) + np.arange(at[-1])]
+        edges = at[offsets(counts)].tolist()
+        for i, first, a, b in zip([*regular, *odd], heads, edges[:-1], edges[1:]):
+            out[i] = first + ids[a:b].tobytes()
+        return out
 
 
 @lru_cache(1)
@@ -122,7 +191,7 @@ def _write(batches, root: str, shared, end: int):
     name = f"part-{part:06d}-{uuid.uuid4().hex}.rec"
     stream, offset = None, 0
     size = np.dtype(encoder.kind).itemsize
-    for batch in text_slices(batches, "text"):
+    for batch in text_slices(batches, "text", SLICE_BYTES):
         ids = batch.column("doc_id").to_pylist()
         rows = []
         for doc, coded in zip(ids, encoder.encode(batch.column("text").to_pylist())):
