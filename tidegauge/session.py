@@ -80,6 +80,23 @@ def _remove_written() -> None:
             remove_path(spark, path)
 
 
+_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def _tidy_shuffles(spark: SparkSession):
+    """Let the shuffle files of a table go once it is written; nothing else reads them."""
+    before = spark.conf.get(_TIDY, None)
+    spark.conf.set(_TIDY, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_TIDY)
+        else:
+            spark.conf.set(_TIDY, before)
+
+
 class Scratch:
     """Tables that a job writes to the shared folder and reads back.
 
@@ -91,7 +108,8 @@ class Scratch:
         self.spark, self.root = spark, scratch_path(spark, label)
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{self.root}/{name}")
+        with _tidy_shuffles(self.spark):
+            df.write.mode("overwrite").parquet(f"{self.root}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
 
     def path(self, name: str) -> str:
