@@ -32,7 +32,7 @@ from tidegauge.llm.tokens import claim_memory, offsets, text_slices
 
 CACHE_WORDS = 600_000  # words a worker remembers, and as many again that it may forget next
 CACHE_TAILS = 10_000  # and runs of marks after them
-TOGETHER = 5_000  # words that go to the tokenizer as one text
+TOGETHER = 400  # words that go to the tokenizer as one text
 _OLD_LETTERS = "\u0530"  # below it every Unicode version has the same letters
 SLICE_BYTES = 3_000_000  # text encoded together
 READ_BYTES = 4 << 20
@@ -116,33 +116,41 @@ class WordEncoder:
 
     def _coded(self, words: list[str]) -> list[bytes]:
         """Ids of distinct words, each with a space before it."""
-        new = set(words).difference(self.known)
-        if len(self.known) + len(new) > CACHE_WORDS:
+        if len(self.known) > CACHE_WORDS:
             self.old, self.known = self.known, {}
-            new = set(words)
         known, old = self.known, self.old
-        known.update((w, old[w]) for w in new if w in old)
-        parts, asked, loose, tails = [], set(), [], set()
-        for word in new.difference(known):
+        codes = list(map(known.get, words))
+        new, parts, asked, loose, tails = [], [], [], [], set()
+        for k, code in enumerate(codes):
+            if code is not None:
+                continue
+            word = words[k]
+            code = codes[k] = old.get(word)
+            if code is not None:
+                known[word] = code
+                continue
+            new.append(k)
             core = word.rstrip(_MARKS)
             if len(core) < len(word) and core.isalpha() and max(core) < _OLD_LETTERS:
                 parts.append((word, core, word[len(core) :]))
-                asked.add(core)
-                tails.add(word[len(core) :])
             elif " " in word:  # with white space at its end
                 loose.append(word)
             else:
-                asked.add(word)
-        asked = list(asked.difference(known))
+                asked.append(word)
+        if not new:
+            return codes
+        asked += {core for _, core, _ in parts}.difference(known, asked)
         known.update(zip(asked, self._together(asked)))
         known.update(zip(loose, self._whole([" " + w for w in loose])))
         if len(self.tails) > CACHE_TAILS:
             self.tails = {}
-        tails = list(tails.difference(self.tails))
+        tails = list({tail for _, _, tail in parts}.difference(self.tails))
         self.tails.update(zip(tails, self._whole(tails)))
         after = self.tails
-        known.update((word, known[core] + after[tail]) for word, core, tail in parts)
-        return list(map(known.__getitem__, words))
+        known.update([(word, known[core] + after[tail]) for word, core, tail in parts])
+        for k in new:
+            codes[k] = known[words[k]]
+        return codes
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text, in two or four bytes each."""
