@@ -4,7 +4,8 @@ Each match of the split pattern is merged separately. Its parts are a linked lis
 For every merge rank there is a bucket of the positions whose pair has that rank; a two-level bitmap
 marks the buckets that are not empty, so finding the first set bit gives the next rank whatever the
 number of parts. Entries whose pair has changed since are skipped. A pre-token of n bytes takes about n
-queue steps, which keeps very long ones cheap; frequent ones are remembered.
+queue steps, which keeps very long ones cheap. Short ones that were not met before share a queue, their
+lists lying side by side, and are remembered.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from tidegauge.llm.tokens import claim_memory, text_slices
 CACHE_WORDS = 200_000  # most words between spaces whose ids a worker remembers
 CACHE_PIECES = 800_000  # and most pre-tokens
 CACHE_LENGTH = 64  # longest word remembered, in characters
+BLOCK_BYTES = 4_000  # pre-tokens that share a queue, unless one alone is longer
 
 
 class BytePairs:
@@ -44,42 +46,34 @@ class BytePairs:
             for cut in range(1, len(piece))
             if (left := ranks.get(piece[:cut])) is not None and (right := ranks.get(piece[cut:])) is not None
         }
-        self.below = [0] * 256  # second level of the bitmap, empty between pre-tokens
-        pieces = _Remembered(self._piece, CACHE_PIECES)
-        known = pieces.__getitem__
-
-        def spaced(word: str) -> bytes:
-            core = word.rstrip(_MARKS)
-            if core.isalpha():  # letters, and then at most one run of marks: the pattern's matches
-                end = word[len(core) :]
-                return known(" " + core) + known(end) if end else known(" " + core)
-            return b"".join(map(known, self.split(" " + word)))
-
-        self.spaced = _Remembered(spaced, CACHE_WORDS)
-        self.first = _Remembered(lambda word: b"".join(map(known, self.split(word))), 1000)
-
-    def _piece(self, piece: str) -> bytes:
-        ids = array("I", self.merge(piece.encode("utf-8", "surrogatepass")))
-        if sys.byteorder == "big":
-            ids.byteswap()
-        return ids.tobytes()
+        self.below = [0] * 256  # second level of the bitmap, empty between calls
+        self.pieces = _Remembered(CACHE_PIECES)
+        self.words = _Remembered(CACHE_WORDS)
 
     def merge(self, piece: bytes) -> list[int]:
-        """Ids of one pre-token.
+        """Ids of one pre-token."""
+        whole = self.ranks.get(piece)
+        return self._merged([piece])[0] if whole is None else [whole]
+
+    def _merged(self, pieces: list[bytes]) -> list[list[int]]:
+        """Ids of pre-tokens that are not empty, through one queue.
 
         ``top`` has a bit for each word of ``below`` that is not 0, and those have a bit for each rank
         with a bucket: the lowest bit of each gives the lowest rank. A bucket is a heap of positions,
         as the leftmost of equal pairs merges first.
         """
-        whole = self.ranks.get(piece)
-        if whole is not None:
-            return [whole]
         pair, below, buckets, top = self.pairs.get, self.below, {}, 0
-        ids = [self.single[b] for b in piece]
+        ids = [self.single[b] for b in b"".join(pieces)]
         n = len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n))
         current = [pair(a << 16 | b, -1) for a, b in zip(ids, ids[1:])]
         current.append(-1)
+        end, starts = 0, []
+        for piece in pieces:  # each list ends where its pre-token does
+            starts.append(end)
+            before[end] = -1
+            end += len(piece)
+            after[end - 1], current[end - 1] = n, -1
         for i, rank in enumerate(current):
             if rank >= 0:
                 if rank in buckets:
@@ -132,16 +126,62 @@ class BytePairs:
                         high = new >> 8
                         below[high] |= 1 << (new & 255)
                         top |= 1 << high
-        out, i = [], 0
-        while i < n:
-            out.append(ids[i])
-            i = after[i]
+        out = []
+        for i in starts:
+            own = []
+            while i < n:
+                own.append(ids[i])
+                i = after[i]
+            out.append(own)
+        return out
+
+    def _packed(self, ids: list[int]) -> bytes:
+        packed = array("I", ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Make all pre-tokens known."""
+        known, block, size = self.pieces, [], 0
+        asked = known.missing(pieces)
+        for k, piece in enumerate(asked):
+            data = piece.encode("utf-8", "surrogatepass")
+            whole = self.ranks.get(data)
+            if whole is not None:
+                known[piece] = self._packed([whole])
+            else:
+                block.append((piece, data))
+                size += len(data)
+            if block and (size >= BLOCK_BYTES or k == len(asked) - 1):
+                merged = self._merged([data for _, data in block])
+                known.update((piece, self._packed(ids)) for (piece, _), ids in zip(block, merged))
+                block, size = [], 0
+
+    def _split(self, word: str) -> list[str]:
+        """The pattern's matches in a word with a space before it."""
+        core = word.rstrip(_MARKS)
+        if core.isalpha():  # letters, and then at most one run of marks
+            return [" " + core, word[len(core) :]] if len(core) < len(word) else [" " + core]
+        return self.split(" " + word)
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of whole texts, little-endian, four bytes each."""
+        parts = [word_parts(t) if t else ("", []) for t in texts]
+        asked = self.words.missing({w for _, spaced in parts for w in spaced})
+        split = {w: self._split(w) for w in asked}
+        firsts = [self.split(first) for first, _ in parts]
+        self._learn({p for own in (*split.values(), *firsts) for p in own})
+        piece, word = self.pieces.__getitem__, self.words.__getitem__
+        self.words.update((w, b"".join(map(piece, own))) for w, own in split.items())
+        out = [b"".join(map(piece, own)) + b"".join(map(word, spaced)) for own, (_, spaced) in zip(firsts, parts)]
+        self.words.forget_long()
+        self.pieces.forget_long()
         return out
 
     def ids(self, text: str) -> bytes:
-        """Ids of a whole text, little-endian, four bytes each."""
-        first, spaced = word_parts(text)
-        return self.first[first] + b"".join(map(self.spaced.__getitem__, spaced))
+        """Ids of a whole text."""
+        return self.encode([text])[0]
 
 
 _MARKS = ".,;:!?"
@@ -160,21 +200,28 @@ def word_parts(text: str) -> tuple[str, list[str]]:
 
 
 class _Remembered(dict):
-    """Results of a function on short words; those not asked for in a long time are forgotten."""
-
-    def __init__(self, compute, most: int):
-        self.compute, self.most, self.old = compute, most // 2, {}
-
-    def __missing__(self, word: str) -> bytes:
-        value = self.old.get(word)
-        if value is None:
-            value = self.compute(word)
-        if len(word) <= CACHE_LENGTH:
-            if len(self) >= self.most:
-                self.old = dict(self)
-                self.clear()
-            self[word] = value
-        return value
+    """Results for short words; those not asked for in a long time are forgotten."""
+
+    def __init__(self, most: int):
+        self.most, self.old, self.long = most // 2, {}, []
+
+    def missing(self, words: set[str]) -> list[str]:
+        """Those of the words that are not known; the others stay known until this is asked again."""
+        new = words.difference(self)
+        if len(self) + len(new) > self.most:
+            self.old = dict(self)
+            self.clear()
+            new = words
+        found = {w: self.old[w] for w in new if w in self.old}
+        self.update(found)
+        new = new.difference(found)
+        self.long = [w for w in new if len(w) > CACHE_LENGTH]
+        return list(new)
+
+    def forget_long(self) -> None:
+        for word in self.long:
+            self.pop(word, None)
+        self.long = []
 
 
 def read_ranks(spark: SparkSession, path: str) -> bytes:
@@ -201,7 +248,7 @@ def _encode(batches, shared, pattern: str) -> Iterator[pa.RecordBatch]:
     claim_memory("merges", _loaded.cache_clear)
     pairs = _loaded(shared.value, pattern)
     for batch in text_slices(batches, "text_to_encode"):
-        ids = [pairs.ids(t) if t else b"" for t in batch.column(batch.num_columns - 1).to_pylist()]
+        ids = pairs.encode(batch.column(batch.num_columns - 1).to_pylist())
         yield pa.record_batch(
             [*(batch.column(i) for i in range(batch.num_columns - 1)), pa.array(ids, pa.binary())],
             names=[*batch.schema.names[:-1], "ids"],
