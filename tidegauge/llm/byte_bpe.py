@@ -21,8 +21,9 @@ from heapq import heappop, heappush
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, types as T
 
+from tidegauge.llm.rows import Carried, own
 from tidegauge.llm.tokens import claim_memory, text_slices
 
 CACHE_WORDS = 200_000  # most words between spaces whose ids a worker remembers
@@ -247,12 +248,9 @@ def _tokens(content: bytes) -> dict[int, bytes]:
 def _encode(batches, shared, pattern: str) -> Iterator[pa.RecordBatch]:
     claim_memory("merges", _loaded.cache_clear)
     pairs = _loaded(shared.value, pattern)
-    for batch in text_slices(batches, "text_to_encode"):
-        ids = pairs.encode(batch.column(batch.num_columns - 1).to_pylist())
-        yield pa.record_batch(
-            [*(batch.column(i) for i in range(batch.num_columns - 1)), pa.array(ids, pa.binary())],
-            names=[*batch.schema.names[:-1], "ids"],
-        )
+    for batch in text_slices(batches, "text"):
+        ids = pairs.encode(batch.column("text").to_pylist())
+        yield pa.record_batch([batch.column("row"), pa.array(ids, pa.binary())], names=["row", "ids"])
 
 
 def _decode(batches, shared) -> Iterator[pa.RecordBatch]:
@@ -267,27 +265,26 @@ def _decode(batches, shared) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _fields(df: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-
-
 def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` (all by default) with ``ids``: the whole text's token ids, as
-    little-endian unsigned 32-bit integers in a binary value. A column called ids is replaced.
+    little-endian unsigned 32-bit integers in a binary value. A column called ids is replaced; others may
+    have any name.
 
     Special tokens are ordinary text. Null and empty texts give no ids; one very long run of
     characters is merged like any other. Rows are independent: repeated rows give equal ids, and an
     empty table gives an empty result.
     """
-    keep = [c for c in (keep or docs.columns) if c != "ids"]
-    rows = docs.select(*keep, F.col(text_col).alias("text_to_encode"))
+    carried = Carried(docs, keep, ("ids",))
+    rows = docs.select(carried.packed, own(text_col).cast("string").alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(read_ranks(docs.sparkSession, path))
-    schema = _fields(rows.drop("text_to_encode"))
-    return rows.mapInArrow(lambda it: _encode(it, shared, pattern), f"{schema}, ids binary")
+    schema = T.StructType([rows.schema["row"], T.StructField("ids", T.BinaryType())])
+    return rows.mapInArrow(lambda it: _encode(it, shared, pattern), schema).select(*carried.columns(), "ids")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """The rows of ``encode`` with ``decoded``, the bytes that their ids stand for; null ids give none."""
-    rows = encoded.drop("decoded")
+    carried = Carried(encoded, None, ("decoded",))
+    rows = encoded.select(carried.packed, "ids")
     shared = encoded.sparkSession.sparkContext.broadcast(read_ranks(encoded.sparkSession, path))
-    return rows.mapInArrow(lambda it: _decode(it, shared), f"{_fields(rows)}, decoded binary")
+    schema = T.StructType([*rows.schema.fields, T.StructField("decoded", T.BinaryType())])
+    return rows.mapInArrow(lambda it: _decode(it, shared), schema).select(*carried.columns(), "decoded")

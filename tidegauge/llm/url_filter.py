@@ -40,7 +40,7 @@ def _match_keys(captures: DataFrame) -> DataFrame:
     ).filter("host <> ''")
     domains = F.transform(
         F.sequence(F.lit(1), F.size("labels")),
-        lambda i: F.struct(F.lit("domain").alias("kind"), F.array_join(F.slice("labels", i, 1000), ".").alias("pattern")),
+        lambda i: F.struct(F.lit("domain").alias("kind"), F.array_join(F.slice("labels", i, F.size("labels")), ".").alias("pattern")),
     )
     prefixes = F.transform(
         F.sequence(F.lit(1), F.size("steps")),

@@ -1,16 +1,21 @@
 """WARC archives as a Spark data source.
 
-Writing: each task writes files of bounded size with names of their own; the commit lists the files of
-the tasks that succeeded, so a task that is tried again leaves nothing behind that readers see.
+Writing: each task writes files of bounded size with names of their own; each write has a manifest, which
+lists the files of the tasks that succeeded, so a task that is tried again leaves nothing behind that
+readers see. Appending adds a manifest; overwriting takes the place of those before.
 
 Reading: each file is a partition. Filters on record_type, page_id and the other header columns are
 pushed down: a record's header is parsed first, and the block of a record that no filter lets through,
-or whose payload is not in the schema, is skipped by its length without being read.
+or whose payload is not in the schema, is skipped by its length without being read. A single file, or a
+folder without manifests, is read as it is: every file that ends in .warc or .warc.gz, whose records may be
+gzip members of their own. Other programs' records have no page id, and their payload's length is known
+once it is read.
 """
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import io
 import json
@@ -33,7 +38,8 @@ SCHEMA = (
     "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, "
     "payload binary"
 )
-MANIFEST = "_files.json"
+MANIFEST = "_files-"  # and a number, and .json
+ENDINGS = (".warc", ".warc.gz")
 PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 
 
@@ -73,7 +79,8 @@ def record(page_id, url, payload: bytes, refers_to, date: str, number: int = 0)
 
 def read_header(stream) -> dict[str, str] | None:
     """Fields of the next record, names in lower case; None at the end of the file."""
-    line = stream.readline()
+    while (line := stream.readline()) in (b"\r\n", b"\n"):
+        pass  # some writers leave more empty lines between records
     if not line:
         return None
     if not line.startswith(b"WARC/"):
@@ -112,6 +119,29 @@ _TESTS = {
 }
 
 
+def _listed(system, base: str) -> tuple[list[str], list[str]]:
+    """Names of the manifests in a folder, and of its archives, whoever wrote them."""
+    infos = system.get_file_info(fs.FileSelector(base, allow_not_found=True))
+    names = sorted(i.base_name for i in infos if i.type == fs.FileType.File)
+    manifests = [n for n in names if n.startswith(MANIFEST) and n.endswith(".json")]
+    return manifests, [n for n in names if n.endswith(ENDINGS)]
+
+
+def _opened(raw, path: str):
+    """The bytes of an archive; gzip members, of which each record may be one, are read as one stream."""
+    if path.endswith(".gz"):
+        return gzip.GzipFile(fileobj=io.BufferedReader(raw, 1 << 18), mode="rb")
+    return io.BufferedReader(raw, 1 << 18)
+
+
+def _payload(block: bytes, kind: str) -> bytes:
+    """The block without its HTTP head, if it has one."""
+    if not kind.startswith("application/http"):
+        return block
+    head, gap, body = block.partition(b"\r\n\r\n")
+    return body if gap and head.startswith((b"HTTP/", b"GET ", b"POST ", b"HEAD ", b"PUT ")) else block
+
+
 class _File(InputPartition):
     def __init__(self, path: str):
         self.path = path
@@ -133,9 +163,15 @@ class WarcReader(DataSourceReader):
 
     def partitions(self) -> list[_File]:
         system, base = fs.FileSystem.from_uri(self.path)
-        with system.open_input_stream(f"{base}/{MANIFEST}") as stream:
-            names = json.loads(stream.read())
-        return [_File(f"{self.path}/{name}") for name in sorted(names)]
+        if system.get_file_info(base).type == fs.FileType.File:
+            return [_File(self.path)]
+        manifests, files = _listed(system, base)
+        if manifests:
+            files = []
+            for name in manifests:
+                with system.open_input_stream(f"{base}/{name}") as stream:
+                    files += json.loads(stream.read())
+        return [_File(f"{self.path.rstrip('/')}/{name}") for name in sorted(files)]
 
     def read(self, partition: _File | None) -> Iterator[pa.RecordBatch]:
         if partition is None:  # there are no files
@@ -145,15 +181,17 @@ class WarcReader(DataSourceReader):
         schema = pa.schema([next(f for f in fields if f.name == n) for n in self.columns])
         whole = "payload" in self.columns
         rows, size = [], 0
-        with system.open_input_file(path) as raw, io.BufferedReader(raw, 1 << 18) as stream:
+        with system.open_input_file(path) as raw, _opened(raw, path) as stream:
             while (head := read_header(stream)) is not None:
                 row = header_columns(head)
                 length = int(head["content-length"])
                 wanted = all(_TESTS[kind](row[name], value) for kind, name, value in self.tests)
-                if wanted and whole and row["record_type"] == "response":
-                    block = stream.read(length)
-                    row["payload"] = payload = block[block.index(b"\r\n\r\n") + 4 :]
-                    if row["payload_digest"] != digest(payload):
+                # Only what was written here tells the payload's length without the payload.
+                needed = whole or ("payload_bytes" in self.columns and row["payload_bytes"] is None)
+                if wanted and needed and row["record_type"] != "revisit":
+                    row["payload"] = payload = _payload(stream.read(length), head.get("content-type") or "")
+                    known = row["payload_digest"]
+                    if row["page_id"] is not None and known is not None and known != digest(payload):
                         raise ValueError(f"payload of page {row['page_id']} does not match its digest")
                     row["payload_bytes"] = len(payload)
                     stream.seek(4, 1)
@@ -183,8 +221,9 @@ class _Written(WriterCommitMessage):
 class WarcWriter(DataSourceArrowWriter):
     """Writes rows of page_id, url, payload, refers_to."""
 
-    def __init__(self, options):
+    def __init__(self, options, overwrite: bool):
         self.path, self.date = options["path"], options.get("date", "1970-01-01T00:00:00Z")
+        self.overwrite = overwrite
 
     def write(self, batches) -> _Written:
         system, base = fs.FileSystem.from_uri(self.path)
@@ -209,8 +248,15 @@ class WarcWriter(DataSourceArrowWriter):
     def commit(self, messages) -> None:
         system, base = fs.FileSystem.from_uri(self.path)
         system.create_dir(base, recursive=True)
-        with system.open_output_stream(f"{base}/{MANIFEST}") as stream:
-            stream.write(json.dumps([n for m in messages if m for n in m.names]).encode())
+        own = {n for m in messages if m for n in m.names}
+        before, files = _listed(system, base)
+        name = f"{MANIFEST}{uuid.uuid4().hex}.json"
+        # Written under a name that readers skip and moved, so that they see a whole list or none.
+        with system.open_output_stream(f"{base}/.{name}") as stream:
+            stream.write(json.dumps(sorted(own)).encode())
+        system.move(f"{base}/.{name}", f"{base}/{name}")
+        for old in [*before, *(f for f in files if f not in own)] if self.overwrite else []:
+            system.delete_file(f"{base}/{old}")
 
     def abort(self, messages) -> None:
         system, base = fs.FileSystem.from_uri(self.path)
@@ -233,7 +279,7 @@ class WarcSource(DataSource):
         return WarcReader(schema, self.options)
 
     def writer(self, schema: StructType, overwrite: bool) -> WarcWriter:
-        return WarcWriter(self.options)
+        return WarcWriter(self.options, overwrite)
 
 
 def read_warc(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
@@ -249,9 +295,11 @@ def read_warc(spark: SparkSession, path: str, columns: list[str] | None = None)
 
 
 def write_warc(
-    pages: DataFrame, path: str, least: int = 0, id_col: str = "page_id", url_col: str = "url", html_col: str = "html"
+    pages: DataFrame, path: str, least: int = 0, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
+    mode: str = "append",
 ) -> None:
-    """Write a record per row; of equal payloads of ``least`` bytes or more one is a response.
+    """Write a record per row, beside the records under ``path`` or, with ``mode='overwrite'``, in place of
+    them. Of equal payloads of this write of ``least`` bytes or more one is a response.
 
     That is the one of the smallest page id; the others are revisits, which refer to it and hold no
     payload. Smaller payloads are all responses. Null html is an empty payload; a null url is left out
@@ -273,5 +321,5 @@ def write_warc(
     spark.dataSource.register(WarcSource)
     (
         joined.select("page_id", "url", "payload", F.when(revisit, F.col("first")).alias("refers_to"))
-        .write.format("warc").mode("append").option("path", path).save()
+        .write.format("warc").mode(mode).option("path", path).save()
     )
