@@ -85,6 +85,80 @@ def test_scores_equal_a_plain_product(spark):
         assert math.isclose(r["score"], want, rel_tol=1e-9)
 
 
+def plain_exchange(n, words_, classes, rounds):
+    """Exchange clustering by the likelihood of whole tables: half of the words at a time, as tasks do it."""
+    size = classes + 2
+    of = np.concatenate([np.arange(words_) % classes, [classes, classes + 1]])
+
+    def likelihood(of):
+        t = np.zeros((size, size))
+        np.add.at(t, (of[:, None].repeat(len(of), 1), of[None].repeat(len(of), 0)), n)
+        f = lambda x: (x * np.log(np.maximum(x, 1))).sum()
+        return f(t) - f(t.sum(1)) - f(t.sum(0))
+
+    for k in range(rounds):
+        after = of.copy()
+        for w in range(k % 2, words_, 2):
+            values = []
+            for c in range(classes):
+                moved = of.copy()
+                moved[w] = c
+                values.append(likelihood(moved))
+            if max(values) > values[of[w]] + 1e-9:
+                after[w] = int(np.argmax(np.round(values, 9)))
+        of = after
+    return of
+
+
+def test_a_whole_clustering_equals_a_plain_exchange(spark):
+    """The vocabulary's first words by rounds of exchanges, all others that reach the floor by one more."""
+    rng = random.Random(8)
+    kinds = [[f"{k}{i}" for i in range(6)] for k in "abc"]  # each kind is followed by the next
+    texts = []
+    for i in range(120):
+        at = rng.randrange(3)
+        texts.append(" ".join(rng.choices(kinds[(at + j) % 3], weights=range(6, 0, -1))[0] for j in range(rng.randrange(1, 15))))
+    texts += ["once", "", "a0 rare b0"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(5)
+    _, scorer, _, _ = lm.fit(df, Scratch(spark, "t"), clustered=9, classes=3, rounds=4, head=100, floor=3)
+    names = list(scorer.head)
+    ids = {w: i for i, w in enumerate(names)}
+    count = collections.Counter(w for t in texts for w in words(t))
+    assert [count[w] for w in names] == sorted(count.values(), reverse=True)
+
+    def bigrams(limit):
+        n = np.zeros((limit + 2, limit + 2))
+        for t in texts:
+            line = [limit + 1, *(min(ids[w], limit) for w in words(t)), limit + 1]
+            for a, b in zip(line, line[1:]):
+                n[a, b] += 1
+        return n
+
+    of = plain_exchange(bigrams(9), 9, 3, 4)
+    assert scorer.classes[:9].tolist() == of[:9].tolist()
+    # each further word on its own, by the likelihood of the class bigrams with it moved
+    n, f = bigrams(len(names)), lambda x: (x * np.log(np.maximum(x, 1))).sum()
+    base = np.concatenate([of[:9], np.full(len(names) - 9 + 1, 3), [4]])
+    for w in range(9, len(names)):
+        if count[names[w]] < 3:
+            assert scorer.classes[w] == 3
+            continue
+        values = []
+        for c in range(3):
+            moved = base.copy()
+            moved[w] = c
+            t = np.zeros((5, 5))
+            np.add.at(t, (moved[:, None].repeat(len(moved), 1), moved[None].repeat(len(moved), 0)), n)
+            values.append(f(t) - f(t.sum(1)) - f(t.sum(0)))
+        assert values[scorer.classes[w]] >= max(values) - 1e-6
+    final = np.concatenate([scorer.classes, [4]])
+    want = np.zeros((5, 5))
+    np.add.at(want, (final[:, None].repeat(len(final), 1), final[None].repeat(len(final), 0)), n)
+    totals = want.sum(1)
+    share = (totals + 1) / (totals + 1).sum()
+    assert np.allclose(10.0 ** scorer.transitions, (want + lm.WEIGHT * share) / (totals[:, None] + lm.WEIGHT))
+
+
 def test_exchange_gains_equal_the_likelihood():
     rng = np.random.default_rng(2)
     size, classes = 8, 3
