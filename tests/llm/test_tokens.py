@@ -58,6 +58,21 @@ def test_bpe_of_odd_rows(spark):
     assert byte_bpe.encode(df.limit(0), f"file://{RANKS}", PATTERN).collect() == []
 
 
+def test_bpe_with_ranks_in_any_order():
+    """Merges may make pairs of a lower rank, which then go first."""
+    rng = random.Random(1)
+    for _ in range(40):
+        pieces = set()
+        while len(pieces) < 150:
+            pieces.add(bytes(rng.choice(b"abc") for _ in range(rng.randrange(2, 6))))
+        ranks = {bytes([i]): i for i in range(256)} | {p: 256 + i for i, p in enumerate(rng.sample(sorted(pieces), 150))}
+        library = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        pairs = byte_bpe.BytePairs(ranks, PATTERN)
+        texts = ["".join(rng.choice("abc ") for _ in range(rng.randrange(60))) for _ in range(60)]
+        for text, ids in zip(texts, pairs.encode(texts), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == library.encode_ordinary(text)
+
+
 # -- records --------------------------------------------------------------------------------------
 
 

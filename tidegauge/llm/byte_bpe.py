@@ -12,11 +12,8 @@ from __future__ import annotations
 
 import base64
 import re
-import sys
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -24,12 +21,12 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from tidegauge.llm.rows import Carried, own
-from tidegauge.llm.tokens import claim_memory, text_slices
+from tidegauge.llm.tokens import claim_memory, offsets, text_slices
 
 CACHE_WORDS = 200_000  # most words between spaces whose ids a worker remembers
 CACHE_PIECES = 800_000  # and most pre-tokens
 CACHE_LENGTH = 64  # longest word remembered, in characters
-BLOCK_BYTES = 4_000  # pre-tokens that share a queue, unless one alone is longer
+BLOCK_BYTES = 16_000  # pre-tokens that share a queue, unless one alone is longer
 
 
 class BytePairs:
@@ -54,14 +51,14 @@ class BytePairs:
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one pre-token."""
         whole = self.ranks.get(piece)
-        return self._merged([piece])[0] if whole is None else [whole]
+        return np.frombuffer(self._merged([piece])[0], "<u4").tolist() if whole is None else [whole]
 
-    def _merged(self, pieces: list[bytes]) -> list[list[int]]:
-        """Ids of pre-tokens that are not empty, through one queue.
+    def _merged(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of pre-tokens that are not empty, through one queue, four bytes each.
 
         ``top`` has a bit for each word of ``below`` that is not 0, and those have a bit for each rank
-        with a bucket: the lowest bit of each gives the lowest rank. A bucket is a heap of positions,
-        as the leftmost of equal pairs merges first.
+        with a bucket: the lowest bit of each gives the lowest rank. Its positions merge from left to
+        right, until one of them makes a pair of a lower rank.
         """
         pair, below, buckets, top = self.pairs.get, self.below, {}, 0
         ids = [self.single[b] for b in b"".join(pieces)]
@@ -88,59 +85,58 @@ class BytePairs:
             high = (top & -top).bit_length() - 1
             word = below[high]
             rank = high << 8 | (word & -word).bit_length() - 1
-            bucket = buckets[rank]
-            if len(bucket) == 1:
-                i = bucket[0]
-                del buckets[rank]
-                below[high] = word = word & (word - 1)
-                if not word:
-                    top &= top - 1
-            else:
-                i = heappop(bucket)
-            if current[i] != rank:
-                continue  # stale: one of the two parts has changed since
-            ids[i] = rank
-            gone = after[i]
-            current[gone] = -1
-            after[i] = right = after[gone]
-            if right < n:
-                before[right] = i
-                current[i] = new = pair(rank << 16 | ids[right], -1)
-                if new >= 0:
-                    if new in buckets:
-                        heappush(buckets[new], i)
-                    else:
-                        buckets[new] = [i]
-                        high = new >> 8
-                        below[high] |= 1 << (new & 255)
-                        top |= 1 << high
-            else:
-                current[i] = -1
-            left = before[i]
-            if left >= 0:
-                current[left] = new = pair(ids[left] << 16 | rank, -1)
-                if new >= 0:
-                    if new in buckets:
-                        heappush(buckets[new], left)
-                    else:
-                        buckets[new] = [left]
-                        high = new >> 8
-                        below[high] |= 1 << (new & 255)
-                        top |= 1 << high
-        out = []
-        for i in starts:
-            own = []
-            while i < n:
-                own.append(ids[i])
-                i = after[i]
-            out.append(own)
-        return out
-
-    def _packed(self, ids: list[int]) -> bytes:
-        packed = array("I", ids)
-        if sys.byteorder == "big":
-            packed.byteswap()
-        return packed.tobytes()
+            bucket = buckets.pop(rank)
+            below[high] = word = word & (word - 1)
+            if not word:
+                top &= top - 1
+            bucket.sort()
+            least, left_over = rank, iter(bucket)
+            for i in left_over:
+                if current[i] != rank:
+                    continue  # stale: one of the two parts has changed since
+                ids[i] = rank
+                gone = after[i]
+                current[gone] = ids[gone] = -1
+                after[i] = right = after[gone]
+                if right < n:
+                    before[right] = i
+                    current[i] = new = pair(rank << 16 | ids[right], -1)
+                    if new >= 0:
+                        if new in buckets:
+                            buckets[new].append(i)
+                        else:
+                            buckets[new] = [i]
+                            high = new >> 8
+                            below[high] |= 1 << (new & 255)
+                            top |= 1 << high
+                            if new < least:
+                                least = new
+                else:
+                    current[i] = -1
+                left = before[i]
+                if left >= 0:
+                    current[left] = new = pair(ids[left] << 16 | rank, -1)
+                    if new >= 0:
+                        if new in buckets:
+                            buckets[new].append(left)
+                        else:
+                            buckets[new] = [left]
+                            high = new >> 8
+                            below[high] |= 1 << (new & 255)
+                            top |= 1 << high
+                            if new < least:
+                                least = new
+                if least < rank:  # a lower rank goes first; the rest of this bucket waits
+                    rest = list(left_over)
+                    if rest:
+                        buckets[rank] = rest
+                        below[rank >> 8] |= 1 << (rank & 255)
+                        top |= 1 << (rank >> 8)
+        out = np.array(ids)
+        kept = out >= 0
+        edges = (4 * offsets(np.add.reduceat(kept, starts, dtype=np.int64))).tolist()
+        data = out[kept].astype("<u4").tobytes()
+        return [data[a:b] for a, b in zip(edges[:-1], edges[1:])]
 
     def _learn(self, pieces: set[str]) -> None:
         """Make all pre-tokens known."""
@@ -150,20 +146,20 @@ class BytePairs:
             data = piece.encode("utf-8", "surrogatepass")
             whole = self.ranks.get(data)
             if whole is not None:
-                known[piece] = self._packed([whole])
+                known[piece] = whole.to_bytes(4, "little")
             else:
                 block.append((piece, data))
                 size += len(data)
             if block and (size >= BLOCK_BYTES or k == len(asked) - 1):
                 merged = self._merged([data for _, data in block])
-                known.update((piece, self._packed(ids)) for (piece, _), ids in zip(block, merged))
+                known.update(zip((piece for piece, _ in block), merged))
                 block, size = [], 0
 
-    def _split(self, word: str) -> list[str]:
+    def _split(self, word: str):
         """The pattern's matches in a word with a space before it."""
         core = word.rstrip(_MARKS)
         if core.isalpha():  # letters, and then at most one run of marks
-            return [" " + core, word[len(core) :]] if len(core) < len(word) else [" " + core]
+            return (" " + core, word[len(core) :]) if len(core) < len(word) else (" " + core,)
         return self.split(" " + word)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
