@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidegauge.llm.graph import small_side
 from tidegauge.plans.neighbours import where_neighbours
 from tidegauge.session import Scratch
 
@@ -75,26 +76,61 @@ def intervals(changes: DataFrame, minutes: int = CHUNK_MINUTES) -> DataFrame:
     return linked.select(*_ENTRY, "action", F.col("at").alias("valid_from"), F.col("next_at").alias("valid_to"))
 
 
+PART_ROWS = 100_000  # rows of one key and chunk that go to one task
+
+
+def parted(rows: DataFrame, counts: DataFrame, scratch: Scratch, salt: list[str]) -> tuple[DataFrame, DataFrame | None]:
+    """``rows`` (key, chunk and more) with their ``part``, and how many ``parts`` the hot ones have.
+
+    ``counts`` has n, the rows of each key and chunk. Those with more than ``PART_ROWS`` are dealt by a hash
+    of ``salt``; there is at most one of them for that many rows. Without any the second result is None.
+    """
+    hot = counts.filter(F.col("n") > PART_ROWS).select("key", "chunk", F.ceil(F.col("n") / PART_ROWS).alias("parts"))
+    hot = scratch.table(hot, "hot")
+    n = hot.count()
+    if not n:
+        return rows.withColumn("part", F.lit(0).cast("long")), None
+    dealt = F.pmod(F.xxhash64(*salt), F.coalesce("parts", F.lit(1)))
+    return rows.join(small_side(hot, n), ["key", "chunk"], "left").withColumn("part", dealt).drop("parts"), small_side(hot, n)
+
+
+def _to_parts(spans: DataFrame, hot: DataFrame | None) -> DataFrame:
+    """A copy of each row for every part of its key and chunk."""
+    if hot is None:
+        return spans.withColumn("part", F.lit(0).cast("long"))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1).cast("long")) - 1))
+    return spans.join(hot, ["key", "chunk"], "left").withColumn("part", every).drop("parts")
+
+
 def as_of(rows: DataFrame, spans: DataFrame, minutes: int = CHUNK_MINUTES) -> DataFrame:
     """``rows`` (key, at and more) with ``action`` of the span (key, valid_from, valid_to, action) of the
-    same key that holds ``at``; null where none does. Spans of a key do not overlap."""
+    same key that holds ``at``; null where none does. Spans of a key do not overlap.
+
+    Rows are sorted with the spans of their key and chunk of time. Where those are very many, several
+    tasks each take a part of the rows and all spans of the chunk.
+    """
+    scratch = Scratch(rows.sparkSession, "as-of")
     state = F.struct("valid_from", "valid_to", "action")
     spans = spans.withColumns({"chunk": _chunk("valid_from", minutes), "state": state})
     rows = rows.withColumn("chunk", _chunk("at", minutes))
+    extra = [c for c in rows.columns if c not in ("key", "chunk", "at")]
+    counts = scratch.table(rows.groupBy("key", "chunk").agg(F.count("*").alias("n")), "counts")
+    rows, hot = parted(rows, counts, scratch, ["at", *extra])
+
     last = spans.groupBy("key", "chunk").agg(F.max("state").alias("last"))
-    seen = rows.select("key", "chunk").distinct().withColumn("last", F.lit(None).cast(last.schema["last"].dataType))
+    seen = counts.select("key", "chunk", F.lit(None).cast(last.schema["last"].dataType).alias("last"))
     chunks = last.union(seen).groupBy("key", "chunk").agg(F.max("last").alias("last"))
     before = Window.partitionBy("key").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     carried = chunks.withColumn("state", F.last("last", ignorenulls=True).over(before)).filter("state IS NOT NULL")
 
-    extra = [c for c in rows.columns if c not in ("key", "chunk", "at")]
     none = [F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in extra]
+    place, nothing = ["key", "chunk", "part"], F.lit(None).cast(last.schema["last"].dataType).alias("state")
     merged = (
-        rows.select("key", "chunk", "at", F.lit(2).alias("turn"), F.lit(None).cast(last.schema["last"].dataType).alias("state"), *extra)
-        .union(spans.select("key", "chunk", "valid_from", F.lit(1), "state", *none))
-        .union(carried.select("key", "chunk", F.lit(None).cast("timestamp_ntz"), F.lit(0), "state", *none))
+        rows.select(*place, "at", F.lit(2).alias("turn"), nothing, *extra)
+        .union(_to_parts(spans, hot).select(*place, "valid_from", F.lit(1), "state", *none))
+        .union(_to_parts(carried, hot).select(*place, F.lit(None).cast("timestamp_ntz"), F.lit(0), "state", *none))
     )
-    order = Window.partitionBy("key", "chunk").orderBy(F.col("at").asc_nulls_first(), "turn")
+    order = Window.partitionBy(*place).orderBy(F.col("at").asc_nulls_first(), "turn")
     order = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     found = merged.withColumn("state", F.last("state", ignorenulls=True).over(order)).filter("turn = 2")
     holds = F.col("state.valid_to").isNull() | (F.col("at") < F.col("state.valid_to"))
