@@ -218,17 +218,21 @@ def _groups(members: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFra
     popular = scratch.table(members.groupBy("key").agg(F.count("*").alias("n")), "popular")
     home = members.join(popular, "key").groupBy("class").agg(F.max_by("key", F.struct("n", "key")).alias("home"))
     home = scratch.table(home, "home")
+    scratch.drop("popular")
     sizes = scratch.table(home.groupBy("home").agg(F.count("*").alias("n")), "sizes")
     sized = home.join(sizes, "home")
     at_key = scratch.table(members.join(sized, "class").select("key", "home", "n").distinct(), "home-keys")
     largest = at_key.groupBy("key").agg(F.max(F.struct("n", "home")).alias("top"))
     largest = scratch.table(largest.select("key", "top.n", "top.home").toDF("key", "top_n", "top"), "largest")
+    scratch.drop("sizes")
     leader = (
         at_key.join(largest, "key").groupBy("home").agg(F.max_by("top", F.struct("top_n", "top")).alias("leader"))
     )
     leader = scratch.table(leader, "leader")
+    scratch.drop("home-keys", "largest")
     led = home.join(leader, "home").join(classes.select("class", "n_shingles"), "class")
     led = scratch.table(led.select("class", "leader", "n_shingles"), "led")
+    scratch.drop("home", "leader")
     slots = F.ceil(F.greatest(F.count("*") / GROUP, F.sum("n_shingles") / GROUP_SHINGLES))
     sizes = scratch.table(led.groupBy("leader").agg(slots.alias("slots")), "led-sizes")
     slot = F.pmod(F.xxhash64("class"), F.col("slots"))
@@ -295,10 +299,16 @@ def jaccard_join(
         full.select("class", "signatures").mapInArrow(_flat_signatures, "key long, class long"), ["class"]
     )
     links = scratch.table(links, "links")
+    # What is needed of the sketches from here on; the signatures are the larger part of them.
+    sketches = scratch.table(sketches.drop("signatures"), "documents")
+    full = sketches.filter("n_shingles > 0 AND doc_id IS NOT NULL")
+    scratch.drop("sketches")
     members = links.select("key", "class").union(links.select("key", "lead_class")).distinct()
     members = scratch.table(members, "members")
+    scratch.drop("links")
     groups = _groups(members, classes, scratch)
     cells = scratch.table(_cells(members, groups, scratch), "cells")
+    scratch.drop("members", "groups", "group-keys", "pairs")
 
     needed = classes.drop("n_shingles").join(cells.select("class").distinct(), "class")
     needed = scratch.table(needed, "needed")
@@ -312,7 +322,7 @@ def jaccard_join(
     )
     opened = scratch.table(opened, "opened")
     known = class_results(classes.select("class", F.col("doc_id").alias("id"), "copies"), opened, scratch)
-    scratch.drop("links", "members", "texts", "cells")
+    scratch.drop("texts", "cells")
     linked = full.select("doc_id", "n_shingles", "class").join(known, "class")
     rest = sketches.filter("n_shingles = 0 OR doc_id IS NULL")
     names = ["doc_id", "n_shingles", "n_links", "component_id"]
