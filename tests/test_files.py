@@ -203,3 +203,23 @@ def test_transcript_lines_are_numbered_across_blocks(spark, tmp_path):
         spark.conf.set(key, before)
     assert got == want
     assert entries == sum(1 for texts in want.values() for _, t in texts if t)
+
+
+def test_many_transcripts_cost_few_tasks_and_no_spark_file_each(spark, tmp_path):
+    lines = [(f"s {i}/é" if i else None, n, f"[10:0{n}] a: {i}" if n != 2 else None) for i in range(40) for n in (3, 1, 2)]
+    df = spark.createDataFrame(lines, "session_id string, line_no int, line string")
+    root = f"file://{tmp_path}/many"
+    files.write_transcripts(df, root)
+    found = sorted(glob.glob(f"{tmp_path}/many/*/*"))
+    assert len(found) == 40 and not glob.glob(f"{tmp_path}/many/*/.*")  # no checksum files, nothing unfinished
+    assert open(f"{tmp_path}/many/session_id=s%207%2F%C3%A9/lines.txt").read() == "[10:01] a: 7\n\n[10:03] a: 7\n"
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key, None)
+    spark.sparkContext.setJobGroup("scan", "scan")
+    scanned = scan_transcript_lines(spark, root)
+    assert scanned.count() == 120 and scanned.select("session_id").distinct().count() == 40
+    tracker = spark.sparkContext.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup("scan") for s in tracker.getJobInfo(j).stageIds}
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert max(info.numTasks for s in stages if (info := tracker.getStageInfo(s))) <= spark.sparkContext.defaultParallelism
+    assert spark.conf.get(key, None) == before

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+from urllib.parse import quote
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidegauge.functions.time import format_iso, partition_keys
@@ -111,3 +116,52 @@ def write_result_csv(df: DataFrame, path: str) -> None:
         .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
         .csv(path)
     )
+
+
+NO_SESSION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def write_transcripts(lines: DataFrame, root: str) -> None:
+    """Write (session_id, line_no, line) as one text file per session, under session_id=.../.
+
+    Sessions are many and short, so what a file costs decides. Files go through pyarrow's file systems, at a
+    twentieth of the cost of Hadoop's, and a task writes many; a store that pyarrow does not open
+    gets them from Spark's own writer. Sessions are dealt to a fixed number of tasks, as adaptive execution
+    would leave few lines, however many files, to a single one.
+    """
+    spark = lines.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = lines.repartition(tasks, "session_id").sortWithinPartitions("session_id", "line_no")
+    try:
+        system, base = fs.FileSystem.from_uri(root)
+    except (pa.ArrowException, OSError, ValueError):
+        rows.select("session_id", "line").write.partitionBy("session_id").text(root)
+        return
+    system.create_dir(base, recursive=True)
+    named = F.coalesce(F.col("session_id").cast("string"), F.lit(NO_SESSION)).alias("session_id")
+    text = F.coalesce("line", F.lit("")).alias("line")
+    rows.select(named, text).mapInArrow(lambda it: _write_sessions(it, root), "files long").agg(F.sum("files")).first()
+
+
+def _write_sessions(batches, root: str):
+    """One file for each run of rows of a session. It gets its name when it is whole, so attempts may overlap."""
+    system, base = fs.FileSystem.from_uri(root)
+    files, session, stream, folder, hidden = 0, None, None, "", ""
+
+    def finish():
+        if stream is not None:
+            stream.close()
+            system.move(hidden, f"{folder}/lines.txt")
+
+    for batch in batches:
+        for now, line in zip(*(batch.column(c).to_pylist() for c in ("session_id", "line"))):
+            if now != session:
+                finish()
+                session, folder = now, f"{base}/session_id={quote(now, safe='')}"
+                hidden = f"{folder}/.{uuid.uuid4().hex}"
+                system.create_dir(folder)
+                stream = system.open_output_stream(hidden)
+                files += 1
+            stream.write(line.encode("utf-8", "surrogatepass") + b"\n")
+    finish()
+    yield pa.record_batch({"files": pa.array([files], pa.int64())})

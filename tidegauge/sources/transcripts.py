@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from tidegauge.session import durable
+from tidegauge.session import durable, listing_tasks
 
 
 def scan_transcript_lines(spark: SparkSession, root: str) -> DataFrame:
@@ -14,8 +14,10 @@ def scan_transcript_lines(spark: SparkSession, root: str) -> DataFrame:
     gaps inside a block; they are stored. The first id and the line count of each block, one row per block,
     then turn ids into file-wide numbers, so lines are neither sorted nor counted one after the other.
     """
+    with listing_tasks(spark):
+        files = spark.read.text(root)
     lines = durable(
-        spark.read.text(root).select(
+        files.select(
             F.col("_metadata.file_path").alias("session_id"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("id"),
