@@ -159,6 +159,39 @@ def test_a_whole_clustering_equals_a_plain_exchange(spark):
     assert np.allclose(10.0 ** scorer.transitions, (want + lm.WEIGHT * share) / (totals[:, None] + lm.WEIGHT))
 
 
+def test_words_that_are_not_sent_to_tasks_join_classes_too(spark):
+    """However few words tasks get, every word that reaches the floor has the same class and the same scores."""
+    rng = random.Random(12)
+    kinds = [[f"{k}{i}" for i in range(12)] for k in "abc"]
+    texts = []
+    for i in range(150):
+        at = rng.randrange(3)
+        texts.append(" ".join(rng.choices(kinds[(at + j) % 3], weights=range(12, 0, -1))[0] for j in range(rng.randrange(1, 15))))
+    texts += ["once", "", None, "a0 rare b0"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(5)
+    options = dict(clustered=6, classes=3, rounds=4)
+    want = {r["doc_id"]: r for r in lm.lm_scores(df, **options).collect()}
+    found = lm.lm_scores(df, sent=7, **options).collect()
+    assert len(found) == len(want)
+    for r in found:
+        w = want[r["doc_id"]]
+        assert r[:5] == w[:5] and np.allclose(r[5:], w[5:], rtol=1e-9)
+    cut = {r["doc_id"]: r["score"] for r in lm.lm_scores(df, head=7, **options).collect()}
+    assert any(not math.isclose(cut[r["doc_id"]], r["score"], rel_tol=1e-6) for r in found)
+
+
+def test_gains_of_many_words_equal_those_of_each():
+    rng = np.random.default_rng(5)
+    classes, words_ = 4, 30
+    left, right = (rng.integers(0, 3, (words_, classes + 2)).astype(float) for _ in "ab")
+    table = rng.integers(0, 50, (classes + 2, classes + 2)).astype(float)
+    table[classes] += right.sum(0)
+    table[:, classes] += left.sum(0)
+    many = lm.joining_gains(left, right, table, classes)
+    for a, b, gains in zip(left, right, many):
+        assert np.allclose(gains, lm.class_gains(a, b, 0.0, classes, table, classes))
+
+
 def test_exchange_gains_equal_the_likelihood():
     rng = np.random.default_rng(2)
     size, classes = 8, 3
