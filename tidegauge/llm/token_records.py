@@ -34,7 +34,7 @@ CACHE_WORDS = 600_000  # words a worker remembers, and as many again that it may
 CACHE_TAILS = 10_000  # and runs of marks after them
 TOGETHER = 400  # words that go to the tokenizer as one text
 _OLD_LETTERS = "\u0530"  # below it every Unicode version has the same letters
-SLICE_BYTES = 3_000_000  # text encoded together
+SLICE_BYTES = 6_000_000  # text encoded together; each of its words is looked up once
 READ_BYTES = 4 << 20
 _MASK = 0xA282EAD8
 _HEAD = struct.Struct("<QI")
