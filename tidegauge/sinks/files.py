@@ -124,8 +124,8 @@ NO_SESSION = "__HIVE_DEFAULT_PARTITION__"
 def write_transcripts(lines: DataFrame, root: str) -> None:
     """Write (session_id, line_no, line) as one text file per session, under session_id=.../.
 
-    Sessions are many and short, so what a file costs decides. Files go through pyarrow's file systems, at a
-    twentieth of the cost of Hadoop's, and a task writes many; a store that pyarrow does not open
+    Sessions are many and short, so what a file costs decides. Files go through pyarrow's file systems, which
+    spend less on each than Hadoop's, and a task writes many; a store that pyarrow does not open
     gets them from Spark's own writer. Sessions are dealt to a fixed number of tasks, as adaptive execution
     would leave few lines, however many files, to a single one.
     """
