@@ -6,6 +6,8 @@ Documents with equal shingle sets form one class, and all work is on classes.
    differ in at most k shingles, k following from the threshold and the size band. Dealing shingles
    to k + 1 + spare parts by hash leaves at least 1 + spare parts equal, so each part's hash is a
    signature; a set with at most ``spare`` empty parts leaves those out. Nothing similar is missed.
+   An empty part is equal in all sets that have it, whatever else they hold, so a band has as many spare
+   parts as its smallest sets are likely to have empty ones.
 2. Token-group matrix: a class belongs to the group of its most popular shared signature, groups
    being cut to a fixed size. Two groups that hold a common signature are a candidate pair.
 3. A pair's task builds each group's token union. A set whose overlap with the other group's union
@@ -32,8 +34,9 @@ from tidegauge.session import Scratch
 
 GROUP = 256  # classes of a group, about
 GROUP_SHINGLES = 200_000  # and shingles of all its classes, unless one alone has more
-SPARE = 2  # parts beyond the need, so that a set with few empty parts can leave them out
-BAND = 1.4  # ratio of the largest to the smallest set of a size band
+SPARE = 2  # least number of parts beyond the need, so that a set with few empty parts can leave them out
+DEVIATIONS = 3  # by which the spare parts exceed the mean number of empty ones in the smallest sets of a band
+BAND = 1.3  # ratio of the largest to the smallest set of a size band
 _U = np.uint64
 
 
@@ -43,22 +46,33 @@ class _Plan:
     def __init__(self, percent: int):
         self.percent = percent
 
-    def parts_of(self, largest: int) -> int:
-        """Parts for sets of at most that size; 0 when only equal sets can be similar."""
+    def parts_of(self, smallest: int, largest: int) -> tuple[int, int]:
+        """(parts, spare ones among them) for sets of those sizes; no parts when only equal sets can be similar."""
         # diff <= (1 - t) / (1 + t) * (|x| + |y|)
         k = (100 - self.percent) * 2 * largest // (100 + self.percent)
-        return k + 1 + SPARE if k else 0
-
-    def bands(self, sizes: np.ndarray) -> list[tuple[np.ndarray, int, int]]:
-        """(members, band, parts): sets of the band, or small enough to pair with one of it."""
+        if not k:
+            return 0, 0
+        spare = SPARE
+        while True:
+            empty = (k + 1 + spare) * math.exp(-smallest / (k + 1 + spare))
+            if spare >= empty + DEVIATIONS * math.sqrt(empty):
+                break
+            if spare > k:  # sets too small for their threshold leave parts empty however many there are
+                spare = spare if spare >= empty else SPARE
+                break
+            spare += 1
+        return k + 1 + spare, spare
+
+    def bands(self, sizes: np.ndarray) -> list[tuple[np.ndarray, int, int, int]]:
+        """(members, band, parts, spare): sets of the band, or small enough to pair with one of it."""
         out, low, band, largest = [], 1, 0, int(sizes.max(initial=0))
         while low <= largest * 100 // self.percent + 1:
             high = max(low + 1, math.ceil(low * BAND)) - 1
-            parts = self.parts_of(high)
+            parts, spare = self.parts_of(-(-low * self.percent // 100), high)
             if parts:
                 member = np.flatnonzero((sizes * 100 >= low * self.percent) & (sizes <= high) & (sizes > 0))
                 if len(member):
-                    out.append((member, band, parts))
+                    out.append((member, band, parts, spare))
             low, band = high + 1, band + 1
         return out
 
@@ -67,7 +81,7 @@ def _signatures(values: np.ndarray, counts: np.ndarray, plan: _Plan) -> tuple[np
     """Signatures of all sets, and the set of each."""
     starts = offsets(counts)
     keys, owners = [], []
-    for member, band, parts in plan.bands(counts):
+    for member, band, parts, spare in plan.bands(counts):
         own = counts[member]
         at = np.repeat(starts[:-1][member] - offsets(own)[:-1], own) + np.arange(own.sum())
         tokens = values[at]
@@ -79,7 +93,7 @@ def _signatures(values: np.ndarray, counts: np.ndarray, plan: _Plan) -> tuple[np
         label = np.tile(np.arange(parts, dtype=np.uint64), len(member))
         key = mix(mix(sums + label) ^ _U((band << 32) + 7))
         empty = (fill == 0).reshape(len(member), parts)
-        given = ~empty | (empty.sum(1, keepdims=True) > SPARE)
+        given = ~empty | (empty.sum(1, keepdims=True) > spare)
         given = given.ravel()
         keys.append(key[given])
         owners.append(np.repeat(member, parts)[given])
