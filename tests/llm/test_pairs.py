@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -196,3 +197,32 @@ def test_registered_queries_on_whole_tables(spark):
     vectors = [tuple(r) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
     rows = by_id(QUERIES["op1_near_vectors"](spark, SF), "vec_id")
     assert sorted(tuple(r) for rs in rows.values() for r in rs) == expected_vectors(vectors)
+
+
+def test_small_sets_of_a_band_share_no_signature_for_empty_parts():
+    rng = np.random.default_rng(4)
+    sizes = rng.integers(200, 900, 300)
+    values, counts = tokens.distinct(rng.integers(1, 1 << 60, int(sizes.sum())).astype(np.uint64), sizes)
+    sigs, owner = jj._signatures(values, counts, jj._Plan(80))
+    shared = np.unique(np.unique(np.stack([sigs, owner.astype(np.uint64)], 1), axis=0)[:, 0], return_counts=True)[1]
+    assert (shared > 1).sum() == 0  # no two sets have a member in common
+
+
+def test_bit_maps_open_every_pair_that_may_be_similar_and_few_others():
+    rng = np.random.default_rng(5)
+    for percent, size in ((80, 1), (80, 63), (80, 64), (90, 65), (80, 150), (90, 700), (50, 90)):
+        base = rng.integers(1, 1 << 60, size).astype(np.uint64)
+        other = rng.integers(1, 1 << 60, size).astype(np.uint64)
+        cut = size - -(-size * percent // 100)
+        sets = [base, base[cut:], other]
+        values, counts = tokens.distinct(np.concatenate(sets), np.array([len(s) for s in sets]))
+        maps, words_ = jj._parities(values, counts)
+        edges = tokens.offsets(words_)
+        bits = [maps[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])]
+        rows = {"cell": [7] * 3 + [8] * 3, "class": [1, 2, 3] * 2, "second": [False] * 3 + [False, True, True],
+                "own": [True] * 3 + [False] * 3, "n_shingles": counts.tolist() * 2, "bits": bits * 2}
+        table = pa.table({n: pa.array(v, pa.binary() if n == "bits" else None) for n, v in rows.items()})
+        found = [r for b in jj._possible(table.to_batches(max_chunksize=2), percent) for r in b.to_pylist()]
+        found = [(r["cell"], r["class"], r["second"]) for r in found]
+        want = [(7, 1, False), (7, 2, False), (8, 1, False), (8, 2, True)]
+        assert set(want) <= set(found) and (found == want or percent == 50)

@@ -10,7 +10,10 @@ Documents with equal shingle sets form one class, and all work is on classes.
    parts as its smallest sets are likely to have empty ones.
 2. Token-group matrix: a class belongs to the group of its most popular shared signature, groups
    being cut to a fixed size. Two groups that hold a common signature are a candidate pair.
-3. A pair's task builds each group's token union. A set whose overlap with the other group's union
+3. Each set has a bit map of the parities of its shingles. Maps of two sets differ in no more bits than
+   the sets in shingles, so texts go only to the classes that some other class of the pair of groups
+   is near enough to by these maps.
+4. A pair's task builds each group's token union. A set whose overlap with the other group's union
    is under the threshold's share of its own size cannot link into that group; a group is opened
    only for the sets that remain, by counting exact intersections.
 
@@ -37,6 +40,8 @@ GROUP_SHINGLES = 200_000  # and shingles of all its classes, unless one alone ha
 SPARE = 2  # least number of parts beyond the need, so that a set with few empty parts can leave them out
 DEVIATIONS = 3  # by which the spare parts exceed the mean number of empty ones in the smallest sets of a band
 BAND = 1.3  # ratio of the largest to the smallest set of a size band
+CELL_ROWS = 50_000  # classes of many pairs of groups whose bit maps are compared together, unless one pair has more
+MAP_WORDS = 1 << 20  # 64-bit words of bit maps that one step compares
 _U = np.uint64
 
 
@@ -107,10 +112,20 @@ def _set_key(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return mix(segment_sums(mix(values ^ _U(0x5E7)), counts) + mix(counts.astype(_U)))
 
 
+def _parities(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bit maps of all sets as 64-bit words, and how many each has: a power of two, a bit for each member at least."""
+    words_ = 1 << np.ceil(np.log2(np.maximum(counts, 64) / 64)).astype(np.int64)
+    starts = 64 * offsets(words_)
+    spot = (mix(values ^ _U(0xB175)) & np.repeat(64 * words_ - 1, counts).astype(_U)).astype(np.int64)
+    odd = np.bincount(np.repeat(starts[:-1], counts) + spot, minlength=starts[-1]) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<u8"), words_
+
+
 def _sketch(batches, size: int, plan: _Plan):
     for texts, ids in text_chunks(batches, "text", "doc_id"):
         values, counts = distinct(*shingles(*flat_hashes(texts), size))
         sigs, owner = _signatures(values, counts, plan)
+        maps, words_ = _parities(values, counts)
         order = np.argsort(owner, kind="stable")
         each = offsets(np.bincount(owner, minlength=len(texts)))
         yield pa.record_batch(
@@ -118,6 +133,9 @@ def _sketch(batches, size: int, plan: _Plan):
                 "doc_id": pa.array(ids, pa.int64()),
                 "n_shingles": counts,
                 "class": signed(_set_key(values, counts)),
+                "bits": pa.Array.from_buffers(
+                    pa.binary(), len(texts), [None, pa.py_buffer((8 * offsets(words_)).astype(np.int32)), pa.py_buffer(maps)]
+                ),
                 "signatures": pa.ListArray.from_arrays(
                     pa.array(each, pa.int32()), signed(sigs[order])
                 ),
@@ -135,6 +153,70 @@ def _flat_signatures(batches):
             yield pa.record_batch({"key": lists.flatten(), "class": owner})
 
 
+def _whole_cells(batches):
+    """Rows in the order of cells, in tables of many rows that never cut a cell."""
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= CELL_ROWS:
+            table = pa.Table.from_batches(held)
+            cells = table.column("cell").to_numpy()
+            cut = int(np.searchsorted(cells, cells[-1]))
+            if cut:
+                yield table.slice(0, cut)
+            held, rows = table.slice(cut).to_batches(), len(cells) - cut
+    if rows:
+        yield pa.Table.from_batches(held)
+
+
+def _differing(maps: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """In how many bits the maps x and y differ, the longer one folded to the length of the other."""
+    sizes = np.array([len(m) for m in maps])
+    length = np.minimum(sizes[x], sizes[y])
+    out = np.empty(len(x), np.int64)
+    for n in np.unique(length).tolist():
+        pairs = np.flatnonzero(length == n)
+        used, at = np.unique(np.concatenate([x[pairs], y[pairs]]), return_inverse=True)
+        table = np.stack([np.bitwise_xor.reduce(maps[i].reshape(-1, n), axis=0) for i in used.tolist()])
+        i, j, step = at[: len(pairs)], at[len(pairs) :], max(1, MAP_WORDS // n)
+        for k in range(0, len(pairs), step):
+            apart = table[i[k : k + step]] ^ table[j[k : k + step]]
+            out[pairs[k : k + step]] = np.bitwise_count(apart).sum(1, dtype=np.int64)
+    return out
+
+
+def _possible(batches, percent: int):
+    """The rows of each cell whose set may be similar to one of the other side, by their bit maps.
+
+    Rows come in the order of cells, those of the first group before those of the second.
+    """
+    for rows in _whole_cells(batches):
+        cell, sizes = rows.column("cell").to_numpy(), rows.column("n_shingles").to_numpy()
+        second, own = (rows.column(c).to_numpy() for c in ("second", "own"))
+        maps = [np.frombuffer(b, "<u8") for b in rows.column("bits").to_pylist()]
+        at = np.arange(len(cell))
+        edges = np.append(np.flatnonzero(np.diff(cell, prepend=cell[0] ^ 1)), len(cell))
+        number = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
+        first = edges[:-1] + np.bincount(number[~second], minlength=len(edges) - 1)  # of the second group
+        low = np.where(own, at + 1, first[number])
+        many = np.where(second, 0, edges[1:][number] - low)
+        ends = np.cumsum(many)
+        cuts = np.searchsorted(ends, np.arange(0, int(ends[-1]), MAP_WORDS // 4), "right")
+        cuts = np.unique(np.concatenate([[0], cuts, [len(ends)]]))
+        hit = np.zeros(len(cell), bool)
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            n = many[a:b]
+            x = np.repeat(at[a:b], n)
+            y = np.arange(len(x)) - np.repeat(offsets(n)[:-1], n) + low[x]
+            near = np.minimum(sizes[x], sizes[y]) * 100 >= np.maximum(sizes[x], sizes[y]) * percent
+            x, y = x[near], y[near]
+            near = _differing(maps, x, y) * (100 + percent) <= (sizes[x] + sizes[y]) * (100 - percent)
+            hit[x[near]] = hit[y[near]] = True
+        kept = rows.select(["cell", "class", "second", "own"]).filter(pa.array(hit))
+        yield from kept.to_batches()
+
+
 def _intersections(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     """Sizes of the intersections of all sets of a with all of b."""
     flat_a, flat_b = np.concatenate(a), np.concatenate(b)
@@ -298,14 +380,15 @@ def jaccard_join(
     sketches = scratch.table(
         rows.mapInArrow(
             lambda it: _sketch(it, size, plan),
-            "doc_id long, n_shingles long, class long, signatures array<long>",
+            "doc_id long, n_shingles long, class long, bits binary, signatures array<long>",
         ),
         "sketches",
     )
     full = sketches.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = scratch.table(
         full.groupBy("class").agg(
-            F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.max("n_shingles").alias("n_shingles")
+            F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.max("n_shingles").alias("n_shingles"),
+            F.max("bits").alias("bits"),
         ),
         "classes",
     )
@@ -314,17 +397,24 @@ def jaccard_join(
     )
     links = scratch.table(links, "links")
     # What is needed of the sketches from here on; the signatures are the larger part of them.
-    sketches = scratch.table(sketches.drop("signatures"), "documents")
+    sketches = scratch.table(sketches.drop("signatures", "bits"), "documents")
     full = sketches.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     scratch.drop("sketches")
     members = links.select("key", "class").union(links.select("key", "lead_class")).distinct()
     members = scratch.table(members, "members")
     scratch.drop("links")
     groups = _groups(members, classes, scratch)
-    cells = scratch.table(_cells(members, groups, scratch), "cells")
+    cells = (
+        _cells(members, groups, scratch)
+        .join(classes.select("class", "n_shingles", "bits"), "class")
+        .repartition("cell")
+        .sortWithinPartitions("cell", "second")
+        .mapInArrow(lambda it: _possible(it, percent), "cell long, class long, second boolean, own boolean")
+    )
+    cells = scratch.table(cells, "cells")
     scratch.drop("members", "groups", "group-keys", "pairs")
 
-    needed = classes.drop("n_shingles").join(cells.select("class").distinct(), "class")
+    needed = classes.select("class", "doc_id", "copies").join(cells.select("class").distinct(), "class")
     needed = scratch.table(needed, "needed")
     texts = rows.join(small_side(needed, needed.count()), "doc_id").select("class", "copies", "text")
     texts = scratch.table(texts, "texts")
