@@ -277,3 +277,22 @@ def test_pipeline_of_odd_rows(spark, tmp_path):
     spark.createDataFrame([], DOCS).write.parquet(f"{tmp_path}/none/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/none/benchmark.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").collect() == []
+
+
+def test_sums_of_codes_are_merged_when_many_have_come(monkeypatch):
+    monkeypatch.setattr(lm, "MERGE", 30)
+    rng = np.random.default_rng(6)
+    parts = [rng.integers(0, 500, rng.integers(0, 40)) for _ in range(200)]
+    sums, merged = lm._Sums(), []
+    monkeypatch.setattr(sums, "_merge", lambda merge=sums._merge: merged.append(sums.size) or merge())
+    for part in parts:
+        sums.add(part)
+    codes, n = sums.take()
+    want, counts = np.unique(np.concatenate(parts), return_counts=True)
+    assert codes.tolist() == want.tolist() and n.tolist() == counts.tolist()
+    assert len(merged) < 60 and sums.take()[0].tolist() == []
+
+
+def test_lines_are_as_narrow_as_their_numbers_allow():
+    assert [lm._line_type(t, 33) for t in (0, 128, 129, 32768, 32769)] == ["<i1", "<i1", "<i2", "<i2", "<i4"]
+    assert lm._line_type(0, 128) == "<i2"

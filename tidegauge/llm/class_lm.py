@@ -36,6 +36,8 @@ ROUNDS = 6
 HEAD = 200_000  # words whose counts and classes are sent to all tasks, about 60 bytes each; others are joined
 FLOOR = 3  # least count of a word that gets a class
 FLUSH_WORDS = 300_000  # different words a task counts before it hands its sums on
+SUMS = 2_000_000  # different codes a task sums up before it hands its sums on
+MERGE = 250_000  # least number of codes that are merged with the sums at once
 WEIGHT = 2.0  # pseudo-counts that draw a transition towards the class frequencies
 
 
@@ -63,24 +65,53 @@ def _ids(tokens: list[bytes], known: dict[bytes, int], other: int) -> np.ndarray
     return np.fromiter(map(known.get, tokens, repeat(other)), np.int64, len(tokens))
 
 
+class _Sums:
+    """How often each code came. Codes are merged with the sums when they are half as many as those, so that
+    the sums are not sorted again for every few texts."""
+
+    def __init__(self):
+        self.held, self.new, self.size = (np.zeros(0, np.int64), np.zeros(0, np.int64)), [], 0
+
+    def add(self, codes: np.ndarray) -> None:
+        self.new.append(np.unique(codes, return_counts=True))
+        self.size += len(self.new[-1][0])
+        if self.size >= max(MERGE, len(self.held[0]) // 2):
+            self._merge()
+
+    def _merge(self) -> None:
+        codes, n = (np.concatenate(c) for c in zip(self.held, *self.new))
+        order = np.argsort(codes, kind="stable")
+        codes, n = codes[order], n[order]
+        starts = np.flatnonzero(np.diff(codes, prepend=codes[0] - 1)) if len(codes) else np.zeros(0, np.int64)
+        self.held = codes[starts], np.add.reduceat(n, starts) if len(codes) else n
+        self.new, self.size = [], 0
+
+    def full(self) -> bool:
+        return len(self.held[0]) > SUMS
+
+    def take(self) -> tuple[np.ndarray, np.ndarray]:
+        """The codes and their sums, which begin anew."""
+        self._merge()
+        held = self.held
+        self.held = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return held
+
+
 def _count_bigrams(batches, shared):
     """Counts of neighbouring ids; the vocabulary's size stands for other words, one more for the end."""
     known = shared.value
     other, end = len(known), len(known) + 1
     base = end + 1
-    sums = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    sums = _Sums()
     for (texts,) in text_chunks(batches, "text"):
         parts = []
         for text in texts:
             parts += [_ids(words(text), known, other), np.array([end])]
         line = np.concatenate([np.array([end]), *parts])
-        codes, n = np.unique(line[:-1] * base + line[1:], return_counts=True)
-        both, at = np.unique(np.concatenate([sums[0], codes]), return_inverse=True)
-        sums = both, np.bincount(at, np.concatenate([sums[1], n]), len(both)).astype(np.int64)
-        if len(both) > 2_000_000:
-            yield from _bigram_batches(*sums, base)
-            sums = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    yield from _bigram_batches(*sums, base)
+        sums.add(line[:-1] * base + line[1:])
+        if sums.full():
+            yield from _bigram_batches(*sums.take(), base)
+    yield from _bigram_batches(*sums.take(), base)
 
 
 def _bigram_batches(codes, n, base):
@@ -189,33 +220,32 @@ def _contexts(batches, shared, rest: bool):
     """
     known, of, first, size = shared.value
     other, end = len(known), len(known) + 1
-    sums = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    sums = _Sums()
 
-    def batch(codes, n):
-        return pa.record_batch([pa.array(codes // (2 * size), pa.int64()), pa.nulls(len(codes), pa.binary()),
-                                pa.array(codes % (2 * size), pa.int64()), pa.array(n, pa.int64())], names=_CONTEXT)
+    def batches_of(codes, n):
+        for k in range(0, len(codes), 100_000):
+            part = codes[k : k + 100_000]
+            yield pa.record_batch([pa.array(part // (2 * size), pa.int64()), pa.nulls(len(part), pa.binary()),
+                                   pa.array(part % (2 * size), pa.int64()), pa.array(n[k : k + 100_000], pa.int64())], names=_CONTEXT)
 
     for (texts,) in text_chunks(batches, "text"):
         tokens = [words(text) for text in texts]
         line = np.concatenate([np.array([end]), *(x for own in tokens for x in (_ids(own, known, other), np.array([end])))])
         at = np.flatnonzero((line >= first) & (line < other))
         base = line[at] * (2 * size)
-        codes = np.concatenate([base + of[line[at - 1]], base + size + of[line[at + 1]]])
-        codes, n = np.unique(codes, return_counts=True)
-        both, back = np.unique(np.concatenate([sums[0], codes]), return_inverse=True)
-        sums = both, np.bincount(back, np.concatenate([sums[1], n]), len(both)).astype(np.int64)
-        if len(both) > 2_000_000:
-            for k in range(0, len(both), 100_000):
-                yield batch(sums[0][k : k + 100_000], sums[1][k : k + 100_000])
-            sums = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        sums.add(np.concatenate([base + of[line[at - 1]], base + size + of[line[at + 1]]]))
+        if sums.full():
+            yield from batches_of(*sums.take())
         at = np.flatnonzero(line == other) if rest else np.zeros(0, np.int64)
         if len(at):
-            flat = [w for own in tokens for w in (*own, b"")]  # the ends keep their places
+            flat = []
+            for own in tokens:
+                flat += own
+                flat.append(b"")  # the ends keep their places
             slots = of[line[at - 1]] * size + of[line[at + 1]]
             yield pa.record_batch([pa.array(np.full(len(at), -1)), pa.array([flat[i - 1] for i in at.tolist()], pa.binary()),
                                    pa.array(slots, pa.int64()), pa.array(np.ones(len(at), np.int64))], names=_CONTEXT)
-    for k in range(0, len(sums[0]), 100_000):
-        yield batch(sums[0][k : k + 100_000], sums[1][k : k + 100_000])
+    yield from batches_of(*sums.take())
 
 
 _CONTEXT = ["id", "word", "slot", "n"]
@@ -336,6 +366,11 @@ class Scorer:
     others: float  # denominator of words without a learnt class
 
 
+def _line_type(tail: int, classes: int) -> str:
+    """The narrowest integers that hold a line's classes and the numbers of its other words."""
+    return next(k for k in ("<i1", "<i2", "<i4") if tail <= -int(np.iinfo(k).min) and classes <= np.iinfo(k).max)
+
+
 def _lines(batches, shared):
     """Each text as its tokens' classes, and what its words in the head add; other words are numbered from -1 down."""
     s = shared.value
@@ -348,10 +383,11 @@ def _lines(batches, shared):
             at = _ids(tokens, s.head, other)
             seen = at[at < other]
             places = np.flatnonzero(at == other)
-            tail = Counter(tokens[i] for i in places)
-            line = s.classes[at].astype("<i4")
+            others = [tokens[i] for i in places.tolist()]
+            tail = Counter(others)
+            line = s.classes[at].astype(_line_type(len(tail), s.end))
             numbers = {w: -1 - k for k, w in enumerate(tail)}
-            line[places] = [numbers[tokens[i]] for i in places]
+            line[places] = [numbers[w] for w in others]
             base = s.log_counts[seen].sum() + np.log10(s.end_count + 1) - (len(tokens) + 1) * s.base
             known = len(seen) + (s.end_count > 0)
             out.append((part + number, doc, held_out, len(tokens) + 1, known, float(base), float(s.emissions[at].sum()),
@@ -375,7 +411,7 @@ def _classed(batches, shared):
         rows = batch.to_pydict()
         lines = []
         for k, (line, times) in enumerate(zip(rows["line"], rows["times"])):
-            line = np.frombuffer(line, "<i4")
+            line = np.frombuffer(line, f"<i{len(line) // max(rows['n_tokens'][k] - 1, 1) or 1}").astype(np.int64)
             if times:
                 of, n, times = np.full(len(times), rest), np.zeros(len(times)), np.array(times)
                 if rows["places"][k]:
