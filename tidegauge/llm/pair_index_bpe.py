@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from tidegauge.llm.rows import Carried, own
 from tidegauge.llm.tokens import claim_memory, offsets, text_slices
 
-CACHE_WORDS = 150_000  # pre-tokens whose ids a worker remembers, and as many again that it may forget next
+CACHE_WORDS = 230_000  # pre-tokens whose ids a worker remembers, and as many again that it may forget next
 CACHE_LENGTH = 64  # longest pre-token remembered, in characters
 BLOCK_BYTES = 16_000  # pre-tokens that share one index, unless one alone is longer
 SLICE_IDS = 500_000  # ids that are decoded together
