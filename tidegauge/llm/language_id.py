@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidegauge.llm.tokens import claim_memory
 from tidegauge.session import Scratch
 
 UNDETERMINED = "und"
@@ -105,6 +106,7 @@ def _features(texts, orders, bits):
 
 
 def _count(batches, orders, bits):
+    claim_memory("languages", _letters.cache_clear)
     sums: dict[str, np.ndarray] = {}
     for batch in batches:
         langs = np.array(batch.column("lang").to_pylist(), object)
@@ -155,6 +157,7 @@ def train(
 
 
 def _score(batches, shared):
+    claim_memory("languages", _letters.cache_clear)
     model = shared.value
     langs, bits = len(model.languages), (len(model.weights) - 1).bit_length() - 1
     names = np.array([*model.languages, UNDETERMINED], object)
