@@ -41,7 +41,7 @@ SPARE = 2  # least number of parts beyond the need, so that a set with few empty
 DEVIATIONS = 3  # by which the spare parts exceed the mean number of empty ones in the smallest sets of a band
 BAND = 1.3  # ratio of the largest to the smallest set of a size band
 CELL_ROWS = 50_000  # classes of many pairs of groups whose bit maps are compared together, unless one pair has more
-MAP_WORDS = 1 << 20  # 64-bit words of bit maps that one step compares
+MAP_WORDS = 1 << 18  # pairs of classes that one step looks at, and 64-bit words of their bit maps
 _U = np.uint64
 
 
@@ -202,7 +202,7 @@ def _possible(batches, percent: int):
         low = np.where(own, at + 1, first[number])
         many = np.where(second, 0, edges[1:][number] - low)
         ends = np.cumsum(many)
-        cuts = np.searchsorted(ends, np.arange(0, int(ends[-1]), MAP_WORDS // 4), "right")
+        cuts = np.searchsorted(ends, np.arange(0, int(ends[-1]), MAP_WORDS), "right")
         cuts = np.unique(np.concatenate([[0], cuts, [len(ends)]]))
         hit = np.zeros(len(cell), bool)
         for a, b in zip(cuts[:-1], cuts[1:]):
