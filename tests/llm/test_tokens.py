@@ -7,6 +7,7 @@ import hashlib
 import random
 import zlib
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
@@ -58,6 +59,16 @@ def test_bpe_of_odd_rows(spark):
     assert byte_bpe.encode(df.limit(0), f"file://{RANKS}", PATTERN).collect() == []
 
 
+def test_stage_decodes_its_ids_again(spark, monkeypatch):
+    df = spark.createDataFrame([(1, None), (2, ""), (3, "a b"), (4, "lost words")], "doc_id long, text string")
+    kept = corpus_pipeline.byte_level_bpe(spark, df, SF).collect()
+    assert [r["n_tokens"] for r in kept][:2] == [0, 0] and all(4 * r["n_tokens"] == len(r["ids"]) for r in kept)
+    monkeypatch.setattr(public_tokenizers, "PATTERN", "[a-k]+| ")  # leaves out what its matches do not cover
+    assert corpus_pipeline.byte_level_bpe(spark, df.filter("doc_id < 4"), SF).count() == 3
+    with pytest.raises(Exception, match="does not come back from its ids: 'lost words'"):
+        corpus_pipeline.byte_level_bpe(spark, df, SF).collect()
+
+
 def test_bpe_with_ranks_in_any_order():
     """Merges may make pairs of a lower rank, which then go first."""
     rng = random.Random(1)

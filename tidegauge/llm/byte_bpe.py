@@ -241,27 +241,37 @@ def _tokens(content: bytes) -> dict[int, bytes]:
     return {rank: piece for piece, rank in _ranks(content).items()}
 
 
-def _encode(batches, shared, pattern: str) -> Iterator[pa.RecordBatch]:
+def _encode(batches, shared, pattern: str, restore: bool = False) -> Iterator[pa.RecordBatch]:
     claim_memory("merges", _loaded.cache_clear)
     pairs = _loaded(shared.value, pattern)
     for batch in text_slices(batches, "text"):
-        ids = pairs.encode(batch.column("text").to_pylist())
+        texts = batch.column("text").to_pylist()
+        ids = pairs.encode(texts)
+        if restore:
+            for text, decoded in zip(texts, _decoded(ids, _tokens(shared.value))):
+                if decoded != (text or "").encode("utf-8", "surrogatepass"):
+                    raise ValueError(f"a text does not come back from its ids: {text[:80]!r}")
         yield pa.record_batch([batch.column("row"), pa.array(ids, pa.binary())], names=["row", "ids"])
 
 
+def _decoded(encoded: list[bytes | None], token: dict[int, bytes]) -> Iterator[bytes]:
+    """The bytes that the ids of each text stand for."""
+    for ids in encoded:
+        yield b"".join(map(token.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
+
+
 def _decode(batches, shared) -> Iterator[pa.RecordBatch]:
     token = _tokens(shared.value)
     for batch in text_slices(batches, "ids"):
-        decoded = [
-            b"".join(map(token.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
-            for ids in batch.column("ids").to_pylist()
-        ]
+        decoded = list(_decoded(batch.column("ids").to_pylist(), token))
         yield pa.record_batch(
             [*batch.columns, pa.array(decoded, pa.binary())], names=[*batch.schema.names, "decoded"]
         )
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+def encode(
+    docs: DataFrame, path: str, pattern: str, text_col: str = "text", keep: list[str] | None = None, restore: bool = False
+) -> DataFrame:
     """The columns ``keep`` (all by default) with ``ids``: the whole text's token ids, as
     little-endian unsigned 32-bit integers in a binary value. A column called ids is replaced; others may
     have any name.
@@ -269,12 +279,15 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", kee
     Special tokens are ordinary text. Null and empty texts give no ids; one very long run of
     characters is merged like any other. Rows are independent: repeated rows give equal ids, and an
     empty table gives an empty result.
+
+    With ``restore`` all ids are decoded again beside their texts, as ``decode`` does it, and a text that does
+    not come back from them byte by byte is an error.
     """
     carried = Carried(docs, keep, ("ids",))
     rows = docs.select(carried.packed, own(text_col).cast("string").alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(read_ranks(docs.sparkSession, path))
     schema = T.StructType([rows.schema["row"], T.StructField("ids", T.BinaryType())])
-    return rows.mapInArrow(lambda it: _encode(it, shared, pattern), schema).select(*carried.columns(), "ids")
+    return rows.mapInArrow(lambda it: _encode(it, shared, pattern, restore), schema).select(*carried.columns(), "ids")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
