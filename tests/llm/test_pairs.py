@@ -208,6 +208,24 @@ def test_small_sets_of_a_band_share_no_signature_for_empty_parts():
     assert (shared > 1).sum() == 0  # no two sets have a member in common
 
 
+def test_signatures_are_linked_slice_by_slice(spark, monkeypatch):
+    rng = random.Random(12)
+    base = [prose(rng, n) for n in (30, 150, 400)]
+    docs = [(i, edited(rng, base[i % 3], rng.randrange(1, 6))) for i in range(36)]
+    rows_of = []
+
+    def counted(rows, order, flatten, names, link=graph.bucket_links):
+        keys = rows.mapInArrow(flatten, ", ".join(f"{n} long" for n in names)).select("key")
+        rows_of.append([r["key"] for r in keys.collect()])
+        return link(rows, order, flatten, names)
+
+    monkeypatch.setattr(jj, "bucket_links", counted)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert sorted(tuple(r) for r in jj.jaccard_join(df, 80, 5).collect()) == expected_join(docs, 80, 5)
+    assert len(rows_of) == jj.SLICES and max(map(len, rows_of)) < 0.4 * sum(map(len, rows_of))
+    assert sum(len(set(keys)) for keys in rows_of) == len({k for keys in rows_of for k in keys})
+
+
 def test_bit_maps_open_every_pair_that_may_be_similar_and_few_others():
     rng = np.random.default_rng(5)
     for percent, size in ((80, 1), (80, 63), (80, 64), (90, 65), (80, 150), (90, 700), (50, 90)):

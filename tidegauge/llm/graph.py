@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidegauge.llm.tokens import mix, signed
 from tidegauge.session import Scratch
 
 FLUSH_ROWS = 250_000  # rows a map task holds while it combines equal keys
@@ -34,11 +36,7 @@ def _lead_batches(batches, order: list[str], names: list[str]):
         cols = {n: c[~repeat] for n, c in cols.items()}
         starts = np.flatnonzero(~same[~repeat])
         lead = np.repeat(starts, np.diff(np.append(starts, len(cols["key"]))))
-        is_lead = lead == np.arange(len(lead))
-        spread = mix(cols["key"].view(np.uint64))
-        for n in order:
-            spread = mix(spread + cols[n].view(np.uint64))
-        out = {"dealt": np.where(is_lead, cols["key"], signed(spread)), **cols}
+        out = dict(cols)
         for n in names:
             if n != "key":
                 out[f"lead_{n}"] = cols[n][lead]
@@ -95,22 +93,24 @@ def _link_batches(batches, order: list[str], names: list[str]):
         yield pa.record_batch(out)
 
 
-def bucket_links(rows: DataFrame, order: list[str]) -> DataFrame:
+def bucket_links(rows: DataFrame, order: list[str], flatten=None, names: list[str] | None = None) -> DataFrame:
     """Link every row of a key to one earlier row of that key; keys of one row give nothing.
 
     ``rows`` has long columns only: ``key``, those of ``order``, which tell the rows of a key apart,
     and any payload. Each map task first links its rows to the first of each key, so that only one
     row per key and task goes on to the task that owns the key, however many rows a key has; the
     links of a key form a tree of depth two. Result: the row, and its parent's columns as ``lead_*``.
+
+    ``flatten`` makes such rows, of the columns ``names``, out of the batches of ``rows`` in the same worker.
     """
-    names = rows.columns
+    names, flatten = names or rows.columns, flatten or iter
     wide = ", ".join(f"{n} long" for n in names)
     leads = ", ".join(f"lead_{n} long" for n in names if n != "key")
+    is_lead = reduce(and_, (F.col(n) == F.col(f"lead_{n}") for n in order))
     return (
-        rows.mapInArrow(lambda it: _lead_batches(it, order, names), f"dealt long, {wide}, {leads}")
-        .repartition("dealt")
+        rows.mapInArrow(lambda it: _lead_batches(flatten(it), order, names), f"{wide}, {leads}")
+        .repartition(F.when(is_lead, F.col("key")).otherwise(F.xxhash64("key", *order)))
         .sortWithinPartitions("key", *order)
-        .drop("dealt")
         .mapInArrow(lambda it: _link_batches(it, order, names), f"{wide}, {leads}")
     )
 

@@ -24,6 +24,7 @@ edges of a spanning forest, never pairs.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,7 @@ SPARE = 2  # least number of parts beyond the need, so that a set with few empty
 DEVIATIONS = 3  # by which the spare parts exceed the mean number of empty ones in the smallest sets of a band
 BAND = 1.3  # ratio of the largest to the smallest set of a size band
 CELL_ROWS = 50_000  # classes of many pairs of groups whose bit maps are compared together, unless one pair has more
+SLICES = 4  # of the signatures, whose links are made one after the other; a power of two
 MAP_WORDS = 1 << 18  # pairs of classes that one step looks at, and 64-bit words of their bit maps
 _U = np.uint64
 
@@ -126,31 +128,34 @@ def _sketch(batches, size: int, plan: _Plan):
         values, counts = distinct(*shingles(*flat_hashes(texts), size))
         sigs, owner = _signatures(values, counts, plan)
         maps, words_ = _parities(values, counts)
-        order = np.argsort(owner, kind="stable")
-        each = offsets(np.bincount(owner, minlength=len(texts)))
+        part = (sigs % _U(SLICES)).astype(np.int64)
+        order = np.lexsort((owner, part))
+        sigs, each = sigs[order], np.bincount(part * len(texts) + owner, minlength=SLICES * len(texts))
+        each, ends = each.reshape(SLICES, -1), np.cumsum(np.bincount(part, minlength=SLICES))
         yield pa.record_batch(
             {
                 "doc_id": pa.array(ids, pa.int64()),
                 "n_shingles": counts,
                 "class": signed(_set_key(values, counts)),
-                "bits": pa.Array.from_buffers(
-                    pa.binary(), len(texts), [None, pa.py_buffer((8 * offsets(words_)).astype(np.int32)), pa.py_buffer(maps)]
-                ),
-                "signatures": pa.ListArray.from_arrays(
-                    pa.array(each, pa.int32()), signed(sigs[order])
-                ),
+                "bits": _packed(maps, words_),
+                **{f"signatures{k}": _packed(sigs[ends[k] - each[k].sum() : ends[k]], each[k]) for k in range(SLICES)},
             }
         )
 
 
-def _flat_signatures(batches):
+def _packed(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """Runs of 64-bit values, one binary value for each run."""
+    ends = pa.py_buffer((8 * offsets(counts)).astype(np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(counts), [None, ends, pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _flat_signatures(batches, column: str):
     for batch in batches:
         for start in range(0, batch.num_rows, 1000):
-            part = batch.slice(start, 1000)
-            lists = part.column("signatures")
-            counts = np.diff(lists.offsets.to_numpy())
-            owner = np.repeat(part.column("class").to_numpy(), counts)
-            yield pa.record_batch({"key": lists.flatten(), "class": owner})
+            lists = batch.column(column).slice(start, 1000).to_pylist()
+            counts = np.array([len(x) // 8 for x in lists])
+            owner = np.repeat(batch.column("class").slice(start, 1000).to_numpy(), counts)
+            yield pa.record_batch({"key": np.frombuffer(b"".join(lists), "<i8"), "class": owner})
 
 
 def _whole_cells(batches):
@@ -359,6 +364,14 @@ def _cells(members: DataFrame, groups: DataFrame, scratch: Scratch) -> DataFrame
     return sides.join(groups, "group").select("cell", "class", "second", "own")
 
 
+def _slice_members(full: DataFrame, column: str, scratch: Scratch) -> DataFrame:
+    """(key, class): the signatures of one slice that several classes have, and those classes."""
+    rows = full.select("class", column)
+    links = bucket_links(rows, ["class"], lambda it: _flat_signatures(it, column), ["key", "class"])
+    links = scratch.table(links, f"links-{column}")
+    return links.select("key", "class").union(links.select("key", "lead_class")).distinct()
+
+
 def jaccard_join(
     docs: DataFrame, percent: int = 90, size: int = 3, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -380,7 +393,7 @@ def jaccard_join(
     sketches = scratch.table(
         rows.mapInArrow(
             lambda it: _sketch(it, size, plan),
-            "doc_id long, n_shingles long, class long, bits binary, signatures array<long>",
+            "doc_id long, n_shingles long, class long, bits binary" + "".join(f", signatures{k} binary" for k in range(SLICES)),
         ),
         "sketches",
     )
@@ -392,17 +405,13 @@ def jaccard_join(
         ),
         "classes",
     )
-    links = bucket_links(
-        full.select("class", "signatures").mapInArrow(_flat_signatures, "key long, class long"), ["class"]
-    )
-    links = scratch.table(links, "links")
+    # The shuffle of the links is the largest there is; equal signatures are in one slice, whose files go before the next.
+    members = [scratch.table(_slice_members(full, f"signatures{k}", scratch), f"members-{k}") for k in range(SLICES)]
+    members = reduce(DataFrame.union, members)
     # What is needed of the sketches from here on; the signatures are the larger part of them.
-    sketches = scratch.table(sketches.drop("signatures", "bits"), "documents")
+    sketches = scratch.table(sketches.select("doc_id", "n_shingles", "class"), "documents")
     full = sketches.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    scratch.drop("sketches")
-    members = links.select("key", "class").union(links.select("key", "lead_class")).distinct()
-    members = scratch.table(members, "members")
-    scratch.drop("links")
+    scratch.drop("sketches", *(f"links-signatures{k}" for k in range(SLICES)))
     groups = _groups(members, classes, scratch)
     cells = (
         _cells(members, groups, scratch)
@@ -412,7 +421,7 @@ def jaccard_join(
         .mapInArrow(lambda it: _possible(it, percent), "cell long, class long, second boolean, own boolean")
     )
     cells = scratch.table(cells, "cells")
-    scratch.drop("members", "groups", "group-keys", "pairs")
+    scratch.drop(*(f"members-{k}" for k in range(SLICES)), "groups", "group-keys", "pairs")
 
     needed = classes.select("class", "doc_id", "copies").join(cells.select("class").distinct(), "class")
     needed = scratch.table(needed, "needed")
