@@ -226,6 +226,35 @@ def test_signatures_are_linked_slice_by_slice(spark, monkeypatch):
     assert sum(len(set(keys)) for keys in rows_of) == len({k for keys in rows_of for k in keys})
 
 
+def test_groups_meet_with_the_classes_that_share_a_signature(spark, monkeypatch):
+    members = [(k, c) for k, cs in {1: (1, 2), 2: (2, 11), 3: (11, 12, 13), 4: (3, 12, 21), 5: (1, 3)}.items() for c in cs]
+    groups = [(c, c // 10 + 100) for c in (1, 2, 3, 11, 12, 13, 21)]
+    members = spark.createDataFrame(members, "key long, class long")
+    groups = spark.createDataFrame(groups, "class long, group long")
+    want = [(2, 100, 101), (3, 100, 101), (3, 100, 102), (11, 101, 100), (12, 101, 100), (12, 101, 102), (21, 102, 100), (21, 102, 101)]
+    stored, table = [], Scratch.table
+    monkeypatch.setattr(Scratch, "table", lambda self, df, name: stored.append(name) or table(self, df, name))
+    for most, slices in ((2, 1), (0.2, 4)):
+        monkeypatch.setattr(jj, "SLICE_ROWS", most)
+        found = jj._met(members, groups, members.count(), Scratch(spark, "met")).collect()
+        assert sorted(tuple(r) for r in found) == want
+        assert len([n for n in stored if n.startswith("met/")]) == slices, stored
+        stored.clear()
+
+
+def test_any_number_of_slices(spark, monkeypatch):
+    monkeypatch.setattr(jj, "GROUP", 4)
+    monkeypatch.setattr(jj, "SLICE_ROWS", 0.03)
+    rng = random.Random(13)
+    base = [prose(rng, n) for n in (60, 61, 200)]
+    docs = [(i, edited(rng, base[i % 3], rng.randrange(5))) for i in range(60)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    stored, table = [], Scratch.table
+    monkeypatch.setattr(Scratch, "table", lambda self, df, name: stored.append(name) or table(self, df, name))
+    assert sorted(tuple(r) for r in jj.jaccard_join(df, 80, 5).collect()) == expected_join(docs, 80, 5)
+    assert {"met/1", "cells/1"} <= set(stored)
+
+
 def test_bit_maps_open_every_pair_that_may_be_similar_and_few_others():
     rng = np.random.default_rng(5)
     for percent, size in ((80, 1), (80, 63), (80, 64), (90, 65), (80, 150), (90, 700), (50, 90)):

@@ -9,7 +9,8 @@ Documents with equal shingle sets form one class, and all work is on classes.
    An empty part is equal in all sets that have it, whatever else they hold, so a band has as many spare
    parts as its smallest sets are likely to have empty ones.
 2. Token-group matrix: a class belongs to the group of its most popular shared signature, groups
-   being cut to a fixed size. Two groups that hold a common signature are a candidate pair.
+   being cut to a fixed size. Two groups that hold a common signature are a candidate pair, each with its
+   classes that have a signature of the other.
 3. Each set has a bit map of the parities of its shingles. Maps of two sets differ in no more bits than
    the sets in shingles, so texts go only to the classes that some other class of the pair of groups
    is near enough to by these maps.
@@ -36,12 +37,13 @@ from tidegauge.llm.tokens import (
 )
 from tidegauge.session import Scratch
 
-GROUP = 256  # classes of a group, about
-GROUP_SHINGLES = 200_000  # and shingles of all its classes, unless one alone has more
+GROUP = 1024  # classes of a group, about
+GROUP_SHINGLES = 800_000  # and shingles of all its classes, unless one alone has more
 SPARE = 2  # least number of parts beyond the need, so that a set with few empty parts can leave them out
 DEVIATIONS = 3  # by which the spare parts exceed the mean number of empty ones in the smallest sets of a band
 BAND = 1.3  # ratio of the largest to the smallest set of a size band
 CELL_ROWS = 50_000  # classes of many pairs of groups whose bit maps are compared together, unless one pair has more
+SLICE_ROWS = 2  # times the rows of shared signatures, rows of classes and other groups that are shuffled at once
 SLICES = 4  # of the signatures, whose links are made one after the other; a power of two
 MAP_WORDS = 1 << 18  # pairs of classes that one step looks at, and 64-bit words of their bit maps
 _U = np.uint64
@@ -342,26 +344,51 @@ def _groups(members: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFra
     )
 
 
-def _cells(members: DataFrame, groups: DataFrame, scratch: Scratch) -> DataFrame:
-    """(cell, class, second, own): the classes that each pair of groups brings together."""
-    by_key = scratch.table(
-        members.join(groups, "class").select("key", "group").distinct(), "group-keys"
-    )
-    pairs = (
-        by_key.alias("x")
-        .join(by_key.alias("y"), "key")
-        .filter("x.group < y.group")
-        .select(F.col("x.group").alias("ga"), F.col("y.group").alias("gb"))
-        .distinct()
-    )
-    alone = groups.groupBy("group").count().filter("count > 1")
-    pairs = pairs.union(alone.select(F.col("group").alias("ga"), F.col("group").alias("gb")))
-    pairs = scratch.table(pairs.withColumn("cell", F.xxhash64("ga", "gb")), "pairs")
-    own = F.col("ga") == F.col("gb")
-    sides = pairs.select("cell", F.col("ga").alias("group"), F.lit(False).alias("second"), own.alias("own")).union(
-        pairs.filter(~own).select("cell", F.col("gb").alias("group"), F.lit(True), F.lit(False))
-    )
-    return sides.join(groups, "group").select("cell", "class", "second", "own")
+def _met(members: DataFrame, groups: DataFrame, n_members: int, scratch: Scratch) -> DataFrame:
+    """(class, group, other): the other groups that hold a signature of a class."""
+    placed = scratch.table(members.join(groups, "class").select("key", "class", "group"), "placed")
+    keys = placed.groupBy("key").agg(F.min("group").alias("least"), F.max("group").alias("most")).filter("least < most")
+    shared = scratch.table(placed.join(keys.select("key"), "key"), "shared")
+    scratch.drop("placed")
+    others = scratch.table(shared.select("key", F.col("group").alias("other")).distinct(), "group-keys")
+    rows = shared.groupBy("key").count().join(others.groupBy("key").agg(F.count("*").alias("n")), "key")
+    rows = rows.agg(F.sum(F.col("count") * (F.col("n") - 1))).first()[0] or 0
+    slices = max(1, math.ceil(rows / max(1, SLICE_ROWS * n_members)))
+    met = []
+    for k in range(slices):
+        some = shared.filter(F.pmod(F.xxhash64("class"), F.lit(slices)) == k)
+        some = some.join(others, "key").filter("group <> other").select("class", "group", "other").distinct()
+        met.append(scratch.table(some, f"met/{k}"))
+    scratch.drop("shared", "group-keys")
+    return reduce(DataFrame.union, met)
+
+
+def _cells(members: DataFrame, groups: DataFrame, classes: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """(cell, class, second, own): the classes that each pair of groups brings together, as far as bit maps allow.
+
+    Two groups that hold a common signature meet, each with its classes that have one of the other's. Where these
+    are many for the signatures there are, cells are taken slice by slice, each shuffled on its own.
+    """
+    n_members = members.count()
+    met = _met(members, groups, n_members, scratch)
+    ga, gb = F.least("group", "other"), F.greatest("group", "other")
+    cross = met.select(F.xxhash64(ga, gb).alias("cell"), "class", (F.col("group") > F.col("other")).alias("second"), F.lit(False).alias("own"))
+    alone = groups.join(groups.groupBy("group").count().filter("count > 1").select("group"), "group")
+    alone = alone.select(F.xxhash64("group", "group").alias("cell"), "class", F.lit(False).alias("second"), F.lit(True).alias("own"))
+    every = cross.union(alone)
+    slices = max(1, math.ceil(every.count() / max(1, SLICE_ROWS * n_members)))
+    cells = []
+    for k in range(slices):
+        some = (
+            every.filter(F.pmod(F.xxhash64("cell"), F.lit(slices)) == k)
+            .join(classes.select("class", "n_shingles", "bits"), "class")
+            .repartition("cell")
+            .sortWithinPartitions("cell", "second")
+            .mapInArrow(lambda it: _possible(it, percent), "cell long, class long, second boolean, own boolean")
+        )
+        cells.append(scratch.table(some, f"cells/{k}"))
+    scratch.drop("met")
+    return reduce(DataFrame.union, cells)
 
 
 def _slice_members(full: DataFrame, column: str, scratch: Scratch) -> DataFrame:
@@ -406,22 +433,15 @@ def jaccard_join(
         "classes",
     )
     # The shuffle of the links is the largest there is; equal signatures are in one slice, whose files go before the next.
-    members = [scratch.table(_slice_members(full, f"signatures{k}", scratch), f"members-{k}") for k in range(SLICES)]
+    members = [scratch.table(_slice_members(full, f"signatures{k}", scratch), f"members/{k}") for k in range(SLICES)]
     members = reduce(DataFrame.union, members)
     # What is needed of the sketches from here on; the signatures are the larger part of them.
     sketches = scratch.table(sketches.select("doc_id", "n_shingles", "class"), "documents")
     full = sketches.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     scratch.drop("sketches", *(f"links-signatures{k}" for k in range(SLICES)))
     groups = _groups(members, classes, scratch)
-    cells = (
-        _cells(members, groups, scratch)
-        .join(classes.select("class", "n_shingles", "bits"), "class")
-        .repartition("cell")
-        .sortWithinPartitions("cell", "second")
-        .mapInArrow(lambda it: _possible(it, percent), "cell long, class long, second boolean, own boolean")
-    )
-    cells = scratch.table(cells, "cells")
-    scratch.drop(*(f"members-{k}" for k in range(SLICES)), "groups", "group-keys", "pairs")
+    cells = _cells(members, groups, classes, percent, scratch)
+    scratch.drop("members", "groups")
 
     needed = classes.select("class", "doc_id", "copies").join(cells.select("class").distinct(), "class")
     needed = scratch.table(needed, "needed")
